@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
+# Totals of totals get one fixed type: left alone, each sum widens until an expression loses its cents.
+TOTAL = "decimal(28,2)"
 
 # The line types that make up net revenue, and those that count when only sales do.
 NET_LINE_TYPES = ("SALE", "RETURN", "DISCOUNT", "VOID")

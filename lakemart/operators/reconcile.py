@@ -11,7 +11,7 @@ from lakemart.functions import scalars as S
 def monthly_revenue(lines: DataFrame) -> DataFrame:
     return (
         lines.groupBy(S.month_key(F.col("business_date")).alias("month"))
-        .agg(F.sum("revenue").alias("pipeline_revenue"))
+        .agg(F.sum("revenue").cast(S.TOTAL).alias("pipeline_revenue"))
     )
 
 
@@ -61,8 +61,8 @@ def bill_rounded_revenue(lines: DataFrame) -> DataFrame:
     )
     return per_bill.groupBy("month").agg(
         F.count("*").alias("bills"),
-        F.sum("bill_total").alias("exact_revenue"),
-        F.sum(F.round("bill_total", 0)).alias("rounded_revenue"),
+        F.sum("bill_total").cast(S.TOTAL).alias("exact_revenue"),
+        F.sum(F.round("bill_total", 0)).cast(S.TOTAL).alias("rounded_revenue"),
     )
 
 

@@ -38,7 +38,7 @@ def revenue_by(lines: DataFrame, keys: Sequence[Column | str]) -> DataFrame:
     return per_bill.groupBy(*names).agg(
         F.count("*").alias("bills"),
         F.sum("lines").alias("lines"),
-        F.sum("revenue").alias("revenue"),
+        F.sum("revenue").cast(S.TOTAL).alias("revenue"),
     )
 
 
