@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.workspace import durable
+from lakemart.workspace import durable_observed
 
 
-def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count("*").alias("n"), F.sum(F.xxhash64("node", "parent").cast("decimal(28,0)")).alias("sum")
-    ).first()
-    return row["n"], row["sum"]
+def _written(links: DataFrame) -> tuple[DataFrame, dict]:
+    """The links as a table, with a count and a checksum that tell whether a round changed anything."""
+    return durable_observed(
+        links, "links", F.count("*").alias("n"),
+        F.sum(F.xxhash64("node", "parent").cast("decimal(28,0)")).alias("checksum"),
+    )
 
 
 def _relink(edges: DataFrame) -> DataFrame:
@@ -44,11 +45,9 @@ def components(edges: DataFrame, a: str = "group_a", b: str = "group_b") -> Data
     links = edges.where(F.col(a) != F.col(b)).select(
         F.greatest(a, b).alias("node"), F.least(a, b).alias("parent")
     ).distinct()
-    links = durable(links, "links")
-    mark = _mark(links)
-    while mark[0]:
-        links = durable(_gather(_relink(links)), "links")
-        after = _mark(links)
+    links, mark = _written(links)
+    while mark["n"]:
+        links, after = _written(_gather(_relink(links)))
         if after == mark:
             break
         mark = after

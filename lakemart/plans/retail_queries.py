@@ -564,7 +564,8 @@ def reconcile_ap(spark: SparkSession, folder: str) -> DataFrame:
 
 _ROUNDED_SQL = """
 bills AS (SELECT month, bill_no, sum(revenue) AS bill_total FROM net GROUP BY 1, 2),
-totals AS (SELECT month, count(*) AS bills, sum(bill_total) AS exact_revenue, sum(round(bill_total, 0)) AS rounded_revenue
+totals AS (SELECT month, count(*) AS bills, CAST(sum(bill_total) AS DECIMAL(28,2)) AS exact_revenue,
+                  CAST(sum(round(bill_total, 0)) AS DECIMAL(28,2)) AS rounded_revenue
            FROM bills GROUP BY 1)"""
 
 

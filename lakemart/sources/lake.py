@@ -94,3 +94,42 @@ def pruning_report(everything: DataFrame, wanted: DataFrame) -> DataFrame:
         (F.col("all_files") / F.greatest("pruned_files", F.lit(1))).alias("file_ratio"),
         (F.col("all_bytes") / F.greatest("pruned_bytes", F.lit(1))).alias("byte_ratio"),
     )
+
+
+def write_bands(bands: DataFrame, path: str, files: int = 64) -> None:
+    """Band rows by band, each file holding one range of buckets: a bucket lookup opens one file.
+
+    Ranges are cut by sampled quantiles of the rows, so a hot bucket takes a range of its own.
+    """
+    (
+        bands.repartitionByRange(files, "band_id", "bucket_hash").sortWithinPartitions("band_id", "bucket_hash")
+        .write.mode("overwrite").partitionBy("band_id").parquet(path)
+    )
+
+
+def lookup(bands: DataFrame, band_id: int, bucket_hash: int, exclude: int | None = None) -> DataFrame:
+    """Notices in one bucket, without the asking one."""
+    found = bands.where((F.col("band_id") == band_id) & (F.col("bucket_hash") == bucket_hash))
+    return found if exclude is None else found.where(F.col("doc_id") != exclude)
+
+
+def lookup_report(bands: DataFrame, bucket) -> DataFrame:
+    """The same lookup on both layouts: rows found, files that hold them and their size."""
+    from lakemart.workspace import new_path
+
+    spark = bands.sparkSession
+    ordered, plain = new_path(spark, "bands-ordered"), new_path(spark, "bands-plain")
+    write_bands(bands, ordered)
+    bands.write.parquet(plain)
+    reports = None
+    for layout, path in (("by bucket", ordered), ("unordered", plain)):
+        rows = lookup(spark.read.parquet(path), bucket["band_id"], bucket["bucket_hash"])
+        touched = rows.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path").agg(
+            F.count("*").alias("n"), F.max("file_size").alias("size")
+        )
+        report = touched.agg(
+            F.lit(layout).alias("layout"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows_found"),
+            F.count("*").alias("files"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"),
+        )
+        reports = report if reports is None else reports.unionByName(report)
+    return reports

@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _local_dirs: dict[str, str] = {}
 
@@ -37,3 +37,10 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def durable_observed(df: DataFrame, label: str, *metrics: Column) -> tuple[DataFrame, dict]:
+    """``durable`` with named aggregates of the rows, taken while they are written."""
+    seen = Observation()
+    table = durable(df.observe(seen, *metrics), label)
+    return table, seen.get
