@@ -120,7 +120,7 @@ def word_shingles(words: Column, k: int) -> Column:
 
 def hashed_shingles(shingles: Column) -> Column:
     """Shingles as sorted 64-bit values, for set operations."""
-    return F.array_sort(F.transform(shingles, lambda s: F.xxhash64(s)))
+    return F.sort_array(F.transform(shingles, lambda s: F.xxhash64(s)))
 
 
 def char_shingles(text: Column, k: int = 9) -> Column:

@@ -37,7 +37,7 @@ def similar_groups(groups: DataFrame, percent: int) -> DataFrame:
     frequency = postings.groupBy("shingle").agg(F.count("*").alias("df")).where(F.col("df") > 1)
     ranked = (
         postings.join(frequency, "shingle").groupBy("group_id", "n")
-        .agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("common"))
+        .agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("common"))
         .withColumn("alone", F.col("n") - F.size("common"))
     )
     n = F.col("n")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from lakemart.plans import notice_queries, retail_queries
+from lakemart.plans import notice_queries, retail_queries, stream_queries
 
 
 def _modules():
-    return (retail_queries, notice_queries)
+    return (retail_queries, notice_queries, stream_queries)
 
 
 def queries():

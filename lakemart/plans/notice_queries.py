@@ -483,7 +483,7 @@ def portal_counts(spark: SparkSession, folder: str) -> DataFrame:
 N_NIGHTS = 3
 
 
-def _night(notices: DataFrame) -> DataFrame:
+def night_of(notices: DataFrame) -> DataFrame:
     """Sources arrive on three nights; by the last one all notices are there."""
     number = F.regexp_extract("source", r"(\d+)$", 1).cast("int")
     return notices.select("doc_id", (F.coalesce(number, F.lit(0)) % N_NIGHTS + 1).alias("night"))
@@ -491,7 +491,7 @@ def _night(notices: DataFrame) -> DataFrame:
 
 def _history(spark: SparkSession, folder: str) -> N.CardHistory:
     notices = N.documents(spark, folder)
-    return N.replay_cards(N.run_notices(notices), _night(notices), N_NIGHTS)
+    return N.replay_cards(N.run_notices(notices), night_of(notices), N_NIGHTS)
 
 
 # A card is named after the smallest notice of its cluster on the night on which the cluster first had one.

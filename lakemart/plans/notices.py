@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from lakemart.operators import cards, clusters, lsh, similarity
 from lakemart.operators.corpus import Corpus, build_corpus
 from lakemart.sources.tables import table
-from lakemart.workspace import durable
+from lakemart.workspace import durable, spread
 
 SIMILAR_PERCENT = 80
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents")
+    return spread(table(spark, folder, "documents"), "doc_id")
 
 
 def title_and_body(notices: DataFrame) -> DataFrame:

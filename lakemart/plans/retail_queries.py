@@ -168,9 +168,12 @@ SELECT month, CAST(extract(year FROM min(business_date)) AS INTEGER) AS sale_yea
 FROM net GROUP BY month""")
 def revenue_by_month(spark: SparkSession, folder: str) -> DataFrame:
     """Net revenue by month, each line counted once."""
-    lines = T.revenue_lines(spark, folder)
-    by_month = slices.revenue_by(lines, [S.month_key(F.col("business_date")).alias("month")])
-    return by_month.select(
+    return by_month(T.revenue_lines(spark, folder))
+
+
+def by_month(lines: DataFrame) -> DataFrame:
+    months = slices.revenue_by(lines, [S.month_key(F.col("business_date")).alias("month")])
+    return months.select(
         "month", F.substring("month", 1, 4).cast("int").alias("sale_year"),
         F.substring("month", 6, 2).cast("int").alias("sale_month"),
         "bills", S.as_double(F.col("revenue")).alias("revenue"),

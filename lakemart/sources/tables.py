@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakemart.functions import scalars as S
 from lakemart.operators.dedup import keep_first
 from lakemart.operators.scd import OPEN_END
+from lakemart.workspace import spread
 
 LINE_KEYS = ("bill_no", "line_no")
 LINE_ORDER = ("business_date", "store_id", "line_type", "product_code", "qty", "unit_price")
@@ -20,25 +21,28 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """``lineitem`` as till lines: one bill per order, one store per supplier."""
+def as_lines(lineitem: DataFrame) -> DataFrame:
+    """``lineitem`` rows as till lines: one bill per order, one store per supplier."""
     flags = F.concat("l_returnflag", "l_linestatus")
     line_type = (
         F.when(flags.isin("AF", "AO"), "SALE").when(flags == "RF", "RETURN").when(flags == "RO", "VOID")
         .when(flags == "NF", "DISCOUNT").otherwise("TENDER")
     )
     qty, price = F.col("l_quantity").cast("int"), F.col("l_extendedprice").cast("decimal(12,2)")
-    lines = table(spark, folder, "lineitem").select(
+    return lineitem.select(
         F.col("l_orderkey").alias("bill_no"),
         F.col("l_linenumber").alias("line_no"),
         F.col("l_suppkey").alias("store_id"),
-        F.when(line_type != "DISCOUNT", F.col("l_partkey")).alias("product_code"),
-        F.when(line_type.isin("RETURN", "VOID"), -qty).otherwise(qty).alias("qty"),
-        F.when(line_type == "DISCOUNT", -price).otherwise(price).alias("unit_price"),
+        F.when(flags != "NF", F.col("l_partkey")).alias("product_code"),
+        F.when(flags.isin("RF", "RO"), -qty).otherwise(qty).alias("qty"),
+        F.when(flags == "NF", -price).otherwise(price).alias("unit_price"),
         line_type.alias("line_type"),
         F.col("l_shipdate").cast("date").alias("business_date"),
     )
-    return lines
+
+
+def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return as_lines(spread(table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber"))
 
 
 def kept_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -46,10 +50,14 @@ def kept_lines(spark: SparkSession, folder: str) -> DataFrame:
     return keep_first(raw_lines(spark, folder), LINE_KEYS, LINE_ORDER)
 
 
+def with_revenue(lines: DataFrame, line_types: tuple[str, ...] = S.NET_LINE_TYPES) -> DataFrame:
+    """Lines of the given types with their revenue at the printed price."""
+    wanted = lines.where(F.col("line_type").isin(*line_types))
+    return wanted.withColumn("revenue", S.line_revenue(F.col("qty"), F.col("unit_price")))
+
+
 def revenue_lines(spark: SparkSession, folder: str, line_types: tuple[str, ...] = S.NET_LINE_TYPES) -> DataFrame:
-    """Kept lines of the given types with their revenue at the printed price."""
-    lines = kept_lines(spark, folder).where(F.col("line_type").isin(*line_types))
-    return lines.withColumn("revenue", S.line_revenue(F.col("qty"), F.col("unit_price")))
+    return with_revenue(kept_lines(spark, folder), line_types)
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:

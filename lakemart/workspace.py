@@ -44,3 +44,14 @@ def durable_observed(df: DataFrame, label: str, *metrics: Column) -> tuple[DataF
     seen = Observation()
     table = durable(df.observe(seen, *metrics), label)
     return table, seen.get
+
+
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Deal the rows of a scan that has fewer splits than the session has cores over all of them.
+
+    A large scan has enough splits and is left alone: nothing is shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, *keys)
