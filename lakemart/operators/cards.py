@@ -47,7 +47,9 @@ def update_cards(state: CardState, clusters: DataFrame, as_of: str) -> CardState
     * Notices and cards this run did not see stay as they are.
     """
     now = F.lit(as_of).cast("timestamp_ntz")
-    placed = clusters.join(state.mapping, "notice_id", "left").select("notice_id", "cluster_id", "card_id")
+    placed = durable(
+        clusters.join(state.mapping, "notice_id", "left").select("notice_id", "cluster_id", "card_id"), "card-placed"
+    )
 
     # Who claims which card: cluster x card, with the claim of the canonical notice first.
     claims = (
@@ -57,7 +59,9 @@ def update_cards(state: CardState, clusters: DataFrame, as_of: str) -> CardState
         .agg(F.max((F.col("notice_id") == F.col("canonical_notice_id")).cast("int")).alias("holds_canonical"))
     )
     holder = F.row_number().over(W.partitionBy("card_id").orderBy(F.col("holds_canonical").desc(), "cluster_id"))
-    owned = claims.withColumn("_rank", holder).where(F.col("_rank") == 1).drop("_rank", "holds_canonical")
+    owned = durable(
+        claims.withColumn("_rank", holder).where(F.col("_rank") == 1).drop("_rank", "holds_canonical"), "card-owned"
+    )
     oldest = owned.groupBy("cluster_id").agg(
         F.min_by("card_id", F.struct("created_at", "canonical_notice_id", "card_id")).alias("survivor")
     )
@@ -66,7 +70,7 @@ def update_cards(state: CardState, clusters: DataFrame, as_of: str) -> CardState
         state.redirects.select(F.col("deprecated_card_id").alias("card_id"))
     ).distinct()
     first = placed.groupBy("cluster_id").agg(F.min("notice_id").alias("first_notice"))
-    fresh = (
+    fresh = durable(
         first.join(oldest, "cluster_id", "left_anti")
         .withColumn("card_id", F.concat(F.lit("CARD-"), F.col("first_notice").cast("string")))
         .join(used.withColumn("taken", F.lit(True)), "card_id", "left")
@@ -74,11 +78,11 @@ def update_cards(state: CardState, clusters: DataFrame, as_of: str) -> CardState
             "card_id",
             F.when(F.col("taken"), F.concat_ws("-", "card_id", F.date_format(now, "yyyyMMdd"))).otherwise(F.col("card_id")),
         )
-        .select("cluster_id", "card_id", "first_notice")
+        .select("cluster_id", "card_id", "first_notice"), "card-fresh"
     )
     card_of = oldest.withColumnRenamed("survivor", "card_id").unionByName(fresh.select("cluster_id", "card_id"))
 
-    mapped = clusters.join(card_of, "cluster_id").select("notice_id", "card_id")
+    mapped = placed.drop("card_id").join(card_of, "cluster_id").select("notice_id", "card_id")
     merged = owned.join(oldest, "cluster_id").where(F.col("card_id") != F.col("survivor")).select(
         F.col("card_id").alias("deprecated_card_id"), F.col("survivor").alias("active_card_id"), now.alias("merged_at")
     )
@@ -89,7 +93,7 @@ def update_cards(state: CardState, clusters: DataFrame, as_of: str) -> CardState
         .unionByName(merged)
     )
     unseen = (
-        state.mapping.join(clusters, "notice_id", "left_anti").join(moved, "card_id", "left")
+        state.mapping.join(placed, "notice_id", "left_anti").join(moved, "card_id", "left")
         .select("notice_id", F.coalesce("moved_to", "card_id").alias("card_id"))
     )
     grown = placed.where(F.col("card_id").isNull()).join(card_of.withColumnRenamed("card_id", "grown_card"), "cluster_id")
