@@ -21,13 +21,26 @@ from lakemart.workspace import durable
 @dataclass(frozen=True)
 class Corpus:
     """``sketches(doc_id, content_key, n_shingles, shingles, signature)`` per notice,
-    ``groups(group_id, n_docs, n_shingles, shingles, signature, bands)`` per content,
-    ``members(doc_id, group_id)``; a group's id is its smallest notice id."""
+    ``groups(group_id, n_docs, n_shingles, bands)`` per content, ``members(doc_id, group_id)``.
+
+    A group's id is its smallest notice id, so a group's shingles are that notice's: the sets, which are
+    larger than the texts, are written once and never copied per group.
+    """
 
     sketches: DataFrame
     groups: DataFrame
     members: DataFrame
 
+    @property
+    def sets(self) -> DataFrame:
+        """Shingle sets by notice id, for looking up pairs of groups."""
+        return self.sketches.select(F.col("doc_id").alias("group_id"), "n_shingles", "shingles")
+
+    @property
+    def group_sets(self) -> DataFrame:
+        """Each distinct content's set once."""
+        return self.sets.join(self.groups.select("group_id"), "group_id", "left_semi")
+
 
 def sketch(
     notices: DataFrame, *, k: int = 3, rules: Sequence[X.CleanRule] = X.RAW_RULES, title: Column | None = None,
@@ -66,11 +79,9 @@ def build_corpus(notices: DataFrame, **options) -> Corpus:
     """
     sketches = durable(sketch(notices, **options), "sketches")
     keys, members = membership(sketches)
-    representatives = sketches.drop("content_key").withColumnRenamed("doc_id", "group_id").join(
-        keys.select("group_id", "n_docs"), "group_id"
-    )
-    groups = representatives.select(
-        "group_id", "n_docs", "n_shingles", "shingles", "signature", M.band_hashes(F.col("signature")).alias("bands")
+    signed = sketches.select(F.col("doc_id").alias("group_id"), "n_shingles", "signature")
+    groups = signed.join(keys.select("group_id", "n_docs"), "group_id").select(
+        "group_id", "n_docs", "n_shingles", M.band_hashes(F.col("signature")).alias("bands")
     )
     return Corpus(sketches, durable(groups, "groups"), members)
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions import minhash as M
+from lakemart.operators.quantiles import exact_percentiles
 from lakemart.operators.similarity import similar_groups, verify
 
 BUCKET_CAP = 50
@@ -58,9 +59,12 @@ def candidate_pairs(bands: DataFrame, members: DataFrame, cap: int = BUCKET_CAP)
     return pairs.withColumn("kind", F.lit("pair")).unionByName(large.withColumn("kind", F.lit("bucket")))
 
 
-def verified_pairs(groups: DataFrame, percent: int, cap: int = BUCKET_CAP) -> DataFrame:
+def verified_pairs(groups: DataFrame, sets: DataFrame, percent: int, cap: int = BUCKET_CAP) -> DataFrame:
     """Pairs of content groups that share a bucket and whose exact Jaccard reaches ``percent``.
 
+    ``groups(group_id, n_docs, bands)`` is light; ``sets(group_id, n_shingles, shingles)`` is only joined to
+    the candidates.
+
     Buckets of up to ``cap`` groups are paired by a self-join, at most ``cap`` partners per row. Groups in
     larger buckets go through the exact similarity join instead, so that no bucket is expanded quadratically
     and none is skipped: the result is that of pairing every bucket.
@@ -74,12 +78,12 @@ def verified_pairs(groups: DataFrame, percent: int, cap: int = BUCKET_CAP) -> Da
         a.join(b, ["band_id", "bucket_hash"]).where(F.col("group_a") < F.col("group_b"))
         .select("group_a", "group_b").distinct()
     )
-    found = verify(pairs, groups, percent)
+    found = verify(pairs, sets, percent)
     large = sizes.where(F.col("groups") > cap).select("band_id", "bucket_hash")
     if large.isEmpty():
         return found
     crowded = bands.join(large, ["band_id", "bucket_hash"], "left_semi").select("group_id").distinct()
-    exact = similar_groups(groups.join(crowded, "group_id", "left_semi"), percent)
+    exact = similar_groups(sets.join(crowded, "group_id", "left_semi"), percent)
     buckets = groups.select("group_id", "bands")
     colliding = (
         exact.join(buckets.select(F.col("group_id").alias("group_a"), F.col("bands").alias("bands_a")), "group_a")
@@ -103,17 +107,13 @@ def candidate_load(bands: DataFrame, cap: int | None = None) -> DataFrame:
 
 def load_summary(load: DataFrame, stage: str) -> DataFrame:
     """Mean, median, 95th and 99th percentile, maximum and total of the load over notices."""
-    counted = load.groupBy("load").agg(F.sum("n_docs").alias("notices"))
-    total = F.sum(F.col("load") * F.col("notices"))
-
-    def percentile(p: float) -> Column:
-        return F.percentile("load", F.lit(p), F.col("notices"))
-
-    return counted.agg(
-        F.lit(stage).alias("stage"), F.sum("notices").alias("notices"),
-        (total / F.sum("notices")).alias("mean"), percentile(0.5).alias("median"),
-        percentile(0.95).alias("p95"), percentile(0.99).alias("p99"), F.max("load").alias("max"),
-        F.floor(total / 2).cast("bigint").alias("total_comparisons"),
+    staged = load.select(F.lit(stage).alias("stage"), "load", "n_docs")
+    found = exact_percentiles(
+        staged, ["stage"], "load", {"median": 0.5, "p95": 0.95, "p99": 0.99}, weight=F.col("n_docs")
+    )
+    return found.select(
+        "stage", F.col("count").alias("notices"), (F.col("sum") / F.col("count")).alias("mean"), "median", "p95", "p99",
+        F.col("maximum").alias("max"), F.floor(F.col("sum") / 2).cast("bigint").alias("total_comparisons"),
     )
 
 

@@ -20,8 +20,10 @@ def _ceil_div(numerator: Column, denominator: int) -> Column:
     return F.call_function("div", numerator + F.lit(denominator - 1), F.lit(denominator)).cast("bigint")
 
 
-def similar_groups(groups: DataFrame, percent: int) -> DataFrame:
-    """``(group_a, group_b, n_a, n_b, shared, jaccard)`` for all pairs of different groups at or above ``percent``.
+def similar_groups(sets: DataFrame, percent: int) -> DataFrame:
+    """``(group_a, group_b, n_a, n_b, shared, jaccard)`` for all pairs of different sets at or above ``percent``.
+
+    ``sets(group_id, n_shingles, shingles)`` holds each content once.
 
     1. Count how many groups hold each shingle. One that is in a single group can match nothing and is
        dropped, though it keeps its place at the head of the rarest-first order.
@@ -32,8 +34,9 @@ def similar_groups(groups: DataFrame, percent: int) -> DataFrame:
     A shingle in more than ``HOT_SHINGLE`` groups is split: its index rows are dealt to several lanes and
     its probe rows go to each of them, so that no task holds all of one shingle.
     """
-    sets = groups.select("group_id", F.col("n_shingles").cast("bigint").alias("n"), "shingles")
-    postings = sets.select("group_id", "n", F.explode("shingles").alias("shingle"))
+    postings = sets.select(
+        "group_id", F.col("n_shingles").cast("bigint").alias("n"), F.explode("shingles").alias("shingle")
+    )
     frequency = postings.groupBy("shingle").agg(F.count("*").alias("df")).where(F.col("df") > 1)
     ranked = (
         postings.join(frequency, "shingle").groupBy("group_id", "n")
@@ -72,14 +75,14 @@ def similar_groups(groups: DataFrame, percent: int) -> DataFrame:
     pairs = hits.select(
         F.least("x.group_id", "y.group_id").alias("group_a"), F.greatest("x.group_id", "y.group_id").alias("group_b")
     ).distinct()
-    return verify(pairs, groups, percent)
+    return verify(pairs, sets, percent)
 
 
-def verify(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of groups whose exact Jaccard reaches ``percent``."""
-    sets = groups.select("group_id", F.col("n_shingles").cast("bigint").alias("n"), "shingles")
-    a = sets.select(F.col("group_id").alias("group_a"), F.col("n").alias("n_a"), F.col("shingles").alias("set_a"))
-    b = sets.select(F.col("group_id").alias("group_b"), F.col("n").alias("n_b"), F.col("shingles").alias("set_b"))
+    n = F.col("n_shingles").cast("bigint")
+    a = sets.select(F.col("group_id").alias("group_a"), n.alias("n_a"), F.col("shingles").alias("set_a"))
+    b = sets.select(F.col("group_id").alias("group_b"), n.alias("n_b"), F.col("shingles").alias("set_b"))
     counted = pairs.join(a, "group_a").join(b, "group_b").select(
         "group_a", "group_b", "n_a", "n_b", X.shared_count(F.col("set_a"), F.col("set_b")).alias("shared")
     )

@@ -9,6 +9,7 @@ from lakemart.functions import minhash as M
 from lakemart.functions import text as X
 from lakemart.operators import cards, clusters, lsh, similarity
 from lakemart.operators.corpus import build_corpus
+from lakemart.operators.quantiles import exact_percentiles
 from lakemart.plans import notices as N
 from lakemart.sources import lake
 from lakemart.sources import tables as T
@@ -169,7 +170,10 @@ def clean_token_stats(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""
 WITH {TOK_SQL}, {shingle_sql(1, "s1")}, {shingle_sql(2, "s2")}, {shingle_sql(3, "s3")},
 folded AS (SELECT doc_id, regexp_replace(lower(text), '\\s+', ' ', 'g') AS f FROM documents),
-chars AS (SELECT DISTINCT doc_id, substr(f, i, 9) AS s FROM folded, unnest(range(1, greatest(length(f) - 8, 1) + 1)) AS g(i)),
+letters AS MATERIALIZED (SELECT doc_id, f, string_split(f, '') AS t FROM folded),
+chars AS (SELECT DISTINCT doc_id, {_runs(9).replace(" || ' ' || ", " || ")} AS s
+          FROM letters, unnest(range(1, len(t) - 7)) AS g(i) WHERE len(t) >= 9
+          UNION SELECT doc_id, f FROM letters WHERE len(t) < 9),
 n1 AS (SELECT doc_id, count(*) AS c FROM s1 GROUP BY 1), n2 AS (SELECT doc_id, count(*) AS c FROM s2 GROUP BY 1),
 n3 AS (SELECT doc_id, count(*) AS c FROM s3 GROUP BY 1), n9 AS (SELECT doc_id, count(*) AS c FROM chars GROUP BY 1)
 SELECT doc_id, CAST(coalesce(n1.c, 0) AS INTEGER) AS word_1, CAST(coalesce(n2.c, 0) AS INTEGER) AS word_2,
@@ -245,9 +249,9 @@ def repr_compare(spark: SparkSession, folder: str) -> DataFrame:
         F.struct(F.lit(name).alias("representation"), X.jaccard(F.col(f"{name}_a"), F.col(f"{name}_b")).alias("j"))
         for name in texts
     ])).alias("r")).select("r.*")
-    return long.groupBy("representation").agg(
-        F.count("*").alias("pairs"), F.min("j").alias("minimum"), F.percentile("j", F.lit(0.1)).alias("p10"),
-        F.percentile("j", F.lit(0.5)).alias("median"), F.percentile("j", F.lit(0.9)).alias("p90"), F.max("j").alias("maximum"),
+    found = exact_percentiles(long, ["representation"], "j", {"p10": 0.1, "median": 0.5, "p90": 0.9})
+    return found.select(
+        "representation", F.col("count").alias("pairs"), "minimum", "p10", "median", "p90", "maximum"
     )
 
 
@@ -255,7 +259,7 @@ def repr_compare(spark: SparkSession, folder: str) -> DataFrame:
 def exact_near_dups(spark: SparkSession, folder: str) -> DataFrame:
     """Every pair at or above the threshold, identical copies folded into counts."""
     corpus = build_corpus(N.documents(spark, folder))
-    return similarity.near_duplicates(corpus.groups, similarity.similar_groups(corpus.groups, PERCENT))
+    return similarity.near_duplicates(corpus.groups, similarity.similar_groups(corpus.group_sets, PERCENT))
 
 
 # --- MinHash -------------------------------------------------------------------------------------------
@@ -382,7 +386,7 @@ SELECT truth, hits, hits / truth AS recall FROM sums""")
 def lsh_recall(spark: SparkSession, folder: str) -> DataFrame:
     """Share of all true pairs that the capped buckets retrieve."""
     corpus = build_corpus(N.documents(spark, folder))
-    truth = similarity.near_duplicates(corpus.groups, similarity.similar_groups(corpus.groups, PERCENT))
+    truth = similarity.near_duplicates(corpus.groups, similarity.similar_groups(corpus.group_sets, PERCENT))
     return lsh.recall(truth, corpus.groups, LOW_CAP)
 
 
@@ -398,10 +402,10 @@ FROM near JOIN colliding USING (group_a, group_b) JOIN documents a ON a.doc_id =
 def verified_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Candidates confirmed by exact Jaccard, and whether their parsed value agrees; a cap of four forces the exact path."""
     notices = N.documents(spark, folder)
-    groups = build_corpus(notices).groups
+    corpus = build_corpus(notices)
     values = notices.select("doc_id", "n_chars")
     return (
-        lsh.verified_pairs(groups, PERCENT, cap=4)
+        lsh.verified_pairs(corpus.groups, corpus.sets, PERCENT, cap=4)
         .join(values.select(F.col("doc_id").alias("group_a"), F.col("n_chars").alias("value_a")), "group_a")
         .join(values.select(F.col("doc_id").alias("group_b"), F.col("n_chars").alias("value_b")), "group_b")
         .select("group_a", "group_b", "jaccard", (F.col("value_a") == F.col("value_b")).alias("same_value"))

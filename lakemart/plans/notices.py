@@ -55,7 +55,7 @@ def scored_neighbours(spark: SparkSession, folder: str, k: int = 3) -> DataFrame
 
 
 def exact_clusters(corpus: Corpus, percent: int = SIMILAR_PERCENT) -> DataFrame:
-    near = similarity.similar_groups(corpus.groups, percent)
+    near = similarity.similar_groups(corpus.group_sets, percent)
     return clusters.cluster_notices(corpus.members, clusters.components(near))
 
 
@@ -69,7 +69,7 @@ class NoticeRun:
 def run_notices(notices: DataFrame, percent: int = SIMILAR_PERCENT, **options) -> NoticeRun:
     """The nightly job: sketch, candidate buckets, exact verification, clusters."""
     corpus = build_corpus(notices, **options)
-    pairs = durable(lsh.verified_pairs(corpus.groups, percent), "verified-pairs")
+    pairs = durable(lsh.verified_pairs(corpus.groups, corpus.sets, percent), "verified-pairs")
     return NoticeRun(corpus, pairs, clusters.cluster_notices(corpus.members, clusters.components(pairs)))
 
 

@@ -1,7 +1,6 @@
 """Text, MinHash, exact similarity join, LSH, clusters and cards."""
 
 import itertools
-import math
 import random
 
 import numpy as np
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 from lakemart.functions import minhash as M
 from lakemart.functions import text as X
 from lakemart.operators import cards, clusters, corpus, lsh, similarity
+from lakemart.operators.quantiles import exact_percentiles
 
 PREAMBLE = "GOVERNMENT OF INDIA -- NATIONAL PROCUREMENT AGGREGATION SERVICE\nThis notice is published as received.\n"
 
@@ -220,7 +220,7 @@ def true_pairs(documents, percent):
 
 
 def test_compact_pairs_stand_for_all_pairs(built, notices):
-    pairs = similarity.near_duplicates(built.groups, similarity.similar_groups(built.groups, 80))
+    pairs = similarity.near_duplicates(built.groups, similarity.similar_groups(built.group_sets, 80))
     total = sum(r.doc_pairs for r in pairs.collect())
     assert total == len(true_pairs(notices[1], 80))
     assert pairs.count() < total / 1.5
@@ -228,8 +228,8 @@ def test_compact_pairs_stand_for_all_pairs(built, notices):
 
 @pytest.mark.parametrize("cap", [1, 2, 5, 1000])
 def test_verified_pairs_do_not_depend_on_the_cap(built, cap):
-    everything = {(r.group_a, r.group_b) for r in lsh.verified_pairs(built.groups, 80, 10**9).collect()}
-    assert {(r.group_a, r.group_b) for r in lsh.verified_pairs(built.groups, 80, cap).collect()} == everything
+    everything = {(r.group_a, r.group_b) for r in lsh.verified_pairs(built.groups, built.sets, 80, 10**9).collect()}
+    assert {(r.group_a, r.group_b) for r in lsh.verified_pairs(built.groups, built.sets, 80, cap).collect()} == everything
     assert len(everything) > 100
 
 
@@ -252,7 +252,7 @@ def test_load_and_recall(built, notices):
     after = lsh.load_summary(lsh.candidate_load(bands, 5), "a").first()
     assert before.notices == after.notices == len(notices[1])
     assert before.max >= 39 * 16 and after.max < before.max and after.total_comparisons < before.total_comparisons
-    truth = similarity.near_duplicates(built.groups, similarity.similar_groups(built.groups, 80))
+    truth = similarity.near_duplicates(built.groups, similarity.similar_groups(built.group_sets, 80))
     free, capped = lsh.recall(truth, built.groups, None).first(), lsh.recall(truth, built.groups, 5).first()
     assert free.truth == capped.truth == len(true_pairs(notices[1], 80))
     assert 0.7 < free.recall <= 1.0 and capped.recall < free.recall
@@ -372,3 +372,13 @@ def test_stability_under_random_growth(spark):
     for i in range(30):
         groups.setdefault(root[i], set()).add(i)
     assert sorted(map(sorted, held.values())) == sorted(map(sorted, groups.values()))
+
+
+def test_exact_percentiles(spark):
+    rng = random.Random(2)
+    data = {k: [rng.randint(0, 20) for _ in range(n)] for k, n in (("a", 1), ("b", 40), ("c", 101))}
+    df = spark.createDataFrame([(k, v) for k, vs in data.items() for v in vs], "k string, v int")
+    got = exact_percentiles(df, ["k"], "v", {"p10": 0.1, "p50": 0.5, "p95": 0.95})
+    for r in got.collect():
+        assert [r.p10, r.p50, r.p95] == pytest.approx(np.percentile(data[r.k], [10, 50, 95]).tolist())
+        assert (r["count"], r.minimum, r.maximum) == (len(data[r.k]), min(data[r.k]), max(data[r.k]))
