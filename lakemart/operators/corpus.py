@@ -20,7 +20,7 @@ from lakemart.workspace import durable
 
 @dataclass(frozen=True)
 class Corpus:
-    """``sketches(doc_id, content_key, n_shingles, shingles, signature)`` per notice,
+    """``sketches(doc_id, content_key, n_shingles, shingles, signature, bands)`` per notice,
     ``groups(group_id, n_docs, n_shingles, bands)`` per content, ``members(doc_id, group_id)``.
 
     A group's id is its smallest notice id, so a group's shingles are that notice's: the sets, which are
@@ -46,7 +46,7 @@ def sketch(
     notices: DataFrame, *, k: int = 3, rules: Sequence[X.CleanRule] = X.RAW_RULES, title: Column | None = None,
     id_col: str = "doc_id", body_col: str = "text",
 ) -> DataFrame:
-    """Shingle set, content key and signature per notice, from whole texts."""
+    """Shingle set, content key, signature and bucket hashes per notice, from whole texts."""
     words = notices.select(
         F.col(id_col).alias("doc_id"), X.tokens(X.cleaned(title, F.col(body_col), rules)).alias("words")
     )
@@ -59,7 +59,7 @@ def sketch(
     return hashed.select(
         "doc_id",
         F.sha2(F.array_join(F.col("shingles").cast("array<string>"), ","), 256).alias("content_key"),
-        F.size("shingles").alias("n_shingles"), "shingles", "signature",
+        F.size("shingles").alias("n_shingles"), "shingles", "signature", M.band_hashes(F.col("signature")).alias("bands"),
     )
 
 
@@ -79,9 +79,9 @@ def build_corpus(notices: DataFrame, **options) -> Corpus:
     """
     sketches = durable(sketch(notices, **options), "sketches")
     keys, members = membership(sketches)
-    signed = sketches.select(F.col("doc_id").alias("group_id"), "n_shingles", "signature")
+    signed = sketches.select(F.col("doc_id").alias("group_id"), "n_shingles", "bands")
     groups = signed.join(keys.select("group_id", "n_docs"), "group_id").select(
-        "group_id", "n_docs", "n_shingles", M.band_hashes(F.col("signature")).alias("bands")
+        "group_id", "n_docs", "n_shingles", "bands"
     )
     return Corpus(sketches, durable(groups, "groups"), members)
 

@@ -83,7 +83,7 @@ def verified_pairs(groups: DataFrame, sets: DataFrame, percent: int, cap: int =
     if large.isEmpty():
         return found
     crowded = bands.join(large, ["band_id", "bucket_hash"], "left_semi").select("group_id").distinct()
-    exact = similar_groups(sets.join(crowded, "group_id", "left_semi"), percent)
+    exact = similar_groups(sets.join(crowded, "group_id", "left_semi"), percent, lookup=sets)
     buckets = groups.select("group_id", "bands")
     colliding = (
         exact.join(buckets.select(F.col("group_id").alias("group_a"), F.col("bands").alias("bands_a")), "group_a")

@@ -20,10 +20,11 @@ def _ceil_div(numerator: Column, denominator: int) -> Column:
     return F.call_function("div", numerator + F.lit(denominator - 1), F.lit(denominator)).cast("bigint")
 
 
-def similar_groups(sets: DataFrame, percent: int) -> DataFrame:
+def similar_groups(sets: DataFrame, percent: int, lookup: DataFrame | None = None) -> DataFrame:
     """``(group_a, group_b, n_a, n_b, shared, jaccard)`` for all pairs of different sets at or above ``percent``.
 
-    ``sets(group_id, n_shingles, shingles)`` holds each content once.
+    ``sets(group_id, n_shingles, shingles)`` holds each content once; ``lookup`` is where the sets of found
+    pairs are read, if another table holds them as well (it may hold more).
 
     1. Count how many groups hold each shingle. One that is in a single group can match nothing and is
        dropped, though it keeps its place at the head of the rarest-first order.
@@ -75,7 +76,7 @@ def similar_groups(sets: DataFrame, percent: int) -> DataFrame:
     pairs = hits.select(
         F.least("x.group_id", "y.group_id").alias("group_a"), F.greatest("x.group_id", "y.group_id").alias("group_b")
     ).distinct()
-    return verify(pairs, sets, percent)
+    return verify(pairs, sets if lookup is None else lookup, percent)
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

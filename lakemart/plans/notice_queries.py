@@ -259,7 +259,7 @@ def repr_compare(spark: SparkSession, folder: str) -> DataFrame:
 def exact_near_dups(spark: SparkSession, folder: str) -> DataFrame:
     """Every pair at or above the threshold, identical copies folded into counts."""
     corpus = build_corpus(N.documents(spark, folder))
-    return similarity.near_duplicates(corpus.groups, similarity.similar_groups(corpus.group_sets, PERCENT))
+    return similarity.near_duplicates(corpus.groups, similarity.similar_groups(corpus.group_sets, PERCENT, corpus.sets))
 
 
 # --- MinHash -------------------------------------------------------------------------------------------
@@ -386,7 +386,7 @@ SELECT truth, hits, hits / truth AS recall FROM sums""")
 def lsh_recall(spark: SparkSession, folder: str) -> DataFrame:
     """Share of all true pairs that the capped buckets retrieve."""
     corpus = build_corpus(N.documents(spark, folder))
-    truth = similarity.near_duplicates(corpus.groups, similarity.similar_groups(corpus.group_sets, PERCENT))
+    truth = similarity.near_duplicates(corpus.groups, similarity.similar_groups(corpus.group_sets, PERCENT, corpus.sets))
     return lsh.recall(truth, corpus.groups, LOW_CAP)
 
 

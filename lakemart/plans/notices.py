@@ -55,7 +55,7 @@ def scored_neighbours(spark: SparkSession, folder: str, k: int = 3) -> DataFrame
 
 
 def exact_clusters(corpus: Corpus, percent: int = SIMILAR_PERCENT) -> DataFrame:
-    near = similarity.similar_groups(corpus.group_sets, percent)
+    near = similarity.similar_groups(corpus.group_sets, percent, corpus.sets)
     return clusters.cluster_notices(corpus.members, clusters.components(near))
 
 

@@ -115,7 +115,7 @@ def process_batch(store: NoticeStore, notices: DataFrame, batch: int, percent: i
     fresh = (
         sketches.drop("content_key").withColumnRenamed("doc_id", "group_id")
         .join(placed.where("is_new").select("group_id", "content_key"), "group_id")
-        .select("group_id", "content_key", "n_shingles", "shingles", M.band_hashes(F.col("signature")).alias("bands"))
+        .select("group_id", "content_key", "n_shingles", "shingles", "bands")
     )
     store.write("groups", batch, fresh)
     fresh = spark.read.schema(GROUP_SCHEMA).parquet(store._batch("groups", batch))
