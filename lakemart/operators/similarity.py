@@ -7,6 +7,8 @@ are whole percents, so that every bound is integer arithmetic and no pair is los
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -121,3 +123,34 @@ def score_pairs(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
         F.when(smaller > 0, F.col("shared") / smaller).otherwise(F.lit(0.0)).alias("containment"),
         M.estimated_jaccard(F.col("signature_a"), F.col("signature_b")).alias("estimate"),
     )
+
+
+def low_similarity(scored: DataFrame, below: float, label: str = "same") -> DataFrame:
+    """Pairs with this label that look unlike each other, the least alike first."""
+    return scored.where((F.col("label") == label) & (F.col("jaccard") < below)).orderBy("jaccard", "doc_a", "doc_b")
+
+
+def with_both(scored: DataFrame, notices: DataFrame, column: str) -> DataFrame:
+    """An attribute of both notices of a pair, as ``<column>_a`` and ``<column>_b``."""
+    values = notices.select("doc_id", column)
+    a = values.withColumnsRenamed({"doc_id": "doc_a", column: f"{column}_a"})
+    b = values.withColumnsRenamed({"doc_id": "doc_b", column: f"{column}_b"})
+    return scored.join(a, "doc_a").join(b, "doc_b")
+
+
+def same_portal(
+    scored: DataFrame, notices: DataFrame, portal: str, label: str = "different", portals: Sequence[str] | None = None
+) -> DataFrame:
+    """Pairs with this label whose notices are on one portal, any or one of the given."""
+    both = with_both(scored, notices, portal).where(
+        (F.col("label") == label) & (F.col(f"{portal}_a") == F.col(f"{portal}_b"))
+    )
+    return both if portals is None else both.where(F.col(f"{portal}_a").isin(*portals))
+
+
+def match_rate(scored: DataFrame, notices: DataFrame, value: str) -> DataFrame:
+    """Share of pairs per label whose notices agree on a value."""
+    same = (F.col(f"{value}_a") == F.col(f"{value}_b")).cast("int")
+    return with_both(scored, notices, value).groupBy("label").agg(
+        F.count("*").alias("pairs"), F.avg(F.coalesce(same, F.lit(0))).alias("match_rate")
+    )

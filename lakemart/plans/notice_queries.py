@@ -32,7 +32,11 @@ def query(sql: str | None = None):
 
 # --- shared pieces of the ANSI twins -------------------------------------------------------------------
 
-TOK_SQL = r"tok AS MATERIALIZED (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS t FROM documents)"
+def tok_sql(text: str) -> str:
+    return f"tok AS MATERIALIZED (SELECT doc_id, regexp_extract_all(lower({text}), '[a-z0-9]+') AS t FROM documents)"
+
+
+TOK_SQL = tok_sql("text")
 
 
 def _runs(k: int) -> str:
@@ -363,7 +367,11 @@ def candidate_load(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query()
+@query(
+    f"SELECT * FROM (WITH {BANDS_SQL} {_load_sql('raw text', 'TRUE')}) UNION ALL SELECT * FROM (WITH "
+    + BANDS_SQL.replace(TOK_SQL, tok_sql(_re2_text(X.STANDARD_RULES, " ")))
+    + f" {_load_sql('cleaned text, capped', f'docs <= {lsh.BUCKET_CAP}')})"
+)
 def skew_mitigation(spark: SparkSession, folder: str) -> DataFrame:
     """The same load on raw text without a cap and on cleaned text with one."""
     docs = N.title_and_body(N.documents(spark, folder))
@@ -412,6 +420,35 @@ def verified_pairs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_LABELLED_SQL = f"""
+WITH {PAIRS_SQL},
+labelled AS (SELECT *, CASE WHEN jaccard >= {PERCENT / 100} THEN 'same' ELSE 'different' END AS label FROM scored)"""
+
+
+@query(f"{_LABELLED_SQL} SELECT doc_a, doc_b, jaccard FROM labelled WHERE label = 'same' AND jaccard < 0.9")
+def low_same_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs labelled the same that share less than nine tenths."""
+    return similarity.low_similarity(N.scored_neighbours(spark, folder), 0.9).select("doc_a", "doc_b", "jaccard")
+
+
+@query(f"""{_LABELLED_SQL}
+SELECT doc_a, doc_b, a.source AS portal, jaccard
+FROM labelled JOIN documents a ON a.doc_id = doc_a JOIN documents b ON b.doc_id = doc_b
+WHERE label = 'different' AND a.source = b.source""")
+def same_portal_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Different notices on one portal, where shared boilerplate would show."""
+    pairs = similarity.same_portal(N.scored_neighbours(spark, folder), N.documents(spark, folder), "source")
+    return pairs.select("doc_a", "doc_b", F.col("source_a").alias("portal"), "jaccard")
+
+
+@query(f"""{_LABELLED_SQL}
+SELECT label, count(*) AS pairs, avg(CAST(a.n_chars = b.n_chars AS INTEGER)) AS match_rate
+FROM labelled JOIN documents a ON a.doc_id = doc_a JOIN documents b ON b.doc_id = doc_b GROUP BY label""")
+def value_match_rate(spark: SparkSession, folder: str) -> DataFrame:
+    """How often the parsed value agrees, per label."""
+    return similarity.match_rate(N.scored_neighbours(spark, folder), N.documents(spark, folder), "n_chars")
+
+
 @query(f"""
 WITH {PAIRS_SQL},
 labelled AS (SELECT estimate, CASE WHEN jaccard >= 0.8 THEN 'same' ELSE 'different' END AS label FROM scored)
@@ -512,6 +549,12 @@ arrived AS (SELECT doc_id, cluster_id, CAST(regexp_extract(source, '(\\d+)$', 1)
 named AS (SELECT cluster_id, arg_min(doc_id, night * 1000000000000 + doc_id) AS canonical FROM arrived GROUP BY 1)"""
 
 
+@query(f"{_CARDS_SQL} SELECT doc_id, cluster_id FROM arrived")
+def notice_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """The nightly job from texts to clusters: sketches, buckets, exact verification, components."""
+    return N.run_notices(N.documents(spark, folder)).clusters
+
+
 @query(f"{_CARDS_SQL} SELECT doc_id, 'CARD-' || canonical AS card_id FROM arrived JOIN named USING (cluster_id)")
 def cards_after_rerun(spark: SparkSession, folder: str) -> DataFrame:
     """Which card each notice is on after three nights of a growing corpus."""

@@ -6,7 +6,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 PARTITION_KEYS = ("year", "month", "store")
 
@@ -36,11 +35,8 @@ def convert_notices(spark: SparkSession, source: str, target: str) -> None:
         spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(source)
         .withColumn("part", F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", ""))
     )
-    try:
-        done = spark.read.parquet(target).select("part").distinct()
-    except AnalysisException:
-        parts.write.partitionBy("part").parquet(target)
-        return
+    spark.createDataFrame([], parts.schema).write.mode("append").partitionBy("part").parquet(target)
+    done = spark.read.schema(parts.schema).parquet(target).select("part").distinct()
     parts.join(done, "part", "left_anti").write.mode("append").partitionBy("part").parquet(target)
 
 

@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lakemart.operators.dedup import keep_first
-from lakemart.workspace import new_path
+from lakemart.workspace import durable
 
 
 def file_stream(spark: SparkSession, folder: str, schema, pattern: str, files_per_batch: int = 1000) -> DataFrame:
@@ -44,21 +43,16 @@ def land_lines(
     determine ``partition`` (a bill belongs to one business day).
     """
 
+    schema = stream.schema
+    stream.sparkSession.createDataFrame([], schema).write.mode("append").partitionBy(partition).parquet(target)
+
     def merge(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
         try:
             touched = batch.select(partition).distinct()
-            try:
-                stored = spark.read.parquet(target).join(touched, partition, "left_semi").select(*batch.columns)
-                both = stored.unionByName(batch)
-            except Exception as error:  # first batch: no table yet
-                if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
-                    raise
-                both = batch
-            staged = new_path(spark, "merged-lines")
-            keep_first(both, keys, order).write.parquet(staged)
-            merged = spark.read.schema(batch.schema).parquet(staged)
+            stored = spark.read.schema(schema).parquet(target).join(touched, partition, "left_semi")
+            merged = durable(keep_first(stored.select(*schema.names).unionByName(batch), keys, order), "merged-lines")
             (
                 merged.hint("rebalance", partition).write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(target)
