@@ -22,7 +22,8 @@ def con():
 @pytest.mark.parametrize("name", [n for n in entry.queries() if n not in SLOW])
 def test_query_matches_sql(spark, con, name):
     verdict, n, _, _ = compare(spark, con, FOLDER, name, entry.queries()[name], entry.oracle_sql().get(name))
-    assert verdict in ("ok", "rows only") and n > 0
+    # A report may be empty at this scale when its twin is; one without a twin has to show something.
+    assert verdict == "ok" or (verdict == "rows only" and n > 0), verdict
 
 
 def test_entry(spark):
