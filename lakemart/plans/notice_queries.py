@@ -195,7 +195,7 @@ def shingle_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""
 WITH {PAIRS_SQL}
-SELECT doc_a, doc_b, shared, jaccard, CASE WHEN least(n_a, n_b) > 0 THEN shared / least(n_a, n_b) ELSE 0.0 END AS containment
+SELECT doc_a, doc_b, CAST(shared AS INTEGER) AS shared, jaccard, CASE WHEN least(n_a, n_b) > 0 THEN shared / least(n_a, n_b) ELSE 0.0 END AS containment
 FROM scored""")
 def jaccard_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return N.scored_neighbours(spark, folder).select("doc_a", "doc_b", "shared", "jaccard", "containment")

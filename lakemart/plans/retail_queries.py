@@ -149,7 +149,7 @@ WITH {KEPT_SQL}, counts AS (SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELE
 SELECT CAST(run AS INTEGER) AS run, raw_rows, kept_rows, raw_rows - kept_rows AS removed_rows, TRUE AS same_as_first
 FROM counts, range(1, 4) AS runs(run)""")
 def idempotency_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Three loads; each later one brings everything again and must change nothing."""
+    """Three loads of the same files; counts and checksums must not differ."""
     raw = T.raw_lines(spark, folder)
     report = dedup.idempotency_report([raw, raw, raw], T.LINE_KEYS, CHECKSUM_COLUMNS, T.LINE_ORDER)
     first = F.min_by("checksum", "run").over(W.partitionBy())
