@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakemart.workspace import durable
 
+# The columns of the three card tables.
 CARDS_SCHEMA = "card_id string, canonical_notice_id bigint, created_at timestamp_ntz, updated_at timestamp_ntz"
 MAPPING_SCHEMA = "notice_id bigint, card_id string"
 REDIRECTS_SCHEMA = "deprecated_card_id string, active_card_id string, merged_at timestamp_ntz"

@@ -21,7 +21,7 @@ class Dialect:
     columns: tuple[str, ...]
 
 
-# The three till generations, and the names that one of them uses.
+# The three till generations, the column names that one of them uses, and the file-name patterns.
 DIALECTS = (
     Dialect("A", ("S01", "S02", "S03", "S04", "S05"), ",",
             ("bill_no", "line_no", "product_code", "qty", "unit_price", "line_type", "ts")),
