@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 1 << 22
+PIECE = 1 << 20
 KNOWN_SEGMENTS = 1 << 21
 LONG_SEGMENT = 64
 
@@ -68,7 +68,7 @@ def is_space(data: np.ndarray) -> np.ndarray:
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span of bytes. Spans ascend and lie within one piece of ``data``."""
-    size = 1 << max(16, int(len(data)).bit_length())
+    size = 1 << max(16, int(len(data) - 1).bit_length())
     up, down = _powers(size)
     total = np.empty(len(data) + 1, np.uint64)
     total[0] = 0
