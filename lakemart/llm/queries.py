@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemart.llm import line_dedup, url_filter
+from lakemart.llm.ngram_join import near_duplicates
 from lakemart.llm.packing import pack
 
 
@@ -19,5 +21,26 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_packing": op1_packing}
-ORACLES: dict[str, str] = {}
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict for every page's URL."""
+    return url_filter.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url")).select(
+        "page_id", "host", "path", "rule", "verdict"
+    )
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without repeated line windows."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.remove_repeated_lines(docs).select("doc_id", "text", "n_lines", "n_removed")
+
+
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: four words, similarity 0.85."""
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, percent=85)
+
+
+QUERIES = {
+    "op1_packing": op1_packing, "op2_url_filter": op2_url_filter, "op7_line_dedup": op7_line_dedup,
+    "op10_ngram_join": op10_ngram_join,
+}
+ORACLES = {"op2_url_filter": url_filter.ANSI, "op7_line_dedup": line_dedup.ANSI}
