@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import line_dedup, url_filter
+from lakemart.llm import id_files, lattice, line_dedup, mixing, topk, toxicity, url_filter
 from lakemart.llm.ngram_join import near_duplicates
 from lakemart.llm.packing import pack
+from lakemart.llm.token_counts import count_tokens
+from lakemart.workspace import new_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,19 +30,62 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word-piece counts of all documents."""
+    return count_tokens(_table(spark, sf_dir, "documents"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the target weights."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mixing.mix_sources(docs).select("doc_id", "domain", "lang", "source", "epoch", "n_tokens", "take_tokens")
+
+
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest sign codes of every vector whose id 50 divides, among all."""
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", topk.sign_code(F.col("embedding")).alias("code"))
+    found = topk.nearest_codes(rows, rows.where("vec_id % 50 = 0"), 10, "vec_id")
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def op6_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids, written to files and read back."""
+    path = new_path(spark, "id-files")
+    id_files.write_ids(_table(spark, sf_dir, "documents"), path)
+    return id_files.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without repeated line windows."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.remove_repeated_lines(docs).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at cosine 0.9."""
+    return lattice.link_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: four words, similarity 0.85."""
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, percent=85)
 
 
 QUERIES = {
-    "op1_packing": op1_packing, "op2_url_filter": op2_url_filter, "op7_line_dedup": op7_line_dedup,
-    "op10_ngram_join": op10_ngram_join,
+    "op1_packing": op1_packing, "op2_url_filter": op2_url_filter, "op3_token_counts": op3_token_counts, "op4_mixing": op4_mixing,
+    "op5_exact_topk": op5_exact_topk, "op6_id_files": op6_id_files, "op7_line_dedup": op7_line_dedup, "op8_toxicity": op8_toxicity,
+    "op9_embedding_dedup": op9_embedding_dedup, "op10_ngram_join": op10_ngram_join,
+}
+ORACLES = {
+    "op2_url_filter": url_filter.ANSI, "op4_mixing": mixing.ANSI, "op5_exact_topk": topk.ANSI, "op7_line_dedup": line_dedup.ANSI,
+    "op9_embedding_dedup": lattice.ANSI,
 }
-ORACLES = {"op2_url_filter": url_filter.ANSI, "op7_line_dedup": line_dedup.ANSI}

@@ -76,7 +76,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def pieces(limits: np.ndarray, cuts: np.ndarray, size: int = PIECE) -> Iterator[tuple[int, int]]:
+def pieces(cuts: np.ndarray, size: int = PIECE) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of ``cuts`` (ascending byte positions, the last one the end) spanning about ``size`` bytes."""
     at = 0
     while at < len(cuts) - 1:
@@ -196,7 +196,7 @@ class Encoder:
         del space, alnum, mark
         cuts = np.append(np.flatnonzero(begin), len(data))
         ids, per = [], []
-        for a, b in pieces(offsets, cuts):
+        for a, b in pieces(cuts):
             lo = cuts[a]
             got = self._segments(data[lo : cuts[b]], cuts[a:b] - lo, cuts[a + 1 : b + 1] - lo)
             ids.append(got[0])
