@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,6 +40,9 @@ def shingle_hashes(shingles: Column) -> Column:
 
 _BLOCK = 1 << 16
 
+# The Arrow function below travels with its helpers, so workers need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _minima(hashes: np.ndarray, starts: np.ndarray, coefs: list[tuple[int, int]]) -> np.ndarray:
     out = np.empty((len(starts), len(coefs)), dtype=np.int32)

@@ -70,15 +70,20 @@ def update_cards(state: CardState, clusters: DataFrame, as_of: str) -> CardState
     used = state.cards.select("card_id").unionByName(
         state.redirects.select(F.col("deprecated_card_id").alias("card_id"))
     ).distinct()
+    # Dated ids are counted on: CARD-n-yyyymmdd, then -2, -3 and so on, whichever of them still exist.
+    stem = F.regexp_replace("card_id", r"(-\d{8})-\d+$", "$1")
+    dated = used.where(F.col("card_id").rlike(r"-\d{8}(-\d+)?$")).groupBy(stem.alias("dated_id")).agg(F.count("*").alias("issued"))
     first = placed.groupBy("cluster_id").agg(F.min("notice_id").alias("first_notice"))
     fresh = durable(
         first.join(oldest, "cluster_id", "left_anti")
         .withColumn("card_id", F.concat(F.lit("CARD-"), F.col("first_notice").cast("string")))
         .join(used.withColumn("taken", F.lit(True)), "card_id", "left")
-        .withColumn(
-            "card_id",
-            F.when(F.col("taken"), F.concat_ws("-", "card_id", F.date_format(now, "yyyyMMdd"))).otherwise(F.col("card_id")),
-        )
+        .withColumn("dated_id", F.concat_ws("-", "card_id", F.date_format(now, "yyyyMMdd")))
+        .join(dated, "dated_id", "left")
+        .withColumn("next_id", F.when(F.col("issued").isNull(), F.col("dated_id")).otherwise(
+            F.concat_ws("-", "dated_id", (F.col("issued") + 1).cast("string"))
+        ))
+        .withColumn("card_id", F.when(F.col("taken"), F.col("next_id")).otherwise(F.col("card_id")))
         .select("cluster_id", "card_id", "first_notice"), "card-fresh"
     )
     card_of = oldest.withColumnRenamed("survivor", "card_id").unionByName(fresh.select("cluster_id", "card_id"))

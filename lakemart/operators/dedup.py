@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakemart.functions.scalars import hex_to_long
+from lakemart.workspace import durable
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -69,6 +70,21 @@ def idempotency_report(runs: Sequence[DataFrame], keys: Sequence[str], columns:
     return report
 
 
+def repeated_loads(raw: DataFrame, keys: Sequence[str], columns: Sequence[Column | str], order: Sequence[Column | str],
+                   runs: int = 3) -> DataFrame:
+    """Load the same rows again and again into one table, each time merged with what it holds; one row per load with
+    the rows it brought, the rows the table holds after it, and the table's checksum as read back."""
+    stored, report = None, None
+    for number in range(1, runs + 1):
+        loaded = raw if stored is None else stored.unionByName(raw)
+        stored = durable(keep_first(loaded, keys, order), "loaded")
+        row = dataset_checksum(stored, columns).select(F.lit(number).alias("run"), F.col("row_count").alias("kept_rows"), "checksum")
+        report = row if report is None else report.unionByName(row)
+    brought = raw.agg(F.count("*").alias("raw_rows"))
+    report = report.withColumn("_one", F.lit(1)).join(brought.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return report.select("run", "raw_rows", "kept_rows", (F.col("raw_rows") - F.col("kept_rows")).alias("removed_rows"), "checksum")
+
+
 def is_idempotent(report: DataFrame) -> DataFrame:
     return report.agg(
         F.count("*").alias("runs"),
@@ -77,17 +93,20 @@ def is_idempotent(report: DataFrame) -> DataFrame:
 
 
 def without_voided_bills(lines: DataFrame) -> DataFrame:
-    """Drop every line of a bill that has a VOID line."""
-    voided = lines.where(F.col("line_type") == "VOID").select("bill_no").distinct()
-    return lines.join(voided, "bill_no", "left_anti")
+    """Drop every line of a bill that has a VOID line; lines without bill stay."""
+    voided = F.max((F.col("line_type") == "VOID").cast("int")).over(W.partitionBy("bill_no"))
+    return lines.withColumn("_voided", voided).where(F.col("bill_no").isNull() | (F.coalesce("_voided", F.lit(0)) == 0)).drop("_voided")
 
 
-def missing_store_days(lines: DataFrame, first_day: str, last_day: str) -> DataFrame:
-    """Runs of days without any line, per store, between two dates (both inclusive).
+def missing_store_days(lines: DataFrame, first_day: str | None = None, last_day: str | None = None) -> DataFrame:
+    """Runs of days without any line, per store, between two dates (both inclusive; from the lines where not given).
 
     Gaps are read off neighbouring observed days, so the store x day calendar is never built. A store
     that appears in ``lines`` only outside the period misses all of it.
     """
+    if first_day is None or last_day is None:
+        ends = lines.agg(F.min("business_date").alias("first"), F.max("business_date").alias("last")).first()
+        first_day, last_day = first_day or ends["first"], last_day or ends["last"]
     first, last = F.lit(first_day).cast("date"), F.lit(last_day).cast("date")
     inside = F.col("business_date").between(first, last)
     days = lines.select("store_id", F.when(inside, F.col("business_date")).alias("day")).distinct()

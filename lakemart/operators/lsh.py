@@ -32,7 +32,7 @@ def notice_bands(bands: DataFrame, members: DataFrame) -> DataFrame:
     return bands.join(members, "group_id").select("band_id", "bucket_hash", "doc_id")
 
 
-def candidate_pairs(bands: DataFrame, members: DataFrame, cap: int = BUCKET_CAP) -> DataFrame:
+def candidate_pairs(bands: DataFrame, members: DataFrame, cap: int) -> DataFrame:
     """Distinct notice pairs that share a bucket of at most ``cap`` notices, ``kind = 'pair'``.
 
     A larger bucket is not expanded into pairs and not dropped either: it is listed once, as its smallest
@@ -135,7 +135,7 @@ def bucket_mix(bands: DataFrame, members: DataFrame, notices: DataFrame, key: st
     )
 
 
-def recall(truth: DataFrame, groups: DataFrame, cap: int | None = BUCKET_CAP) -> DataFrame:
+def recall(truth: DataFrame, groups: DataFrame, cap: int | None = None) -> DataFrame:
     """Share of true notice pairs that the buckets retrieve.
 
     ``truth(group_a, group_b, doc_pairs)`` in compact form. A pair is a hit when both groups are in one

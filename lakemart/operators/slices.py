@@ -15,7 +15,7 @@ from lakemart.functions import scalars as S
 
 
 def report_filter(
-    *, month: str | None = None, store: object | None = None, category: str | None = None
+    *, month: str | None = None, store: object | None = None, category: str | None = None, products: Sequence | None = None,
 ) -> Column:
     """Optional report filters; None means all."""
     condition = F.lit(True)
@@ -25,6 +25,8 @@ def report_filter(
         condition = condition & (F.col("store_id") == store)
     if category is not None:
         condition = condition & (F.col("category") == category)
+    if products is not None:
+        condition = condition & F.col("product_code").isin(*products)
     return condition
 
 
@@ -110,11 +112,15 @@ def price_report(priced: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def compare_periods(report: DataFrame, before: str, after: str) -> DataFrame:
     """Prices of two periods side by side; several prices in a period give every combination."""
-    old = report.where(F.col("period") == before).select("product_code", F.col("list_price").alias("price_before"))
-    new = report.where(F.col("period") == after).select("product_code", F.col("list_price").alias("price_after"))
+    prices = lambda period: F.collect_list(F.when(F.col("period") == period, F.col("list_price")))
+    both = report.where(F.col("period").isin(before, after)).groupBy("product_code").agg(
+        prices(before).alias("old"), prices(after).alias("new")
+    )
+    both = both.select("product_code", F.explode("old").alias("price_before"), "new")
+    both = both.select("product_code", "price_before", F.explode("new").alias("price_after"))
     change = F.round(F.col("price_after") - F.col("price_before"), 2)
     pct = F.round(S.percent_change(F.col("price_before"), F.col("price_after")), 1)
-    return old.join(new, "product_code").select(
+    return both.select(
         "product_code", "price_before", "price_after",
         change.alias("price_change"), pct.alias("pct_change"), S.percent_text(pct).alias("pct_text"),
     )

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from lakemart.functions import minhash as M
 from lakemart.functions import text as X
-from lakemart.operators import cards, clusters, lsh, similarity
+from lakemart.operators import clusters, lsh, similarity
 from lakemart.operators.corpus import build_corpus
 from lakemart.operators.quantiles import exact_percentiles
 from lakemart.plans import notices as N
 from lakemart.sources import lake
 from lakemart.sources import tables as T
+from lakemart.workspace import durable
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -243,8 +244,6 @@ def repr_compare(spark: SparkSession, folder: str) -> DataFrame:
     }
     words = docs.select("doc_id", *[X.tokens(text).alias(name) for name, text in texts.items()])
     sets = words.select("doc_id", *[X.hashed_shingles(X.word_shingles(F.col(name), 2)).alias(name) for name in texts])
-    from lakemart.workspace import durable
-
     sets = durable(sets, "representations")
     a, b = (sets.select(*[F.col(c).alias(f"{c}_{side}") for c in sets.columns]) for side in "ab")
     pairs = N.neighbour_pairs(N.documents(spark, folder)).withColumnsRenamed({"doc_a": "doc_id_a", "doc_b": "doc_id_b"})
@@ -386,16 +385,19 @@ def skew_mitigation(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""
 WITH {BANDS_SQL}, {NEAR_SQL[len(GROUPS_SQL) + 1:]},
-usable AS (SELECT group_id, band_id, bucket_hash FROM band JOIN bucket USING (band_id, bucket_hash) WHERE docs <= {LOW_CAP}),
-hit AS (SELECT DISTINCT t.group_a, t.group_b, doc_pairs FROM truth t JOIN usable a ON a.group_id = t.group_a
-        JOIN usable b ON b.group_id = t.group_b AND a.band_id = b.band_id AND a.bucket_hash = b.bucket_hash),
-sums AS (SELECT CAST((SELECT sum(doc_pairs) FROM truth) AS BIGINT) AS truth, CAST((SELECT sum(doc_pairs) FROM hit) AS BIGINT) AS hits)
-SELECT truth, hits, hits / truth AS recall FROM sums""")
+usable AS (SELECT group_id, band_id, bucket_hash, docs FROM band JOIN bucket USING (band_id, bucket_hash)),
+hit AS (SELECT t.group_a, t.group_b, doc_pairs, min(a.docs) AS docs FROM truth t JOIN usable a ON a.group_id = t.group_a
+        JOIN usable b ON b.group_id = t.group_b AND a.band_id = b.band_id AND a.bucket_hash = b.bucket_hash GROUP BY ALL),
+sums AS (SELECT CAST((SELECT sum(doc_pairs) FROM truth) AS BIGINT) AS truth, CAST((SELECT sum(doc_pairs) FROM hit) AS BIGINT) AS hits,
+                CAST((SELECT sum(doc_pairs) FROM hit WHERE docs <= {LOW_CAP}) AS BIGINT) AS capped_hits)
+SELECT truth, hits, hits / truth AS recall, capped_hits, capped_hits / truth AS capped_recall FROM sums""")
 def lsh_recall(spark: SparkSession, folder: str) -> DataFrame:
-    """Share of all true pairs that the capped buckets retrieve."""
+    """Share of all true pairs that the buckets retrieve, and beside it the share that small buckets would."""
     corpus = build_corpus(N.documents(spark, folder))
     truth = similarity.near_duplicates(corpus.groups, similarity.similar_groups(corpus.group_sets, PERCENT, corpus.sets))
-    return lsh.recall(truth, corpus.groups, LOW_CAP)
+    truth = durable(truth, "true-pairs")
+    capped = lsh.recall(truth, corpus.groups, LOW_CAP).select("truth", F.col("hits").alias("capped_hits"), F.col("recall").alias("capped_recall"))
+    return lsh.recall(truth, corpus.groups).join(capped, "truth")
 
 
 _VERIFIED_SQL = f"""
@@ -559,10 +561,3 @@ def notice_clusters(spark: SparkSession, folder: str) -> DataFrame:
 def cards_after_rerun(spark: SparkSession, folder: str) -> DataFrame:
     """Which card each notice is on after three nights of a growing corpus."""
     return _history(spark, folder).state.mapping.select(F.col("notice_id").alias("doc_id"), "card_id")
-
-
-@query()
-def card_stability(spark: SparkSession, folder: str) -> DataFrame:
-    """Every card handed out on any night still resolves and still holds its notices."""
-    history = _history(spark, folder)
-    return cards.stability(history.issued, history.state)

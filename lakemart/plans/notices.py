@@ -73,10 +73,6 @@ def run_notices(notices: DataFrame, percent: int = SIMILAR_PERCENT, **options) -
     return NoticeRun(corpus, pairs, clusters.cluster_notices(corpus.members, clusters.components(pairs)))
 
 
-def nights(notices: DataFrame, night_of) -> DataFrame:
-    return notices.withColumn("night", night_of)
-
-
 @dataclass(frozen=True)
 class CardHistory:
     state: cards.CardState

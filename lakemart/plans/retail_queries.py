@@ -4,22 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions import scalars as S
 from lakemart.operators import dedup, reconcile, scd, slices
-from lakemart.plans.evidence import plan_evidence
 from lakemart.sources import lake
 from lakemart.sources import tables as T
+from lakemart.workspace import durable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-PERIOD_START, PERIOD_END = "1995-01-01", "2001-12-31"
 REPORT_MONTHS = ("1998-03", "1998-10")
 
 
@@ -129,8 +127,7 @@ _SERIAL_SQL = " || chr(1) || ".join(
 )
 
 
-@query(f"""
-WITH {KEPT_SQL},
+_CHECKSUM_SQL = f"""
 hashed AS (SELECT sha256({_SERIAL_SQL}) AS d FROM kept),
 sums AS (
   SELECT count(*) AS row_count,
@@ -138,24 +135,25 @@ sums AS (
     CAST(sum(CAST('0x' || substr(d, 16, 15) AS BIGINT)) AS VARCHAR) AS slice_1,
     CAST(sum(CAST('0x' || substr(d, 31, 15) AS BIGINT)) AS VARCHAR) AS slice_2,
     CAST(sum(CAST('0x' || substr(d, 46, 15) AS BIGINT)) AS VARCHAR) AS slice_3
-  FROM hashed)
+  FROM hashed)"""
+
+
+@query(f"""
+WITH {KEPT_SQL}, {_CHECKSUM_SQL}
 SELECT *, sha256(slice_0 || '|' || slice_1 || '|' || slice_2 || '|' || slice_3) AS checksum FROM sums""")
 def dataset_checksum(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.dataset_checksum(T.kept_lines(spark, folder), CHECKSUM_COLUMNS)
 
 
 @query(f"""
-WITH {KEPT_SQL}, counts AS (SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM kept) AS kept_rows)
-SELECT CAST(run AS INTEGER) AS run, raw_rows, kept_rows, raw_rows - kept_rows AS removed_rows, TRUE AS same_as_first
+WITH {KEPT_SQL}, {_CHECKSUM_SQL},
+counts AS (SELECT (SELECT count(*) FROM raw) AS raw_rows, row_count AS kept_rows,
+                  sha256(slice_0 || '|' || slice_1 || '|' || slice_2 || '|' || slice_3) AS checksum FROM sums)
+SELECT CAST(run AS INTEGER) AS run, raw_rows, kept_rows, raw_rows - kept_rows AS removed_rows, checksum
 FROM counts, range(1, 4) AS runs(run)""")
 def idempotency_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Three loads of the same files; counts and checksums must not differ."""
-    raw = T.raw_lines(spark, folder)
-    report = dedup.idempotency_report([raw, raw, raw], T.LINE_KEYS, CHECKSUM_COLUMNS, T.LINE_ORDER)
-    first = F.min_by("checksum", "run").over(W.partitionBy())
-    return report.select(
-        "run", "raw_rows", "kept_rows", "removed_rows", (F.col("checksum") == first).alias("same_as_first")
-    )
+    """The same files loaded three times into one table; what is read back must not differ."""
+    return dedup.repeated_loads(T.raw_lines(spark, folder), T.LINE_KEYS, CHECKSUM_COLUMNS, T.LINE_ORDER)
 
 
 # --- slices --------------------------------------------------------------------------------------------
@@ -415,8 +413,9 @@ report AS (
   GROUP BY month, net.product_code, pr.list_price)"""
 
 
-def _price_report(spark: SparkSession, folder: str) -> DataFrame:
-    return slices.price_report(_priced(spark, folder), ["period", "product_code", "list_price"]).withColumn(
+def _price_report(spark: SparkSession, folder: str, wanted: Column | None = None) -> DataFrame:
+    priced = _priced(spark, folder)
+    return slices.price_report(priced if wanted is None else priced.where(wanted), ["period", "product_code", "list_price"]).withColumn(
         "list_price", S.as_double(F.col("list_price"))
     )
 
@@ -439,7 +438,7 @@ def price_compare_periods(spark: SparkSession, folder: str) -> DataFrame:
 
 _PERIOD_QUERY = """
 SELECT period, product_code, sum(lines) AS lines, CAST(sum(qty * list_price) AS DOUBLE) AS revenue_at_list_price
-FROM {priced} WHERE period = :period GROUP BY period, product_code"""
+FROM {priced} WHERE period IN (:first, :second) GROUP BY period, product_code"""
 
 
 @query(f"""{_PRICED_SQL},
@@ -451,10 +450,20 @@ counted AS (
   GROUP BY 1, 2)
 SELECT * FROM counted WHERE period IN {REPORT_MONTHS}""")
 def period_param_report(spark: SparkSession, folder: str) -> DataFrame:
-    """One SQL text, run for two periods; only the parameter differs."""
-    priced = _priced(spark, folder)
-    first, second = (spark.sql(_PERIOD_QUERY, args={"period": p}, priced=priced) for p in REPORT_MONTHS)
-    return first.unionByName(second)
+    """One SQL text with the periods as parameters; both are computed in one pass."""
+    return spark.sql(_PERIOD_QUERY, args=dict(zip(("first", "second"), REPORT_MONTHS)), priced=_priced(spark, folder))
+
+
+PRODUCT_SUBSET = (1, 2, 3, 5, 8, 13, 21, 34, 55, 89)
+
+
+@query(f"""{_PRICED_SQL}
+SELECT period, product_code, list_price, total_qty, revenue_at_list_price FROM report WHERE product_code IN {PRODUCT_SUBSET}""")
+def product_subset_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The price report for a chosen list of products."""
+    subset = slices.report_filter(products=PRODUCT_SUBSET)
+    report = _price_report(spark, folder, subset)
+    return report.select("period", "product_code", "list_price", "total_qty", "revenue_at_list_price")
 
 
 @query(f"""
@@ -586,10 +595,10 @@ def bill_rounded_revenue(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_CALENDAR_SQL = f"""
+_CALENDAR_SQL = """
 calendar AS (SELECT store_id, CAST(day AS DATE) AS day
              FROM (SELECT DISTINCT store_id FROM kept),
-                  (SELECT unnest(generate_series(DATE '{PERIOD_START}', DATE '{PERIOD_END}', INTERVAL 1 DAY)) AS day)),
+                  (SELECT unnest(generate_series(min(business_date), max(business_date), INTERVAL 1 DAY)) AS day FROM kept)),
 gone AS (SELECT * FROM calendar ANTI JOIN (SELECT DISTINCT store_id, business_date AS day FROM kept) USING (store_id, day))"""
 
 
@@ -597,8 +606,8 @@ gone AS (SELECT * FROM calendar ANTI JOIN (SELECT DISTINCT store_id, business_da
 WITH {KEPT_SQL}, {_CALENDAR_SQL}
 SELECT store_id, count(*) AS n_missing, min(day) AS first_missing FROM gone GROUP BY store_id""")
 def missing_store_days(spark: SparkSession, folder: str) -> DataFrame:
-    gaps = dedup.missing_store_days(T.kept_lines(spark, folder), PERIOD_START, PERIOD_END)
-    return dedup.store_day_gaps(gaps)
+    days = durable(T.kept_lines(spark, folder).select("store_id", "business_date").distinct(), "store-days")
+    return dedup.store_day_gaps(dedup.missing_store_days(days))
 
 
 @query(f"""
@@ -616,8 +625,8 @@ SELECT totals.month, CAST(finance_revenue - exact_revenue AS DOUBLE) AS variance
 FROM totals LEFT JOIN finance ON totals.month = finance.month LEFT JOIN lost ON totals.month = lost.month""")
 def variance_cause(spark: SparkSession, folder: str) -> DataFrame:
     """Finance differs by an outside order (March), lost days (July), bill rounding (December), one month open."""
-    lines = T.revenue_lines(spark, folder)
-    totals = reconcile.bill_rounded_revenue(lines)
+    kept = durable(T.kept_lines(spark, folder), "kept-lines")
+    totals = durable(reconcile.bill_rounded_revenue(T.with_revenue(kept)), "month-totals")
     number = F.substring("month", 6, 2)
     finance = totals.where(F.col("month") != "1999-09").select(
         "month",
@@ -627,7 +636,7 @@ def variance_cause(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.col("exact_revenue")).alias("finance_revenue"),
     )
     adjustments = totals.where(number == "03").select("month", F.lit("486250.00").cast(S.MONEY).alias("amount"))
-    gaps = dedup.missing_store_days(T.kept_lines(spark, folder), PERIOD_START, PERIOD_END)
+    gaps = dedup.missing_store_days(kept)
     lost = (
         gaps.select(F.explode(F.sequence("first_missing", "last_missing")).alias("day"))
         .groupBy(S.month_key(F.col("day")).alias("month")).agg(F.count("*").alias("n_missing"))
@@ -665,13 +674,3 @@ def partition_prune_report(spark: SparkSession, folder: str) -> DataFrame:
     landed = spark.read.parquet(path)
     one_month = landed.where((F.col("year") == 1998) & (F.col("month") == 10) & (F.col("store") == "ASIA"))
     return lake.pruning_report(landed, one_month)
-
-
-@query()
-def plan_evidence_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Which filters, columns and joins the engine chose for a filtered line-to-product join."""
-    lines = T.table(spark, folder, "lineitem").where(
-        (F.col("l_returnflag") == "A") & (F.col("l_shipdate") >= F.lit("1998-10-01").cast("timestamp_ntz"))
-    )
-    joined = lines.join(T.table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return plan_evidence(joined.groupBy("p_type").agg(F.sum("l_extendedprice").alias("amount")))

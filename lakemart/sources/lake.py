@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemart.operators.dedup import keep_first
+from lakemart.sources import pos
+from lakemart.workspace import durable
+
 PARTITION_KEYS = ("year", "month", "store")
 
 
@@ -29,15 +33,35 @@ def land(df: DataFrame, path: str, keys: tuple[str, ...] = PARTITION_KEYS) -> No
     )
 
 
+def land_days(
+    lines: DataFrame, path: str, partition: tuple[str, ...] = PARTITION_KEYS, keys: Sequence[str] = pos.LINE_KEYS,
+    order: Sequence[str] = pos.LINE_ORDER,
+) -> None:
+    """Land one or more days, or re-sends of parts of them, and keep what their partitions already hold.
+
+    The partitions that the new lines touch are read, joined with them, each line is kept once (the original before
+    its re-sends), and those partitions are replaced.
+    """
+    spark, schema = lines.sparkSession, lines.schema
+    spark.createDataFrame([], schema).write.mode("append").partitionBy(*partition).parquet(path)
+    touched = lines.select(*partition).distinct()
+    stored = spark.read.schema(schema).parquet(path).join(touched, list(partition), "left_semi").select(*schema.names)
+    land(durable(keep_first(stored.unionByName(lines), keys, order), "landed-days"), path, partition)
+
+
 def convert_notices(spark: SparkSession, source: str, target: str) -> None:
     """CSV part files to Parquet, one partition per part; parts that are there already are skipped."""
-    parts = (
-        spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(source)
-        .withColumn("part", F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", ""))
-    )
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    name = F.regexp_extract("path", r"([^/]+)\.csv$", 1)
+    files = listing.option("pathGlobFilter", "*.csv").load(source).select("path", name.alias("part"))
+    part = F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", "")
+    parts = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(source).withColumn("part", part)
     spark.createDataFrame([], parts.schema).write.mode("append").partitionBy("part").parquet(target)
-    done = spark.read.schema(parts.schema).parquet(target).select("part").distinct()
-    parts.join(done, "part", "left_anti").write.mode("append").partitionBy("part").parquet(target)
+    done = listing.option("pathGlobFilter", "*.parquet").load(target).select(F.regexp_extract("path", r"/part=([^/]+)/", 1).alias("part"))
+    missing = [r["path"] for r in files.join(done.distinct(), "part", "left_anti").select("path").collect()]  # names of files only
+    if missing:
+        again = spark.read.schema(parts.drop("part").schema).option("header", True).option("multiLine", True).option("escape", '"')
+        again.csv(missing).withColumn("part", part).write.mode("append").partitionBy("part").parquet(target)
 
 
 def scan_counts(df: DataFrame, key: str, names: tuple[str, str] = ("row_count", "key_count")) -> DataFrame:

@@ -30,6 +30,8 @@ DIALECTS = (
     Dialect("C", ("S10", "S11", "S12"), ",",
             ("ts", "bill_no", "line_no", "line_type", "product_code", "unit_price", "qty")),
 )
+#: How a store that is in no list writes.
+OTHER_STORES = Dialect("other", (), ",", DIALECTS[0].columns)
 RENAMES = {"item_code": "product_code", "quantity": "qty", "rate": "unit_price", "type": "line_type", "txn_time": "ts"}
 FILE_NAME = r"^SALES_([A-Z0-9]+)_(\d{4})(\d{2})(\d{2})"
 RESEND = r"__R(\d+)"
@@ -72,13 +74,15 @@ def short_file_contract(file_name: Column) -> dict[str, Column]:
 
 
 def _glob(dialect: Dialect, extension: str) -> str:
-    return f"SALES_{{{','.join(dialect.stores)}}}_*.{extension}"
+    stores = f"{{{','.join(dialect.stores)}}}" if dialect.stores else "*"
+    return f"SALES_{stores}_*.{extension}"
 
 
 def _csv(spark: SparkSession, folder: str, dialect: Dialect) -> DataFrame:
+    """A till's files; a header that names other columns, or the same in another order, fails the read."""
     schema = ", ".join(f"{c} string" for c in dialect.columns)
     return (
-        spark.read.schema(schema).option("header", True).option("sep", dialect.separator)
+        spark.read.schema(schema).option("header", True).option("sep", dialect.separator).option("enforceSchema", False)
         .option("pathGlobFilter", _glob(dialect, "csv")).option("recursiveFileLookup", True).csv(folder)
     )
 
@@ -95,14 +99,22 @@ def _parquet(spark: SparkSession, folder: str, dialect: Dialect) -> DataFrame |
         raise
 
 
-def read_staging(spark: SparkSession, folder: str, dialects: tuple[Dialect, ...] = DIALECTS) -> DataFrame:
-    """All till files below a folder, CSV and Parquet, as text columns with their file's store, date and re-send."""
+def read_staging(
+    spark: SparkSession, folder: str, dialects: tuple[Dialect, ...] = DIALECTS, default: Dialect = OTHER_STORES
+) -> DataFrame:
+    """All till files below a folder, CSV and Parquet, as text columns with their file's store, date and re-send.
+
+    Stores that no dialect lists are read in the ``default`` one.
+    """
     staged = None
-    for dialect in dialects:
+    listed = [store for dialect in dialects for store in dialect.stores]
+    for dialect in (*dialects, default):
         for scan in (_csv(spark, folder, dialect), _parquet(spark, folder, dialect)):
             if scan is None:
                 continue
             name = F.col("_metadata.file_name")
+            if not dialect.stores:  # files of listed stores are left out before any is opened
+                scan = scan.where(~name.rlike(f"^SALES_({'|'.join(listed) or '$.'})_"))
             part = scan.select("*", name.alias("file_name"), *[c.alias(n) for n, c in file_contract(name).items()])
             part = part.withColumnsRenamed(RENAMES)
             part = part.select(*[F.col(c).cast("string").alias(c) for c in STAGED],
@@ -171,8 +183,10 @@ def read_finance(spark: SparkSession, path: str) -> DataFrame:
 
     Data rows are those that begin with a month; a header or preamble line does not.
     """
-    rows = spark.read.text(path).where(F.col("value").rlike(r"^\d{4}-\d{2},")).select(F.split("value", ",").alias("c"))
-    wide = F.size("c") >= 4
+    fields = F.from_csv("value", "a string, b string, c string, d string", {"mode": "PERMISSIVE"})
+    rows = spark.read.text(path).where(F.col("value").rlike(r"^\d{4}-\d{2},")).select(fields.alias("f"))
+    rows = rows.select(F.array("f.a", "f.b", "f.c", "f.d").alias("c"))
+    wide = F.get("c", 3).isNotNull()
     return rows.select(
         F.get("c", 0).alias("month"),
         F.when(wide, F.get("c", 1)).try_cast("date").alias("closed_on"),

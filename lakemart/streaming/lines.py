@@ -10,17 +10,18 @@ from lakemart.operators.dedup import keep_first
 from lakemart.workspace import durable
 
 
-def file_stream(spark: SparkSession, folder: str, schema, pattern: str, files_per_batch: int = 1000) -> DataFrame:
-    """New Parquet files of a folder."""
+def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1000) -> DataFrame:
+    """New Parquet files at ``path``: a folder of part files, a single file, or a pattern of either."""
     return (
-        spark.readStream.schema(schema).option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", files_per_batch).parquet(folder)
+        spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
+        .option("maxFilesPerTrigger", files_per_batch).parquet(path)
     )
 
 
 def dedup_within(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
     """First arrival of each key. State for a key is kept for ``delay`` of event time, which has to cover the
-    longest time after which a line may be sent again."""
+    longest time after which a line may be sent or may arrive: what is older than that is dropped. Where no such
+    time is known, ``land_lines`` merges without one."""
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 

@@ -6,6 +6,8 @@ names in ``spark.checkpoint.dir``. Only a local session that names none gets a f
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -24,6 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
     app = spark.conf.get("spark.app.id")
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="lakemart-")
+        atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
     return _local_dirs[app]
 
 
@@ -31,6 +34,15 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/lakemart/{label}-{uuid.uuid4().hex}"
 
 
+def clean(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this library in the session's shared folder, once results have been consumed.
+
+    Sessions that run at the same time should not share a folder.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/lakemart")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def durable(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and continue from the files: one computation, no lineage behind it."""
     spark = df.sparkSession

@@ -1,15 +1,21 @@
 """Every catalogue query against its ANSI twin at the smallest scale, and the plans that matter at the largest."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from lakemart.plans import catalogue
+from lakemart.plans.evidence import plan_evidence
+from lakemart.sources import tables as T
+from lakemart import workspace
 from oracle_check import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
-SLOW = {"cards_after_rerun", "card_stability", "stream_cards", "partition_prune_report", "shingle_counts"}
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
 
@@ -19,7 +25,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in SLOW])
+@pytest.mark.parametrize("name", list(catalogue.queries()))
 def test_query_matches_sql(spark, con, name):
     verdict, n, _, _ = compare(spark, con, FOLDER, name, entry.queries()[name], entry.oracle_sql().get(name))
     # A report may be empty at this scale when its twin is; one without a twin has to show something.
@@ -46,6 +52,34 @@ def test_scans_read_only_what_is_needed(spark):
 
 
 def test_filters_reach_the_scan(spark):
-    evidence = entry.queries()["plan_evidence_report"](spark, FOLDER)
+    lines = T.table(spark, FOLDER, "lineitem").where(
+        (F.col("l_returnflag") == "A") & (F.col("l_shipdate") >= F.lit("1998-10-01").cast("timestamp_ntz"))
+    )
+    joined = lines.join(T.table(spark, FOLDER, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    evidence = plan_evidence(joined.groupBy("p_type").agg(F.sum("l_extendedprice").alias("amount")))
     pushed = [r.value for r in evidence.where(F.col("property") == "PushedFilters").collect()]
     assert any("EqualTo(l_returnflag,A)" in v and "l_shipdate" in v for v in pushed)
+
+
+def test_signatures_on_workers_without_the_package(tmp_path):
+    """The driver has the package on its path; the workers run in another folder and have none."""
+    code = f"""
+import sys
+sys.path.insert(0, {ROOT!r})
+from pyspark.sql import SparkSession, functions as F
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "1").getOrCreate()
+from lakemart.functions import minhash as M
+df = spark.range(3).select(F.array(F.col("id"), F.col("id") + 1).alias("h"))
+print("ROWS", df.select(F.size(M.signature(F.col("h")))).distinct().collect()[0][0])
+"""
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "SPARK_HOME")}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS 128" in done.stdout, done.stderr[-2000:]
+
+
+def test_intermediates_can_be_deleted(spark):
+    entry.queries()["duplicate_base_rate"](spark, FOLDER).collect()
+    folder = workspace.shared_dir(spark).removeprefix("file://")
+    assert os.path.exists(f"{folder}/lakemart")
+    workspace.clean(spark)
+    assert not os.path.exists(f"{folder}/lakemart")

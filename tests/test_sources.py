@@ -146,6 +146,41 @@ def test_landing_one_month_leaves_the_others(spark, till, tmp_path):
     assert spark.read.parquet(target).count() == 9
 
 
+def test_days_landed_one_after_the_other(spark, rows, till, tmp_path):
+    lines = lake.with_month_keys(pos.read_lines(spark, str(till)))
+    target = str(tmp_path / "lake")
+    days = sorted(r[0] for r in lines.select("business_date").distinct().collect())
+    for day in [*days, days[0]]:
+        lake.land_days(lines.where(F.col("business_date") == day), target)
+    want = dedup.keep_first(lines, pos.LINE_KEYS, pos.LINE_ORDER)
+    columns = ("bill_no", "line_no", "business_date", "store_id")
+    assert rows(spark.read.parquet(target), *columns) == rows(want, *columns)
+
+
+def test_stores_beyond_the_list_are_read(spark, rows, tmp_path):
+    folder = tmp_path / "more"
+    folder.mkdir()
+    header = "bill_no,line_no,product_code,qty,unit_price,line_type,ts"
+    for store, bill in (("S01", "B1"), ("S13", "B2"), ("X9", "B3")):
+        (folder / f"SALES_{store}_20240101.csv").write_text(f"{header}\n{bill},1,P1,2,10.00,SALE,2024-01-01 10:00:00\n")
+    (folder / "SALES_S06_20240101.csv").write_text("bill_no;line_no;item_code;quantity;rate;type;txn_time\nB4;1;P1;2;10.00;SALE;01-01-2024 10:00:00\n")
+    assert rows(pos.read_lines(spark, str(folder)), "bill_no", "store_id") == [("B1", "S01"), ("B2", "S13"), ("B3", "X9"), ("B4", "S06")]
+
+
+def test_another_column_order_is_refused(spark, tmp_path):
+    folder = tmp_path / "swapped"
+    folder.mkdir()
+    (folder / "SALES_S01_20240101.csv").write_text("line_no,bill_no,product_code,qty,unit_price,line_type,ts\n1,B1,P1,2,10.00,SALE,2024-01-01 10:00:00\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        pos.read_lines(spark, str(folder)).collect()
+
+
+def test_quoted_sign_off(spark, rows, tmp_path):
+    path = tmp_path / "finance.csv"
+    path.write_text('month,closed_on,revenue,signed_off_by\n2024-01,2024-02-09,100.50,"Doe, Jo"\n')
+    assert rows(pos.read_finance(spark, str(path)), "signed_off_by") == [("Doe, Jo",)]
+
+
 def test_notice_conversion_skips_known_parts(spark, rows, tmp_path):
     source = tmp_path / "notices"
     source.mkdir()
