@@ -159,13 +159,14 @@ def _cut(text: str) -> Iterator[str]:
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3) -> np.ndarray:
     """A linear machine with squared hinge loss, by Newton steps; the last coefficient is the bias."""
-    x = np.column_stack([x, np.ones(len(x))])
+    x = np.column_stack([x, np.ones(len(x), x.dtype)])
     beta, ridge = np.zeros(x.shape[1]), penalty * weight.sum() * np.eye(x.shape[1])
     ridge[-1, -1] *= 1e-3
     for _ in range(25):
         active = y * (x @ beta) < 1
-        own = x[active] * weight[active, None]
-        step = np.linalg.solve(own.T @ x[active] + ridge, own.T @ y[active])
+        some = x[active].astype(np.float64)
+        own = some * weight[active, None]
+        step = np.linalg.solve(own.T @ some + ridge, own.T @ y[active])
         if np.abs(step - beta).max() < 1e-7:
             break
         beta = step
@@ -220,13 +221,13 @@ def train(texts: list[str], toxic: np.ndarray, shares: tuple[float, float], land
         for k, (slots, values) in enumerate(parts):
             np.add.at(table[:, k], place[at : at + len(slots)], values)
             at += len(slots)
-        kernel = _kernel(marks, used, table)
+        kernel = _kernel(marks, used, table).astype(np.float64)
         value, vector = np.linalg.eigh((kernel + kernel.T) / 2)
         strong = value > 1e-6 * value.max()
         root = vector[:, strong] / np.sqrt(value[strong])
         bent = {v for w in bad for v in _bent(w)} - bad - set(in_clean)
         chosen = sorted(bad) + sorted(bent) + sorted(negatives)
-        x = _kernel(chosen, used, table) @ root
+        x = _kernel(chosen, used, table) @ root.astype(np.float32)
         y = np.where(np.arange(len(chosen)) < len(bad) + len(bent), 1.0, -1.0)
         seen = np.array([0.1 if w in bent else 1 + np.log1p(in_toxic[w] + in_clean[w]) for w in chosen])
         weight = seen / np.where(y > 0, seen[y > 0].sum(), seen[y < 0].sum() / 4)
@@ -275,7 +276,7 @@ def _bent(word: bytes) -> list[bytes]:
 
 def _kernel(words: list[bytes], used: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Kernel values of words with the landmarks of ``table``, whose rows are the slots ``used`` and one of zeros."""
-    out = np.zeros((len(words), table.shape[1]))
+    out = np.zeros((len(words), table.shape[1]), np.float32)
     for k, word in enumerate(words):
         slots, values = _subsequences(word)
         at = np.minimum(np.searchsorted(used, slots), len(used) - 1)
