@@ -8,9 +8,10 @@ its k emptiest segments (those that unrelated texts share by chance) and one equ
 are fixed for bands of size; a text is filed in the band of its own size and, if a larger partner could lie in the
 next, there too. Segments are kept sparse, as the exclusive-or of their places.
 
-Equal segments gather texts in buckets. Texts with one set are one class before that. A bucket is first linked to the
-member that meets most others; what that verifies is joined into components, and only members of different components
-in one bucket are compared after that. Every verdict is an exact count on the texts' shingles.
+Equal segments gather texts in buckets. Texts with one set are one class before that. A bucket's members are first
+compared with the one that meets most others; what that verifies is joined into components. Pairs of one
+bucket that are not in one component after that are compared by dense sketches, block against block. Before any text is
+read, a pair's Hamming distance must leave the link possible; every verdict is an exact count on the shingles.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from lakemart.workspace import durable, durable_observed
 
 ROWS_BYTES = 1 << 20
 GROUP_KEYS = 1 << 20
+BLOCK = 1024
 _STEP = np.uint64(0xA0761D6478BD642F)
 
 
@@ -238,30 +240,105 @@ def similar_classes(docs: DataFrame, shingle: int = 5, percent: int = 80) -> tup
     involved = stars.select(F.col("a").alias("sig")).union(stars.select("b")).distinct()
     reps = classes.groupBy("sig").agg(F.min("doc_id").alias("rep")).join(involved, "sig")
 
-    def recheck(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:  # another row may have the same id
-            sigs, keep = batch.column(0).to_numpy(), []
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sigs = batch.column(0).to_numpy()
             for row, sets, counts in shingle_sets(batch.column(1), shingle):
-                keep += (row + np.flatnonzero(signatures(sets, counts) == sigs[row : row + len(counts)])).tolist()
-            yield batch.take(pa.array(keep, pa.int64()))
+                keep = np.flatnonzero(signatures(sets, counts) == sigs[row : row + len(counts)])  # another row may have the same id
+                ends = np.cumsum(counts)
+                bits = [parity_sketch(sets[ends[i] - counts[i] : ends[i]]) for i in keep]
+                take = pa.array(row + keep)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(take), batch.column(1).take(take), pa.array(counts[keep]), pa.array(bits, pa.binary())], ["sig", "text", "n", "bits"]
+                )
 
     found = docs.join(reps, docs["doc_id"].eqNullSafe(reps["rep"])).select("sig", "text")
-    texts = durable(found.mapInArrow(recheck, "sig bigint, text string").dropDuplicates(["sig"]), "class-texts")
+    texts = durable(found.mapInArrow(sketch, "sig bigint, text string, n bigint, bits binary").dropDuplicates(["sig"]), "class-texts")
 
-    linked = _verified(stars, texts, shingle, percent, "star-links")
-    labels = components(linked)
-    places = buckets.select(F.xxhash64("members").alias("bucket"), "members").dropDuplicates(["bucket"])
-    places = places.select("bucket", F.explode("members").alias("node")).join(labels, "node", "left")
-    places = durable(places.select("bucket", "node", F.coalesce("component", "node").alias("component")), "bucket-places")
-    open_buckets = places.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("bucket")
-    apart = durable(places.join(open_buckets, "bucket"), "open-places")
-    left, right = (apart.select("bucket", F.col("node").alias(n), F.col("component").alias(c)) for n, c in (("a", "ca"), ("b", "cb")))
-    rest = left.join(right, "bucket").where("a < b and ca != cb").select("a", "b").distinct()
-    rest = rest.join(stars, ["a", "b"], "left_anti")
+    side = lambda c: texts.select(F.col("sig").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+    sketched = stars.join(side("b"), "b").join(side("a"), "a").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4), batch.column(5))
+            keep = pa.array([i for i, (x, y, p, q) in enumerate(sizes) if may_link(x, y, p.as_py(), q.as_py(), percent)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], ["a", "b"])
+
+    close = durable(sketched.mapInArrow(near, "a bigint, b bigint"), "close-stars")
+    linked = _verified(close, texts, shingle, percent, "star-links")
+    rest = durable(_apart(buckets, components(linked), texts, percent).distinct(), "close-pairs")
     more = _verified(rest, texts, shingle, percent, "rest-links")
     return classes, components(linked.unionByName(more))
 
 
+def parity_sketch(shingles: np.ndarray) -> bytes:
+    """One bit flipped for each shingle, in a power of two of bits, one to two times as many as shingles.
+
+    That is an eighth to a quarter of a byte for each, and sets that differ in half as much again as a link allows rarely pass.
+    """
+    size = 1 << max(6, len(shingles).bit_length())
+    flips = np.bincount((mix(shingles ^ _STEP) & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    return np.packbits((flips & 1).astype(np.uint8)).tobytes()
+
+
+def _folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (rows of 64-bit words) folded to fewer words: the sketches they would have had at that size."""
+    while bits.shape[1] > words:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
+def may_link(n_a: int, n_b: int, bits_a: bytes, bits_b: bytes, percent: int) -> bool:
+    """Whether two sketches leave it open that the sets are similar enough."""
+    if 100 * min(n_a, n_b) < percent * max(n_a, n_b):
+        return False
+    a, b = (np.frombuffer(x, np.uint64)[None] for x in (bits_a, bits_b))
+    words = min(a.shape[1], b.shape[1])
+    return int(np.bitwise_count(_folded(a, words) ^ _folded(b, words)).sum()) * (100 + percent) <= (100 - percent) * (n_a + n_b)
+
+
+def _apart(buckets: DataFrame, labels: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one bucket that no link joins yet and whose sketches are close enough. Large buckets are dealt to blocks,
+    and a bucket looks at a pair in one block."""
+    places = buckets.select(F.xxhash64("members").alias("bucket"), "members").dropDuplicates(["bucket"])
+    places = places.select("bucket", F.explode("members").alias("node")).join(labels, "node", "left")
+    placed = durable(places.select("bucket", "node", F.coalesce("component", "node").alias("own")), "bucket-places")
+    open_ = placed.groupBy("bucket").agg(F.min("own").alias("lo"), F.max("own").alias("hi"), F.count("*").alias("size")).where("lo != hi")
+    open_ = durable(open_.select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "open-buckets")
+    members = durable(placed.join(open_, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")), "bucket-members")
+    members = members.join(texts.select(F.col("sig").alias("node"), "n", "bits"), "node")
+    own = ("node", "own", "n", "bits")
+    sides = members.select("bucket", "block", "blocks", *own, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    sides = sides.select(
+        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") <= F.col("other")).alias("left"), *own
+    )
+
+    def compare(table: pa.Table) -> pa.Table:
+        node, label, n = (table[c].to_numpy() for c in ("node", "own", "n"))
+        left = table["left"].to_numpy(zero_copy_only=False)
+        bits = [np.frombuffer(x, np.uint64) for x in table["bits"].to_pylist()]
+        words = np.array([len(x) for x in bits])
+        rows, cols = np.flatnonzero(left), np.flatnonzero(~left) if not left.all() else np.flatnonzero(left)
+        out = []
+        for wa in np.unique(words[rows]):
+            for wb in np.unique(words[cols]):
+                a, b, w = rows[words[rows] == wa], cols[words[cols] == wb], min(wa, wb)
+                xa, xb = (_folded(np.stack([bits[k] for k in side]), w) for side in (a, b))
+                for i, x in zip(a.tolist(), xa):
+                    fit = (label[b] != label[i]) & (100 * np.minimum(n[b], n[i]) >= percent * np.maximum(n[b], n[i]))
+                    if left.all():
+                        fit &= node[b] > node[i]
+                    some = np.flatnonzero(fit)
+                    if len(some):
+                        gap = np.bitwise_count(xb[some] ^ x).sum(1, dtype=np.int64)
+                        out += [(node[i], node[k]) for k in b[some[gap * (100 + percent) <= (100 - percent) * (n[b[some]] + n[i])]]]
+        pairs = np.array(out, np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs.min(1), "b": pairs.max(1)} if len(pairs) else {"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return sides.groupBy("bucket", "i", "j").applyInArrow(compare, "a bigint, b bigint")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row.
 
