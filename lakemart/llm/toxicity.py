@@ -19,7 +19,6 @@ doubled are trained on as well.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -185,68 +184,74 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 def train(texts: list[str], toxic: np.ndarray, shares: tuple[float, float], landmarks: int = LANDMARKS, rounds: int = 3) -> Model:
     """A model from sample texts. ``shares``: the weight of a clean and of a toxic text, which restores the labels' true shares."""
+    number: dict[bytes, int] = {}
     words = []
     for text in texts:
-        own: Counter = Counter()
+        own: dict[bytes, None] = {}
         for piece in _cut(text):
             codes, sizes = word_symbols(piece)
             raw, ends = codes.tobytes(), np.cumsum(sizes)
-            own.update(raw[e - s : e] for e, s in zip(ends.tolist(), sizes.tolist()) if 5 <= s <= 42)
-        words.append(own)
+            own |= dict.fromkeys(raw[e - s : e] for e, s in zip(ends.tolist(), sizes.tolist()) if 5 <= s <= 42)
+        words.append(np.fromiter((number.setdefault(w, len(number)) for w in own), np.int32, len(own)))
+    every = list(number)
     held = np.arange(len(texts)) % 10 >= 7
     n_toxic, n_clean = int((toxic[~held] == 1).sum()), int((toxic[~held] == 0).sum())
     blank = Model(np.zeros(_SLOTS, np.float32), -1.0, 0.0, np.array([np.log((shares[1] * n_toxic + 0.5) / (shares[0] * n_clean + 0.5)), 0, 0, 0, 0]))
     if not n_toxic or not n_clean:
         return blank
-    in_toxic, in_clean = Counter(), Counter()
-    for own, label, h in zip(words, toxic.tolist(), held.tolist()):
-        if not h:
-            (in_toxic if label else in_clean).update(own.keys())
-    ratio = {w: (n + 0.5) / (n_toxic + 1) / ((in_clean[w] + 0.5) / (n_clean + 1)) for w, n in in_toxic.items()}
-    bad = {w for w, r in ratio.items() if r >= 6 and in_toxic[w] >= max(3, n_toxic // 300)}
-    if not bad:
+    seen = np.zeros((2, len(every)))  # clean and toxic texts that hold each word
+    for own, label in zip([w for w, h in zip(words, held) if not h], toxic[~held].tolist()):
+        seen[label, own] += 1
+    ratio = np.where(seen[1] > 0, (seen[1] + 0.5) / (n_toxic + 1) / ((seen[0] + 0.5) / (n_clean + 1)), 0)
+    bad = (ratio >= 6) & (seen[1] >= max(3, n_toxic // 300))
+    if not bad.any():
         return blank
-    order = lambda some: sorted(some, key=lambda w: (zlib.crc32(w), w))
-    plain = order(w for w in in_clean if w not in bad and ratio.get(w, 0) < 3)
-    negatives, marks = set(plain[:8000]), sorted(bad, key=lambda w: (-in_toxic[w], w))[: landmarks // 2]
-    marks += sorted(plain[: 20 * landmarks], key=lambda w: (-in_clean[w], w))[: landmarks - len(marks)]
-    every = sorted(set(in_toxic) | set(in_clean))
-    every_codes = np.frombuffer(b"".join(every), np.uint8)
-    every_sizes = np.fromiter(map(len, every), np.int64, len(every))
+    draw = np.fromiter((zlib.crc32(w) for w in every), np.int64, len(every))
+    plain = np.flatnonzero((seen[0] > 0) & ~bad & (ratio < 3))
+    plain = plain[np.argsort(draw[plain], kind="stable")]
+    negative = np.zeros(len(every), bool)
+    negative[plain[:8000]] = True
+    marks = np.flatnonzero(bad)
+    marks = marks[np.argsort(-seen[1, marks], kind="stable")][: landmarks // 2]
+    usual = plain[: 20 * landmarks]
+    marks = np.concatenate([marks, usual[np.argsort(-seen[0, usual], kind="stable")][: landmarks - len(marks)]])
+    every_codes, every_sizes = np.frombuffer(b"".join(every), np.uint8), np.fromiter(map(len, every), np.int64, len(every))
     model = blank
     for turn in range(rounds):
-        parts = [_subsequences(w) for w in marks]
+        parts = [_subsequences(every[w]) for w in marks]
         used, place = np.unique(np.concatenate([p for p, _ in parts]), return_inverse=True)
         table, at = np.zeros((len(used) + 1, len(marks)), np.float32), 0
         for k, (slots, values) in enumerate(parts):
             np.add.at(table[:, k], place[at : at + len(slots)], values)
             at += len(slots)
-        kernel = _kernel(marks, used, table).astype(np.float64)
+        kernel = _kernel([every[w] for w in marks], used, table).astype(np.float64)
         value, vector = np.linalg.eigh((kernel + kernel.T) / 2)
         strong = value > 1e-6 * value.max()
         root = vector[:, strong] / np.sqrt(value[strong])
-        bent = {v for w in bad for v in _bent(w)} - bad - set(in_clean)
-        chosen = sorted(bad) + sorted(bent) + sorted(negatives)
-        x = _kernel(chosen, used, table) @ root.astype(np.float32)
-        y = np.where(np.arange(len(chosen)) < len(bad) + len(bent), 1.0, -1.0)
-        seen = np.array([0.1 if w in bent else 1 + np.log1p(in_toxic[w] + in_clean[w]) for w in chosen])
-        weight = seen / np.where(y > 0, seen[y > 0].sum(), seen[y < 0].sum() / 4)
+        bent = sorted({v for w in np.flatnonzero(bad) for v in _bent(every[w])} - {w for w in number if bad[number[w]] or seen[0, number[w]]})
+        chosen = np.concatenate([np.flatnonzero(bad), np.flatnonzero(negative)])
+        x = _kernel([*(every[w] for w in chosen), *bent], used, table) @ root.astype(np.float32)
+        y = np.concatenate([np.where(bad[chosen], 1.0, -1.0), np.ones(len(bent))])
+        weight = np.concatenate([1 + np.log1p(seen[:, chosen].sum(0)), np.full(len(bent), 0.1)])
+        weight /= np.where(y > 0, weight[y > 0].sum(), weight[y < 0].sum() / 4)
         beta = _svm(x, y, weight)
         weights = np.zeros(_SLOTS, np.float32)
         weights[used] = table[:-1] @ (root @ beta[:-1])
         model = Model(weights, float(beta[-1]), 0.0, blank.curve)
         if turn == rounds - 1:
             break
-        margin = dict(zip(every, kernel_sums(every_codes, every_sizes, model.weights) + model.bias))
-        hard = sorted((w for w in plain if margin[w] > -0.5), key=lambda w: (-margin[w], w))[:4000]
-        negatives.update(hard)
-        marks = marks[:landmarks] + [w for w in hard[: landmarks // 4] if w not in marks]
+        margin = kernel_sums(every_codes, every_sizes, weights) + model.bias
+        hard = plain[margin[plain] > -0.5]
+        hard = hard[np.argsort(-margin[hard], kind="stable")][:4000]
+        negative[hard] = True
+        new = hard[: landmarks // 4]
+        marks = np.concatenate([marks[:landmarks], new[~np.isin(new, marks)]])
         for own, label, h in zip(words, toxic.tolist(), held.tolist()):
-            if label and not h and own and not any(margin[w] > 0 for w in own):
-                best = max(own, key=lambda w: (margin[w], w))
-                if in_toxic[best] >= 2 and not in_clean[best] and margin[best] > -0.5:
-                    bad.add(best)
-        negatives -= bad
+            if label and not h and len(own) and margin[own].max() <= 0:
+                best = own[margin[own].argmax()]
+                if seen[1, best] >= 2 and not seen[0, best] and margin[best] > -0.5:
+                    bad[best] = True
+        negative &= ~bad
     some = np.flatnonzero(held) if len(set(toxic[held].tolist())) > 1 else np.arange(len(texts))
     weight, y = np.where(toxic[some] == 1, shares[1], shares[0]), toxic[some].astype(float)
     margins = [np.concatenate([model.margins(p) for p in _cut(texts[i])]) if texts[i] else np.empty(0) for i in some]
