@@ -27,7 +27,7 @@ from lakemart.llm.packing import with_offsets
 from lakemart.llm.textops import encoder
 
 BLOCK = 8192
-LANES = 512
+LANES = 2048
 _PREFIX_BASE = np.array([0, 1, 17, 273], np.int64)
 _CONTEXTS = 273 + 1024
 _RATE, _LEAST = 5, 64
@@ -120,7 +120,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """The coded words of each block of 16-bit ids; blocks come longest first."""
     lanes, model = len(blocks), _Model(len(blocks))
     sizes = np.array([len(b) for b in blocks])
-    ids = np.zeros((int(sizes.max(initial=0)), lanes), np.int64)
+    ids = np.zeros((int(sizes.max(initial=0)), lanes), np.uint16)
     for k, b in enumerate(blocks):
         ids[: len(b), k] = b
     low, span, at = np.zeros(lanes, np.uint64), np.full(lanes, _LOW), np.zeros(lanes, np.int64)
@@ -146,7 +146,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
 
     for t in range(len(ids)):
         n = int(np.searchsorted(-sizes, -t, "left"))
-        now = ids[t, :n]
+        now = ids[t, :n].astype(np.int64)
         if t % 64 == 0 and int(at.max()) + 64 * 7 > out.shape[1]:
             out = np.concatenate([out, np.zeros_like(out)], 1)
         g1, g2, p = model.foretell(n)
@@ -191,7 +191,7 @@ def decode_blocks(words: list[bytes], sizes: np.ndarray) -> list[np.ndarray]:
     for k, w in enumerate(words):
         code[k, : len(w) // 2] = np.frombuffer(w, "<u2")
     value, span, at = (code[:, 0] << _U16) | code[:, 1], np.full(lanes, _LOW), np.full(lanes, 2, np.int64)
-    ids = np.zeros((int(sizes.max(initial=0)), lanes), np.int64)
+    ids = np.zeros((int(sizes.max(initial=0)), lanes), np.uint16)
 
     def take(lane: np.ndarray, r: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
         v = value[lane] - r * start.astype(np.uint64)
@@ -237,7 +237,7 @@ def decode_blocks(words: list[bytes], sizes: np.ndarray) -> list[np.ndarray]:
             now[rest] = spelt
         model.learn_id(now)
         ids[t, :n] = now
-    return [ids[:s, k].astype(np.uint16) for k, s in enumerate(sizes.tolist())]
+    return [ids[:s, k] for k, s in enumerate(sizes.tolist())]
 
 
 def _frame(ids: np.ndarray) -> tuple[list[bytes], list[int]]:
