@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 DECAY = 0.5
 REACH = 5
-SAMPLE = 1500
+SAMPLE = 1000
 SAMPLE_CHARS = 40_000
 LANDMARKS = 320
 PIECE_CHARS = 1 << 19
@@ -162,10 +162,14 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3
     beta, ridge = np.zeros(x.shape[1]), penalty * weight.sum() * np.eye(x.shape[1])
     ridge[-1, -1] *= 1e-3
     for _ in range(25):
-        active = y * (x @ beta) < 1
-        some = x[active].astype(np.float64)
-        own = some * weight[active, None]
-        step = np.linalg.solve(own.T @ some + ridge, own.T @ y[active])
+        active, gram, moment = np.flatnonzero(y * (x @ beta.astype(x.dtype)) < 1), ridge.copy(), np.zeros(x.shape[1])
+        for at in range(0, len(active), 1000):
+            rows = active[at : at + 1000]
+            some = x[rows].astype(np.float64)
+            own = some * weight[rows, None]
+            gram += own.T @ some
+            moment += own.T @ y[rows]
+        step = np.linalg.solve(gram, moment)
         if np.abs(step - beta).max() < 1e-7:
             break
         beta = step
@@ -210,12 +214,11 @@ def train(texts: list[str], toxic: np.ndarray, shares: tuple[float, float], land
     plain = np.flatnonzero((seen[0] > 0) & ~bad & (ratio < 3))
     plain = plain[np.argsort(draw[plain], kind="stable")]
     negative = np.zeros(len(every), bool)
-    negative[plain[:8000]] = True
+    negative[plain[:5000]] = True
     marks = np.flatnonzero(bad)
     marks = marks[np.argsort(-seen[1, marks], kind="stable")][: landmarks // 2]
     usual = plain[: 20 * landmarks]
     marks = np.concatenate([marks, usual[np.argsort(-seen[0, usual], kind="stable")][: landmarks - len(marks)]])
-    every_codes, every_sizes = np.frombuffer(b"".join(every), np.uint8), np.fromiter(map(len, every), np.int64, len(every))
     model = blank
     for turn in range(rounds):
         parts = [_subsequences(every[w]) for w in marks]
@@ -240,9 +243,13 @@ def train(texts: list[str], toxic: np.ndarray, shares: tuple[float, float], land
         model = Model(weights, float(beta[-1]), 0.0, blank.curve)
         if turn == rounds - 1:
             break
-        margin = kernel_sums(every_codes, every_sizes, weights) + model.bias
+        margin = np.empty(len(every))
+        for at in range(0, len(every), 20_000):
+            some = every[at : at + 20_000]
+            sizes = np.fromiter(map(len, some), np.int64, len(some))
+            margin[at : at + len(some)] = kernel_sums(np.frombuffer(b"".join(some), np.uint8), sizes, weights) + model.bias
         hard = plain[margin[plain] > -0.5]
-        hard = hard[np.argsort(-margin[hard], kind="stable")][:4000]
+        hard = hard[np.argsort(-margin[hard], kind="stable")][:2500]
         negative[hard] = True
         new = hard[: landmarks // 4]
         marks = np.concatenate([marks[:landmarks], new[~np.isin(new, marks)]])
@@ -308,9 +315,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
         picked = some if picked is None else picked.unionByName(some)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.length("text").between(1, SAMPLE_CHARS))
     rows = source.join(F.broadcast(picked), "id").orderBy(F.xxhash64("id"), "text", "y").limit(4 * sample).collect()  # ids may repeat
-    toxic = np.array([r["y"] for r in rows], np.int64)
+    texts, toxic = [r["text"] for r in rows], np.array([r["y"] for r in rows], np.int64)
+    del rows
     shares = [total.get(y, 0) / max(1, int((toxic == y).sum())) for y in (0, 1)]
-    return train([r["text"] for r in rows], toxic, (shares[0], shares[1]))
+    return train(texts, toxic, (shares[0], shares[1]))
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "toxicity", top_col: str = "top_margin", hits_col: str = "toxic_words") -> DataFrame:
