@@ -451,18 +451,27 @@ def value_match_rate(spark: SparkSession, folder: str) -> DataFrame:
     return similarity.match_rate(N.scored_neighbours(spark, folder), N.documents(spark, folder), "n_chars")
 
 
-@query(f"""
+_SWEEP_SQL = f"""
 WITH {PAIRS_SQL},
 labelled AS (SELECT estimate, CASE WHEN jaccard >= 0.8 THEN 'same' ELSE 'different' END AS label FROM scored)
 SELECT CAST(t AS INTEGER) AS threshold_pct, count(*) FILTER (estimate >= t / 100.0 AND label = 'different') AS false_merges,
        count(*) FILTER (estimate < t / 100.0 AND label = 'same') AS misses,
        count(*) FILTER (estimate >= t / 100.0 AND label = 'different') * 100
        + count(*) FILTER (estimate < t / 100.0 AND label = 'same') AS cost
-FROM labelled, range(50, 100, 5) AS r(t) GROUP BY t""")
+FROM labelled, range(50, 100, 5) AS r(t) GROUP BY t"""
+
+
+@query(_SWEEP_SQL)
 def cost_sweep(spark: SparkSession, folder: str) -> DataFrame:
     return lsh.cost_sweep(N.scored_neighbours(spark, folder), tuple(range(50, 100, 5)))
 
 
+@query(f"SELECT * FROM ({_SWEEP_SQL}) ORDER BY cost, threshold_pct DESC LIMIT 1")
+def operating_point(spark: SparkSession, folder: str) -> DataFrame:
+    """The cheapest threshold of the sweep."""
+    return lsh.operating_point(cost_sweep(spark, folder))
+
+
 def _calibration_sql(b: int, r: int) -> str:
     return f"""
 SELECT {b} AS bands, {r} AS rows, {BAND_CASE} AS band, count(*) AS pairs,
@@ -494,6 +503,14 @@ def dup_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return N.exact_clusters(build_corpus(N.documents(spark, folder)))
 
 
+@query(f"""
+WITH RECURSIVE {CLUSTER_SQL}
+SELECT doc_id, cluster_id FROM clustered WHERE cluster_id IN (SELECT cluster_id FROM clustered GROUP BY 1 HAVING count(*) >= 3)""")
+def larger_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Notices of clusters of at least three."""
+    return clusters.larger_clusters(N.exact_clusters(build_corpus(N.documents(spark, folder))), 3)
+
+
 @query(f"""
 WITH RECURSIVE {CLUSTER_SQL},
 per AS (SELECT cluster_id, count(*) AS size, count(DISTINCT n_chars) AS vals, count(DISTINCT source) AS kinds

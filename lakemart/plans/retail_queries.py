@@ -644,6 +644,49 @@ def variance_cause(spark: SparkSession, folder: str) -> DataFrame:
     return reconcile.variance_causes(totals, finance, lost, adjustments)
 
 
+@query(f"""{_PRICED_SQL},
+change AS (
+  SELECT b.product_code, b.list_price AS price_before, a.list_price AS price_after,
+         round((a.list_price - b.list_price) / b.list_price * 100.0, 1) AS pct
+  FROM report b JOIN report a ON a.product_code = b.product_code
+  WHERE b.period = '{REPORT_MONTHS[0]}' AND a.period = '{REPORT_MONTHS[1]}')
+SELECT product_code, price_before, price_after, printf('%.1f%%', pct) AS pct_text FROM change""")
+def price_change_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The price comparison with its change as text."""
+    compared = slices.compare_periods(_price_report(spark, folder), *REPORT_MONTHS)
+    return compared.select("product_code", "price_before", "price_after", "pct_text")
+
+
+@query(f"""
+WITH {KEPT_SQL},
+days AS (SELECT CAST(day AS DATE) AS date FROM (SELECT unnest(generate_series(min(business_date), max(business_date), INTERVAL 1 DAY)) AS day FROM kept))
+SELECT date, CAST(extract(year FROM date) AS INTEGER) AS sale_year, CAST(extract(month FROM date) AS INTEGER) AS sale_month,
+       strftime(date, '%Y-%m') AS sale_year_month, CAST(extract(dow FROM date) AS INTEGER) AS day_of_week_num,
+       dayname(date) AS day_of_week, strftime(date, '%b') AS month_name
+FROM days""")
+def date_dimension(spark: SparkSession, folder: str) -> DataFrame:
+    """The star's calendar, from the first to the last day with a line."""
+    from lakemart.plans.mart import dim_date
+
+    ends = T.kept_lines(spark, folder).agg(F.min("business_date").alias("first"), F.max("business_date").alias("last")).first()
+    days = dim_date(spark, ends["first"], ends["last"])
+    return days.withColumn("month_name", S.month_abbreviation(F.col("sale_month")))
+
+
+@query(f"""
+WITH {NET_SQL}, {PRODUCTS_SQL}
+SELECT store_id, coalesce(category, 'UNASSIGNED') AS category, business_date, bill_no, CAST(sum(revenue) AS DOUBLE) AS revenue
+FROM net LEFT JOIN products p ON net.product_code = p.product_code AND business_date BETWEEN valid_from AND valid_to
+GROUP BY ALL""")
+def dashboard_bills(spark: SparkSession, folder: str) -> DataFrame:
+    """The mart from which the dashboard counts distinct bills."""
+    from lakemart.plans.mart import build_fact
+    from lakemart.plans.mart import dashboard_bills as bills
+
+    fact = build_fact(T.kept_lines(spark, folder), T.products(spark, folder))
+    return bills(fact).withColumn("revenue", S.as_double(F.col("revenue")))
+
+
 # --- lake ----------------------------------------------------------------------------------------------
 
 TABLE_NAMES = (
