@@ -10,7 +10,8 @@ next, there too. Segments are kept sparse, as the exclusive-or of their places.
 
 Equal segments gather texts in buckets. Texts with one set are one class before that. A bucket's members are first
 compared with the one that meets most others; what that verifies is joined into components. Pairs of one
-bucket that are not in one component after that are compared by dense sketches, block against block. Before any text is
+bucket that are not in one component after that are compared by dense sketches, block against block: first each member
+gives its nearest one only, which joins most of a crowded family, then all that is left is listed. Before any text is
 read, a pair's Hamming distance must leave the link possible; every verdict is an exact count on the shingles.
 """
 
@@ -266,17 +267,18 @@ def similar_classes(docs: DataFrame, shingle: int = 5, percent: int = 80) -> tup
 
     close = durable(sketched.mapInArrow(near, "a bigint, b bigint"), "close-stars")
     linked = _verified(close, texts, shingle, percent, "star-links")
-    rest = durable(_apart(buckets, components(linked), texts, percent).distinct(), "close-pairs")
-    more = _verified(rest, texts, shingle, percent, "rest-links")
-    return classes, components(linked.unionByName(more))
+    for nearest in (True, False):
+        rest = durable(_apart(buckets, components(linked), texts, percent, nearest).distinct(), "close-pairs")
+        linked = linked.unionByName(_verified(rest, texts, shingle, percent, "more-links"))
+    return classes, components(linked)
 
 
 def parity_sketch(shingles: np.ndarray) -> bytes:
-    """One bit flipped for each shingle, in a power of two of bits, one to two times as many as shingles.
+    """One bit flipped for each shingle, in a power of two of bits, four to eight times as many as shingles.
 
-    That is an eighth to a quarter of a byte for each, and sets that differ in half as much again as a link allows rarely pass.
+    That is up to a byte for each, and sets that differ in a fifth more than a link allows rarely pass.
     """
-    size = 1 << max(6, len(shingles).bit_length())
+    size = 1 << max(6, (4 * len(shingles)).bit_length())
     flips = np.bincount((mix(shingles ^ _STEP) & np.uint64(size - 1)).astype(np.int64), minlength=size)
     return np.packbits((flips & 1).astype(np.uint8)).tobytes()
 
@@ -298,9 +300,9 @@ def may_link(n_a: int, n_b: int, bits_a: bytes, bits_b: bytes, percent: int) ->
     return int(np.bitwise_count(_folded(a, words) ^ _folded(b, words)).sum()) * (100 + percent) <= (100 - percent) * (n_a + n_b)
 
 
-def _apart(buckets: DataFrame, labels: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket that no link joins yet and whose sketches are close enough. Large buckets are dealt to blocks,
-    and a bucket looks at a pair in one block."""
+def _apart(buckets: DataFrame, labels: DataFrame, texts: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Pairs of one bucket that no link joins yet and whose sketches are close enough, or of these each member's ``nearest``
+    only. Large buckets are dealt to blocks, and a bucket looks at a pair in one block."""
     places = buckets.select(F.xxhash64("members").alias("bucket"), "members").dropDuplicates(["bucket"])
     places = places.select("bucket", F.explode("members").alias("node")).join(labels, "node", "left")
     placed = durable(places.select("bucket", "node", F.coalesce("component", "node").alias("own")), "bucket-places")
@@ -332,7 +334,11 @@ def _apart(buckets: DataFrame, labels: DataFrame, texts: DataFrame, percent: int
                     some = np.flatnonzero(fit)
                     if len(some):
                         gap = np.bitwise_count(xb[some] ^ x).sum(1, dtype=np.int64)
-                        out += [(node[i], node[k]) for k in b[some[gap * (100 + percent) <= (100 - percent) * (n[b[some]] + n[i])]]]
+                        near = gap * (100 + percent) <= (100 - percent) * (n[b[some]] + n[i])
+                        some, gap = some[near], gap[near]
+                        if nearest:
+                            some = some[[gap.argmin()]] if len(gap) else some
+                        out += [(node[i], node[k]) for k in b[some]]
         pairs = np.array(out, np.int64).reshape(-1, 2)
         return pa.table({"a": pairs.min(1), "b": pairs.max(1)} if len(pairs) else {"a": pairs[:, 0], "b": pairs[:, 1]})
 
