@@ -26,10 +26,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the least id of each group of near duplicates: five words, similarity 0.8."""
-    groups = durable(ngram_join.near_duplicates(docs), "groups").where("doc_id = component_id or doc_id is null").select(F.col("doc_id").alias("keep")).distinct()
-    kept = docs.join(groups, docs["doc_id"].eqNullSafe(groups["keep"]), "left_semi")
-    return kept.select(*COLUMNS)
+    """Exactly one document of each group of near duplicates (five words, similarity 0.8): the one of the least id.
+
+    Rows without id come after all ids, so one stays only where its whole group has none; a repeated row stays once.
+    """
+    return ngram_join.one_row_of_each_group(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

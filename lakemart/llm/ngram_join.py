@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm.components import components
@@ -128,16 +128,23 @@ class Bands:
 
 
 def _classes(docs: DataFrame, shingle: int) -> tuple[DataFrame, dict]:
-    """``(doc_id, sig, n)`` for every row, written."""
+    """``(doc_id, key, sig, n)`` for every row, written; ``key`` is a hash of the text as it stands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, sets, counts in shingle_sets(batch.column(1), shingle):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(counts)), pa.array(signatures(sets, counts)), pa.array(counts)], ["doc_id", "sig", "n"]
+                    [batch.column(0).slice(at, len(counts)), batch.column(2).slice(at, len(counts)), pa.array(signatures(sets, counts)), pa.array(counts)],
+                    ["doc_id", "key", "sig", "n"],
                 )
 
-    return durable_observed(docs.mapInArrow(run, "doc_id bigint, sig bigint, n bigint"), "classes", F.sum("n").alias("shingles"))
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
+    return durable_observed(keyed.mapInArrow(run, "doc_id bigint, key bigint, sig bigint, n bigint"), "classes", F.sum("n").alias("shingles"))
+
+
+def _least_row(*more: str) -> Column:
+    """The least of a group's rows: by id, null ids last, then by ``more``."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", *more))
 
 
 def _buckets(docs: DataFrame, shingle: int, bands: Bands, groups: int) -> DataFrame:
@@ -229,7 +236,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int, la
 
 
 def similar_classes(docs: DataFrame, shingle: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """``(classes, labels)``: ``(doc_id, sig, n)`` for every row of ``docs`` (``doc_id``, ``text``), and
+    """``(classes, labels)``: ``(doc_id, key, sig, n)`` for every row of ``docs`` (``doc_id``, ``text``), and
     ``(node, component)`` over the signatures that are linked with a different set."""
     bands = Bands(percent)
     classes, seen = _classes(docs, shingle)
@@ -355,10 +362,41 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     table none; other columns are ignored. A signature of 64 bits stands for a set, and one for a shingle.
     """
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    classes, labels = similar_classes(source, shingle, percent)
-    own = classes.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("first")).join(labels, F.col("sig") == F.col("node"), "left")
-    own = durable(own.select("sig", "first", F.coalesce("component", "sig").alias("component")), "class-components")
-    least = durable(own.groupBy("component").agg(F.min("first").alias("component_id")), "component-ids")
+    classes, own = _grouped(source, shingle, percent)
+    least = durable(own.groupBy("component").agg(F.min("first.doc_id").alias("component_id")), "component-ids")
     final = durable(own.join(least, "component").select("sig", "component_id"), "class-ids")
     wordless = classes.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return classes.where("n > 0").join(final, "sig").select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(wordless)
+
+
+def _grouped(source: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``(classes, own)``: the rows of ``similar_classes``, and ``(sig, first, component)`` for every set that is not empty;
+    ``first`` is the least row that has it."""
+    classes, labels = similar_classes(source, shingle, percent)
+    own = classes.where("n > 0").groupBy("sig").agg(_least_row("key").alias("first")).join(labels, F.col("sig") == F.col("node"), "left")
+    return classes, durable(own.select("sig", "first", F.coalesce("component", "sig").alias("component")), "class-components")
+
+
+def one_row_of_each_group(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with exactly one row of each component of ``near_duplicates``.
+
+    That is the row of the least id, null ids last; of one id's texts in a component the one of the least signature, then
+    of the least hash. So a row without id goes if anything like it has an id, and one row stays of a group without any. A
+    repeated row (same id, same text) is one document and stays once, with the least of its other columns. Texts without
+    words are in no group: each id's text stays once, and rows without both id and words all stay.
+    """
+    source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    classes, own = _grouped(source, shingle, percent)
+    least = F.min(F.struct("first.absent", "first.doc_id", "sig", "first.key"))
+    winners = own.groupBy("component").agg(least.alias("row")).select("row.doc_id", "row.key")
+    wordless = classes.where("n = 0 and doc_id is not null").select("doc_id", "key").distinct()
+    spot = [F.coalesce("__id", F.lit(0)).alias("__place"), F.col("__id").isNull().alias("__absent"), "__key"]
+    chosen = durable(winners.unionByName(wordless), "chosen-rows").select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).select(*spot)
+
+    keyed = docs.withColumns({"__id": F.col(id_col).cast("bigint"), "__key": F.xxhash64(F.col(text_col).cast("string"))})
+    nameless = F.col("__id").isNull() & ~F.coalesce(F.col(text_col).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    row = F.struct(*[F.col(c) for c in docs.columns if c != text_col], F.col(text_col))
+    # Repeated rows meet within each task before the texts move; the join finds the texts where they lie.
+    single = keyed.where(~nameless).groupBy(*spot).agg(F.min(row).alias("__row"))
+    kept = single.join(chosen, ["__place", "__absent", "__key"], "left_semi").select(*(F.col("__row")[c].alias(c) for c in docs.columns))
+    return kept.unionByName(keyed.where(nameless).select(*docs.columns))

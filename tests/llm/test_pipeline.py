@@ -71,3 +71,26 @@ def test_run_gives_pieces_of_full_sequences(spark):
     for r in pieces:
         fill[r.sequence_id] += r.length
     assert all(n == 2048 for s, n in fill.items() if s != max(fill)) and sorted(fill) == list(range(len(fill)))
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Repeated rows, null ids, and one id with texts of two groups."""
+    long = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcde"]
+    near = [t + " more" for t in long]
+    made = [
+        (5, long[0], "en", "x", 1), (5, long[0], "en", "x", 1), (9, near[0], "en", "x", 1), (None, long[0], "en", "x", 1), (None, near[0], "en", "x", 1),
+        (None, long[1], "en", "x", 1), (None, long[1], "en", "x", 1), (None, near[1], "en", "x", 1),
+        (3, long[2], "en", "x", 1), (3, near[3], "en", "x", 1), (1, near[2], "en", "x", 1), (7, long[3], "en", "x", 1),
+        (8, long[4], "en", "b", 1), (8, long[4], "en", "a", 1), (8, long[4], None, "c", 1),
+        (None, "one of its own", "en", "x", 1), (20, "", "en", "x", 1), (20, "", "en", "x", 1), (20, " ", "en", "x", 1), (21, None, "en", "x", 1),
+        (None, "\n", "en", "x", 1), (None, "\n", "en", "x", 1), (None, None, "en", "x", 1),
+    ]
+    docs = spark.createDataFrame(made, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    got = Counter(tuple(r) for r in dict(corpus_pipeline.STAGES)["n-gram Jaccard join"](spark, docs, FOLDER).collect())
+    unnamed = [(r, n) for r, n in got.items() if r[0] is None and r[1] in (long[1], near[1])]
+    assert [n for _, n in unnamed] == [1]
+    assert got - Counter([unnamed[0][0]]) == Counter([
+        made[0], (3, near[3], "en", "x", 1), (1, near[2], "en", "x", 1), (8, long[4], None, "c", 1),
+        (None, "one of its own", "en", "x", 1), (20, "", "en", "x", 1), (20, " ", "en", "x", 1), (21, None, "en", "x", 1),
+        (None, "\n", "en", "x", 1), (None, "\n", "en", "x", 1), (None, None, "en", "x", 1),
+    ])
