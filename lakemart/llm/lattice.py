@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -83,8 +84,9 @@ def cell_keys(points: np.ndarray, table: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+@lru_cache(maxsize=4096)
 def settings(n: int, width: int, cosine: float, probes: int = PROBES, miss: float = MISS) -> tuple[float, int]:
-    """``(scale, tables)`` for ``n`` vectors of ``width`` components."""
+    """``(scale, tables)`` for ``n`` vectors of ``width`` components, the same in every task."""
     scale = 0.5 * (max(n, 1000) / 50_000) ** (1 / 8)
     rng = np.random.default_rng(5)
     a = rng.standard_normal((2000, width))
@@ -128,6 +130,7 @@ def link_vectors(vectors: DataFrame, cosine: float = 0.9, probes: int = PROBES,
     other rows linked directly, ``component_id`` is the least id reachable by links. Null, empty and zero vectors and those
     with a null or non-finite component link with nothing and are kept. Repeated rows are rows of their own. Null ids
     stay null and are no component's id unless it has no other. An empty table gives none; other columns are ignored.
+    Vectors of every length are compared, however many lengths there are.
     ``miss`` bounds the expected share of pairs at the threshold that never meet; no pair below it is linked.
     """
     source = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
@@ -148,20 +151,20 @@ def link_vectors(vectors: DataFrame, cosine: float = 0.9, probes: int = PROBES,
     rows, _ = durable_observed(source.mapInArrow(normalise, "vec_id bigint, unit binary"), "units", F.count("*").alias("n"))
     usual = rows.where("unit is not null").groupBy("unit").agg(F.min("vec_id").alias("first"), F.count("*").alias("size"))
     kinds, seen = durable_observed(usual.select(F.xxhash64("unit").alias("kind"), "unit", "first", "size"), "vectors", F.count("*").alias("n"))
-    widths = sorted(r["w"] // 8 for r in kinds.select(F.length("unit").alias("w")).distinct().limit(1000).collect())
-    setting = {w: settings(seen["n"], w, cosine, probes, miss) for w in widths}
+    n = seen["n"]
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kind, size = batch.column(0).to_numpy(), np.array([len(x.as_py()) // 8 for x in batch.column(1)])
-            for w, (scale, tables) in setting.items():
+            for w in np.unique(size).tolist():
+                scale, tables = settings(n, w, cosine, probes, miss)
                 pick = np.flatnonzero(size == w)
                 for at in range(0, len(pick), 2048):
                     some = pick[at : at + 2048]
                     unit = np.frombuffer(b"".join(batch.column(1)[int(i)].as_py() for i in some), np.float64).reshape(-1, w)
                     for t in range(tables):
                         x = unit @ (scale * projection(t, w))
-                        keys = cell_keys(probe_points(x, e8_point(x), probes), t * 4096 + w % 4096)
+                        keys = cell_keys(probe_points(x, e8_point(x), probes), (w << 32) + t)
                         stored = np.zeros(keys.shape, bool)
                         stored[:, 0] = True
                         yield pa.RecordBatch.from_arrays(

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from lakemart.llm import lattice
 from lakemart.llm.lattice import SHORTEST, _linked_blocks, e8_point, link_vectors, probe_points
 
 
@@ -88,3 +89,14 @@ def test_labels_of_a_block():
 
 def test_empty_table(spark):
     assert link_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_every_length_is_compared(spark, monkeypatch):
+    """More than a thousand lengths, and two that differ by 4,096."""
+    monkeypatch.setattr(lattice, "settings", lambda n, width, *_: (0.3, 4))  # simulating pairs of each length takes minutes
+    made = []
+    for w in [*range(2, 1012), 1100, 5196]:
+        v = np.random.default_rng(w).standard_normal(w)
+        made += [(2 * w, v.tolist()), (2 * w + 1, (v * (1 + 1e-6 * np.arange(w) / w)).tolist())]
+    table = spark.createDataFrame(made, "vec_id long, embedding array<double>").repartition(8)
+    assert {(r.vec_id, r.n_links, r.component_id) for r in link_vectors(table).collect()} == {(i, 1, i - i % 2) for i, _ in made}
