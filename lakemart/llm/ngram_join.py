@@ -147,6 +147,17 @@ def _least_row(*more: str) -> Column:
     return F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", *more))
 
 
+def class_texts(docs: DataFrame, classes: DataFrame, involved: DataFrame) -> DataFrame:
+    """``(sig, text)``: one row for each signature of ``involved``.
+
+    A row is fetched by its id and the hash of its text, so neither rows without id nor the texts of one id meet each other.
+    """
+    reps = classes.groupBy("sig").agg(_least_row("key").alias("rep")).join(involved, "sig").select("sig", "rep.doc_id", "rep.key")
+    here = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
+    found = here.join(reps, here["doc_id"].eqNullSafe(reps["doc_id"]) & (here["key"] == reps["key"]))
+    return found.select("sig", "text").dropDuplicates(["sig"])
+
+
 def _buckets(docs: DataFrame, shingle: int, bands: Bands, groups: int) -> DataFrame:
     """``(center, members)``: signatures that share a segment, each list once for each group of keys."""
 
@@ -246,22 +257,19 @@ def similar_classes(docs: DataFrame, shingle: int = 5, percent: int = 80) -> tup
     stars = buckets.select(F.col("center").alias("a"), F.explode("members").alias("b")).where("a != b")
     stars = durable(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "stars")
     involved = stars.select(F.col("a").alias("sig")).union(stars.select("b")).distinct()
-    reps = classes.groupBy("sig").agg(F.min("doc_id").alias("rep")).join(involved, "sig")
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sigs = batch.column(0).to_numpy()
             for row, sets, counts in shingle_sets(batch.column(1), shingle):
-                keep = np.flatnonzero(signatures(sets, counts) == sigs[row : row + len(counts)])  # another row may have the same id
                 ends = np.cumsum(counts)
-                bits = [parity_sketch(sets[ends[i] - counts[i] : ends[i]]) for i in keep]
-                take = pa.array(row + keep)
+                bits = [parity_sketch(sets[e - c : e]) for e, c in zip(ends.tolist(), counts.tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(take), batch.column(1).take(take), pa.array(counts[keep]), pa.array(bits, pa.binary())], ["sig", "text", "n", "bits"]
+                    [batch.column(0).slice(row, len(counts)), batch.column(1).slice(row, len(counts)), pa.array(counts), pa.array(bits, pa.binary())],
+                    ["sig", "text", "n", "bits"],
                 )
 
-    found = docs.join(reps, docs["doc_id"].eqNullSafe(reps["rep"])).select("sig", "text")
-    texts = durable(found.mapInArrow(sketch, "sig bigint, text string, n bigint, bits binary").dropDuplicates(["sig"]), "class-texts")
+    found = class_texts(docs, classes, involved)
+    texts = durable(found.mapInArrow(sketch, "sig bigint, text string, n bigint, bits binary"), "class-texts")
 
     side = lambda c: texts.select(F.col("sig").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
     sketched = stars.join(side("b"), "b").join(side("a"), "a").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")

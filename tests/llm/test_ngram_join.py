@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import pytest
 
+from lakemart.llm import ngram_join
 from lakemart.llm.ngram_join import Bands, near_duplicates
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -91,3 +92,19 @@ def test_bands_leave_enough_segments():
 
 def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_each_class_fetches_one_text(spark, rows, monkeypatch):
+    """Rows that share an id, or have none, do not meet each other's texts."""
+    made = [(i, " ".join(f"{k}w{j}" for j in range(30)) + tail) for k in range(60) for i, tail in ((None, ""), (None, " end"), (4, " or so"))]
+    seen, fetch = [], ngram_join.class_texts
+
+    def watched(docs, classes, involved):
+        seen.append((fetch(docs, classes, involved).collect(), involved.count()))
+        return fetch(docs, classes, involved)
+
+    monkeypatch.setattr(ngram_join, "class_texts", watched)
+    docs = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
+    assert rows(near_duplicates(docs, 4, 85)) == brute(made, 4, 85)
+    (texts, involved), = seen
+    assert len(texts) == involved == len(made) and {r.text for r in texts} == {t for _, t in made}
