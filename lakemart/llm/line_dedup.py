@@ -49,6 +49,11 @@ def later_occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return places.join(first, ["h", "g"]).where(place != F.col("first")).select("doc_id", "text_key", "j")
 
 
+def later_starts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
+    """``(doc_id, text_key, starts)``: the windows of each text that occurred before, each once however often its row is repeated."""
+    return later_occurrences(docs, id_col, text_col, width).groupBy("doc_id", "text_key").agg(F.collect_set("j").alias("starts"))
+
+
 def remove_repeated_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
     kept_col: str = "n_lines", removed_col: str = "n_removed",
@@ -70,7 +75,7 @@ def remove_repeated_lines(
             lines = whole.split("\n")
             solid = [i for i, x in enumerate(lines) if x.strip(_TRIMMED)]
             kept, upto, gone = [], 0, 0
-            for j in sorted(set(own.tolist())):
+            for j in sorted(own.tolist()):
                 begin, end = max(solid[j], upto), solid[j + width - 1] + 1
                 kept += lines[upto:begin]
                 gone += end - begin
@@ -78,8 +83,7 @@ def remove_repeated_lines(
             out.append(("\n".join(kept + lines[upto:]), gone))
         return pd.DataFrame(out, columns=["text", "gone"])
 
-    starts = later_occurrences(docs, id_col, text_col, width).groupBy("doc_id", "text_key").agg(F.collect_list("j").alias("__starts"))
-    starts = starts.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "__starts")
+    starts = later_starts(docs, id_col, text_col, width).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("starts").alias("__starts"))
     text = F.col(text_col)
     joined = docs.join(starts, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__key")), "left")
     hit = F.col("__starts").isNotNull()

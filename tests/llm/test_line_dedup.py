@@ -1,6 +1,6 @@
 import random
 
-from lakemart.llm.line_dedup import remove_repeated_lines
+from lakemart.llm.line_dedup import later_starts, remove_repeated_lines
 
 
 def brute(rows):
@@ -42,3 +42,12 @@ def test_equal_to_brute_force(spark):
 
 def test_empty_table(spark):
     assert remove_repeated_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_repeated_rows_give_each_window_once(spark):
+    text = "\n".join(f"line {i}" for i in range(8))
+    made = [(1, text)] + [(2, text)] * 50 + [(None, "a\nb\nc")] * 40 + [(3, "a\nb\nc")] * 30
+    docs = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
+    assert sorted((r.doc_id, sorted(r.starts)) for r in later_starts(docs).collect()) == [(2, list(range(6))), (3, [0])]
+    want = [(d, "" if d in (2, 3) else t) for d, t in made]
+    assert sorted(((r.doc_id, r.text) for r in remove_repeated_lines(docs).collect()), key=str) == sorted(want, key=str)
