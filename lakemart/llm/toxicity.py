@@ -6,8 +6,9 @@ are symbols too. Letters of a word close up over other characters, and single le
 ``i.d.i.o.t`` and ``i d i o t`` are words like any other. Words and landmarks are normalised by what a word of their length
 has in common with itself.
 
-Training takes a bounded sample of labelled rows (``SAMPLE`` of either label, the least by hash, texts of up to
-``SAMPLE_CHARS``). A toxic text tells only that one of its sentences holds something toxic, so words are labelled first by how
+Training takes a bounded sample of labelled rows (``SAMPLE`` of either label, the least by hash among texts of up to
+``SAMPLE_CHARS``). Of the sample's clean words, ``NEGATIVES`` (the least by hash) are trained on at first and ``HARD_NEGATIVES``
+are added a round; clean landmarks are the most usual of the first ``LANDMARK_POOL`` times ``LANDMARKS``. A toxic text tells only that one of its sentences holds something toxic, so words are labelled first by how
 much more often they stand in toxic texts, and then in rounds: clean words that score high are added as hard negatives,
 and toxic texts without a hit give their highest word that no clean text has. A machine over landmark features is
 linear in the kernel's subsequences, so it folds into a table of weights (hashed to 2^20 entries) and scoring is look-ups. A
@@ -33,6 +34,9 @@ REACH = 5
 SAMPLE = 1000
 SAMPLE_CHARS = 40_000
 LANDMARKS = 320
+LANDMARK_POOL = 20
+NEGATIVES = 5000
+HARD_NEGATIVES = 2500
 PIECE_CHARS = 1 << 19
 LOOSE = 20.0
 _SLOTS = 1 << 20
@@ -186,8 +190,15 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return beta
 
 
-def train(texts: list[str], toxic: np.ndarray, shares: tuple[float, float], landmarks: int = LANDMARKS, rounds: int = 3) -> Model:
-    """A model from sample texts. ``shares``: the weight of a clean and of a toxic text, which restores the labels' true shares."""
+def train(
+    texts: list[str], toxic: np.ndarray, shares: tuple[float, float], landmarks: int = LANDMARKS, rounds: int = 3,
+    negatives: int = NEGATIVES, hard_negatives: int = HARD_NEGATIVES, landmark_pool: int = LANDMARK_POOL,
+) -> Model:
+    """A model from sample texts. ``shares``: the weight of a clean and of a toxic text, which restores the labels' true shares.
+
+    ``negatives`` clean words are trained on at first and at most ``hard_negatives`` more a round; clean landmarks come from the
+    first ``landmark_pool`` times ``landmarks`` clean words. These bound the driver's memory.
+    """
     number: dict[bytes, int] = {}
     words = []
     for text in texts:
@@ -214,10 +225,10 @@ def train(texts: list[str], toxic: np.ndarray, shares: tuple[float, float], land
     plain = np.flatnonzero((seen[0] > 0) & ~bad & (ratio < 3))
     plain = plain[np.argsort(draw[plain], kind="stable")]
     negative = np.zeros(len(every), bool)
-    negative[plain[:5000]] = True
+    negative[plain[:negatives]] = True
     marks = np.flatnonzero(bad)
     marks = marks[np.argsort(-seen[1, marks], kind="stable")][: landmarks // 2]
-    usual = plain[: 20 * landmarks]
+    usual = plain[: landmark_pool * landmarks]
     marks = np.concatenate([marks, usual[np.argsort(-seen[0, usual], kind="stable")][: landmarks - len(marks)]])
     model = blank
     for turn in range(rounds):
@@ -249,7 +260,7 @@ def train(texts: list[str], toxic: np.ndarray, shares: tuple[float, float], land
             sizes = np.fromiter(map(len, some), np.int64, len(some))
             margin[at : at + len(some)] = kernel_sums(np.frombuffer(b"".join(some), np.uint8), sizes, weights) + model.bias
         hard = plain[margin[plain] > -0.5]
-        hard = hard[np.argsort(-margin[hard], kind="stable")][:2500]
+        hard = hard[np.argsort(-margin[hard], kind="stable")][:hard_negatives]
         negative[hard] = True
         new = hard[: landmarks // 4]
         marks = np.concatenate([marks[:landmarks], new[~np.isin(new, marks)]])
@@ -301,24 +312,31 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
+def fit(
+    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+    negatives: int = NEGATIVES, hard_negatives: int = HARD_NEGATIVES, landmark_pool: int = LANDMARK_POOL,
+) -> Model:
     """A model from labelled rows that are not held out.
 
-    Rows without id, label 0 or 1, or text are not learnt from. At most ``sample`` texts of either label reach the driver.
+    Rows without id, label 0 or 1, or text are not learnt from, nor are texts over ``SAMPLE_CHARS``. Of the others at most
+    ``sample`` different (id, text) of either label reach the driver. ``negatives``, ``hard_negatives`` and ``landmark_pool``
+    are those of ``train``.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)")
     known = known.where(~held_out("id"))
     total = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("key"))
+    source = source.where(F.col("id").isNotNull() & F.length("text").between(1, SAMPLE_CHARS))
+    usable = source.select("id", "key").distinct().join(known.distinct(), "id")  # ids may repeat on both sides
     picked = None
     for y in (0, 1):
-        some = known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(sample)
+        some = usable.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id", "key").limit(sample)
         picked = some if picked is None else picked.unionByName(some)
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.length("text").between(1, SAMPLE_CHARS))
-    rows = source.join(F.broadcast(picked), "id").orderBy(F.xxhash64("id"), "text", "y").limit(4 * sample).collect()  # ids may repeat
+    rows = source.join(F.broadcast(picked), ["id", "key"]).dropDuplicates(["id", "key", "y"]).orderBy(F.xxhash64("id"), "text", "y").collect()
     texts, toxic = [r["text"] for r in rows], np.array([r["y"] for r in rows], np.int64)
     del rows
     shares = [total.get(y, 0) / max(1, int((toxic == y).sum())) for y in (0, 1)]
-    return train(texts, toxic, (shares[0], shares[1]))
+    return train(texts, toxic, (shares[0], shares[1]), negatives=negatives, hard_negatives=hard_negatives, landmark_pool=landmark_pool)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "toxicity", top_col: str = "top_margin", hits_col: str = "toxic_words") -> DataFrame:

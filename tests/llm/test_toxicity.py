@@ -89,3 +89,16 @@ def _summed(word):
     slots, values = toxicity._subsequences(word)
     used, place = np.unique(slots, return_inverse=True)
     return used, np.bincount(place, values)
+
+
+def test_sample_is_drawn_among_texts_that_can_be_learnt_from(spark, monkeypatch):
+    """Over-long texts leave their place to others, and repeated rows do not take more than one."""
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic, shares, **bounds: seen.append((texts, toxic.tolist(), bounds)))
+    made = [(i, f"text {i}" if i % 3 else "x" * (toxicity.SAMPLE_CHARS + 1)) for i in range(300)]
+    docs = spark.createDataFrame(made + made[100:200] * 3, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)] * 2, "doc_id long, toxic int")
+    toxicity.fit(docs, labels, sample=40, negatives=7, hard_negatives=5, landmark_pool=3)
+    (texts, toxic, bounds), = seen
+    assert len(set(texts)) == len(texts) == 80 and sum(toxic) == 40 and max(map(len, texts)) < 20
+    assert bounds == {"negatives": 7, "hard_negatives": 5, "landmark_pool": 3}
