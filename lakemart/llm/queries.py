@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import id_files, lattice, line_dedup, mixing, topk, toxicity, url_filter
+from lakemart.llm import id_files, lattice, line_dedup, merkle, mixing, topk, toxicity, url_filter
 from lakemart.llm.ngram_join import near_duplicates
 from lakemart.llm.packing import pack
 from lakemart.llm.token_counts import count_tokens
@@ -80,10 +80,38 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, percent=85)
 
 
+def prove_documents(docs: DataFrame, block_height: int = merkle.BLOCK_HEIGHT) -> DataFrame:
+    """Proofs of all documents, a tree for each language, against rows of which a seventh are altered after the fact."""
+    altered = (F.crc32(F.col("doc_id").cast("string")) % 7 == 0) & F.col("n_chars").isNotNull()
+
+    def leaf(n_chars):
+        return merkle.digest(F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))
+
+    own = leaf(F.col("n_chars"))
+    manifest = merkle.build_manifest(
+        docs, F.col("lang"), [F.col("doc_id").cast("bigint")], own,
+        {"doc_id": F.col("doc_id"), "claimed": F.when(altered, leaf(F.col("n_chars") + 1)).otherwise(own)}, block_height,
+    )
+
+    def text(digest):
+        return F.lower(F.hex(digest))
+
+    return merkle.prove(manifest, "claimed", block_height).select(
+        "doc_id", text("leaf").alias("leaf"), text("subroot").alias("subroot"), text("root").alias("root"),
+        F.sha2(text("siblings"), 256).alias("proof_sha256"), text("folded").alias("folded_root"), "verified",
+    )
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and verification of every document."""
+    return prove_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing, "op2_url_filter": op2_url_filter, "op3_token_counts": op3_token_counts, "op4_mixing": op4_mixing,
     "op5_exact_topk": op5_exact_topk, "op6_id_files": op6_id_files, "op7_line_dedup": op7_line_dedup, "op8_toxicity": op8_toxicity,
     "op9_embedding_dedup": op9_embedding_dedup, "op10_ngram_join": op10_ngram_join,
+    "op12_merkle": op12_merkle,
 }
 ORACLES = {
     "op2_url_filter": url_filter.ANSI, "op4_mixing": mixing.ANSI, "op5_exact_topk": topk.ANSI, "op7_line_dedup": line_dedup.ANSI,
