@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm import id_files, lattice, line_dedup, merkle, mixing, topk, toxicity, url_filter
+from lakemart.llm.byte_bpe import decode_ids, encode_texts
 from lakemart.llm.ngram_join import near_duplicates
 from lakemart.llm.packing import pack
 from lakemart.llm.token_counts import count_tokens
@@ -107,11 +108,18 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prove_documents(_table(spark, sf_dir, "documents"))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by ranks and decoded again."""
+    return decode_ids(encode_texts(_table(spark, sf_dir, "documents"))).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 QUERIES = {
     "op1_packing": op1_packing, "op2_url_filter": op2_url_filter, "op3_token_counts": op3_token_counts, "op4_mixing": op4_mixing,
     "op5_exact_topk": op5_exact_topk, "op6_id_files": op6_id_files, "op7_line_dedup": op7_line_dedup, "op8_toxicity": op8_toxicity,
     "op9_embedding_dedup": op9_embedding_dedup, "op10_ngram_join": op10_ngram_join,
-    "op12_merkle": op12_merkle,
+    "op12_merkle": op12_merkle, "op13_byte_bpe": op13_byte_bpe,
 }
 ORACLES = {
     "op2_url_filter": url_filter.ANSI, "op4_mixing": mixing.ANSI, "op5_exact_topk": topk.ANSI, "op7_line_dedup": line_dedup.ANSI,

@@ -14,6 +14,7 @@ import pyarrow.compute as pc
 
 PIECE = 1 << 20
 KNOWN_SEGMENTS = 1 << 21
+KNOWN_IDS = 1 << 23
 LONG_SEGMENT = 64
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -124,7 +125,7 @@ class Encoder:
     The pre-tokenizers of both kinds (``byte``: white space kept; ``word``: lower case, white space dropped) always
     split there, so the ids of the segments, one after the other, are those of the text. White space beyond ASCII
     could join a run of spaces that a segment would cut; for ``byte`` such texts are encoded whole.
-    Known segments live in sorted arrays of bounded length; a hash of 64 bits stands for a segment of up to 64 bytes.
+    Known segments of up to 64 bytes live in sorted arrays of bounded length, with their ids; a hash of 64 bits stands for one.
     """
 
     def __init__(self, path: str, kind: str):
@@ -144,7 +145,10 @@ class Encoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _segments(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``(ids, counts)`` of the segments of one piece."""
+        """``(ids, counts)`` of the segments of one piece. One that fills a piece alone is not hashed."""
+        if len(starts) == 1 and len(data) > PIECE:
+            ids = np.array(self._encode([data.tobytes().decode("utf-8", "replace")])[0], self.width)
+            return ids, np.array([len(ids)])
         keys, first, back = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
         where = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
         known = self.keys[where] == keys if len(self.keys) else np.zeros(len(keys), bool)
@@ -162,15 +166,16 @@ class Encoder:
         per = lengths[back]
         take = np.repeat(at[back] - (np.cumsum(per) - per), per) + np.arange(int(per.sum()))
         out = flat[take]
-        keep = new[end - begin <= LONG_SEGMENT]
-        if len(self.keys) + len(keep) > KNOWN_SEGMENTS:
+        short = end - begin <= LONG_SEGMENT
+        keep, kept = new[short], counts[short]
+        if len(self.keys) + len(keep) > KNOWN_SEGMENTS or len(self.flat) + int(kept.sum()) > KNOWN_IDS:
             self._forget()
         elif len(keep):
-            self.flat = flat
             order = np.argsort(keys_all := np.concatenate([self.keys, keys[keep]]), kind="stable")
             self.keys = keys_all[order]
-            self.at = np.concatenate([self.at, at[keep]])[order]
-            self.lengths = np.concatenate([self.lengths, lengths[keep]])[order]
+            self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(kept) - kept])[order]
+            self.lengths = np.concatenate([self.lengths, kept])[order]
+            self.flat = np.concatenate([self.flat, fresh[np.repeat(short, counts)]])
         return out, per
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
