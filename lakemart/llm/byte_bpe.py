@@ -48,14 +48,19 @@ def _pattern() -> tuple[object, dict[int, str]]:
 
     every = "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]))
     single = {bytes([i]): i for i in range(256)}
-    stand_ins = dict.fromkeys(every, "")
-    differ = set()
+
+    def codes(text: str) -> np.ndarray:
+        return np.frombuffer(text.encode("utf-32-le"), "<u4")
+
+    theirs, differ = {}, np.empty(0, np.uint32)
     for kind in (r"\p{L}", r"\p{N}", r"\s"):
         probe = tiktoken.Encoding("probe", pat_str=f"{kind}+", mergeable_ranks=single, special_tokens={})
-        theirs = bytes(probe.encode_ordinary(every)).decode()
-        stand_ins.update(dict.fromkeys(theirs, kind))
-        differ |= set(theirs) ^ set("".join(regex.findall(f"{kind}+", every)))
-    return regex.compile(public_tokenizers.PATTERN), {ord(c): STAND_INS[stand_ins[c]] for c in differ}
+        theirs[kind] = codes(bytes(probe.encode_ordinary(every)).decode())
+        differ = np.union1d(differ, np.setxor1d(theirs[kind], codes("".join(regex.findall(f"{kind}+", every)))))
+    stand_ins = dict.fromkeys(differ.tolist(), STAND_INS[""])
+    for kind, found in theirs.items():
+        stand_ins.update(dict.fromkeys(np.intersect1d(differ, found).tolist(), STAND_INS[kind]))
+    return regex.compile(public_tokenizers.PATTERN), stand_ins
 
 
 class PrefixBpe:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import id_files, lattice, line_dedup, merkle, mixing, topk, toxicity, url_filter
+from lakemart.llm import id_files, lattice, line_dedup, merkle, mixing, prefix_trie, topk, toxicity, url_filter
 from lakemart.llm.byte_bpe import decode_ids, encode_texts
 from lakemart.llm.ngram_join import near_duplicates
 from lakemart.llm.packing import pack
 from lakemart.llm.token_counts import count_tokens
-from lakemart.workspace import new_path
+from lakemart.workspace import durable, new_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +81,23 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, percent=85)
 
 
+def conversation_trie(conversations: DataFrame, burst_at: int = prefix_trie.BURST_AT) -> DataFrame:
+    """The trie of all conversations, each of which opens with up to three turns of the one its twenty share."""
+    opening = F.crc32(F.col("conv_id").cast("string")) % 4
+    turns, ids = prefix_trie.graft(prefix_trie.turn_rows(conversations), F.col("conv_id") - F.pmod("conv_id", F.lit(20)), opening, 3)
+    trie = prefix_trie.build_trie(durable(turns, "rebuilt-turns"), ids, burst_at)
+    columns = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", F.col("saved_words").alias("saved_tokens"))
+    digests = prefix_trie.member_digests(trie.members)
+    ended = trie.nodes.where("class_id is not null").join(digests, "class_id").select(*columns, F.col("digest").alias("ends_sha256"))
+    passed = trie.nodes.where("class_id is null").select(*columns, F.sha2(F.lit(""), 256).alias("ends_sha256"))
+    return ended.unionByName(passed)
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all conversations."""
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 def prove_documents(docs: DataFrame, block_height: int = merkle.BLOCK_HEIGHT) -> DataFrame:
     """Proofs of all documents, a tree for each language, against rows of which a seventh are altered after the fact."""
     altered = (F.crc32(F.col("doc_id").cast("string")) % 7 == 0) & F.col("n_chars").isNotNull()
@@ -119,7 +136,7 @@ QUERIES = {
     "op1_packing": op1_packing, "op2_url_filter": op2_url_filter, "op3_token_counts": op3_token_counts, "op4_mixing": op4_mixing,
     "op5_exact_topk": op5_exact_topk, "op6_id_files": op6_id_files, "op7_line_dedup": op7_line_dedup, "op8_toxicity": op8_toxicity,
     "op9_embedding_dedup": op9_embedding_dedup, "op10_ngram_join": op10_ngram_join,
-    "op12_merkle": op12_merkle, "op13_byte_bpe": op13_byte_bpe,
+    "op11_prefix_trie": op11_prefix_trie, "op12_merkle": op12_merkle, "op13_byte_bpe": op13_byte_bpe,
 }
 ORACLES = {
     "op2_url_filter": url_filter.ANSI, "op4_mixing": mixing.ANSI, "op5_exact_topk": topk.ANSI, "op7_line_dedup": line_dedup.ANSI,
