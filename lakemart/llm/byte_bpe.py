@@ -5,7 +5,9 @@ and that stays apart from the last token of what is before it; exactly one does.
 for each byte, is the encoding: walking it from the end gives the ids. Appending extends the table and changes nothing in
 it; after an edit it is refilled from there until it agrees with the former one for the length of the longest token.
 
-Two tokens stay apart if merging both's bytes by rank gives the two again; answers are kept. Texts are cut by the public
+Two tokens stay apart if merging both's bytes by rank gives the two again. What touches across the border between them are
+the ends of their own merges, from single bytes up to the tokens: a pair of such ends that is a token, and of lower rank than
+either's next merge, would have merged first. Answers are kept. Texts are cut by the public
 pattern, each match is a piece of its own, and a match that is a token is that token.
 """
 
@@ -25,8 +27,8 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.textops import Encoder, binary_column, is_space, pieces, text_bytes
 
-KNOWN_PAIRS = 1 << 20
-KNOWN_PIECES = 1 << 17
+KNOWN_PAIRS = 1 << 18
+KNOWN_PIECES = 1 << 16
 LONG_PIECE = 64
 ROWS_BYTES = 1 << 22
 
@@ -80,11 +82,14 @@ class PrefixBpe:
         self.automaton.make_automaton()
         self.sizes = np.fromiter(map(len, self.bytes_of), np.int64, len(self.bytes_of))
         self._apart: dict[tuple[int, int], bool] = {}
+        self._made: dict[int, tuple[int, int] | None] = {}
+        self._ends: dict[tuple[int, bool], list[int] | None] = {}
 
-    def merged(self, data: bytes) -> list[int]:
-        """Ids by merging the adjacent pair of least rank, the first of equal ones, until none is a token (short data only)."""
+    def merged(self, data: bytes, until: int = 1) -> list[int]:
+        """Ids by merging the adjacent pair of least rank, the first of equal ones, until none is a token or ``until`` are left
+        (short data only)."""
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
+        while len(parts) > until:
             rank, i = min((self.ranks.get(a + b, len(self.bytes_of)), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
             if rank == len(self.bytes_of):
                 break
@@ -97,10 +102,49 @@ class PrefixBpe:
         if known is None:
             if len(self._apart) >= KNOWN_PAIRS:
                 self._apart.clear()
-            pair = [right] if left < 0 else [left, right]
-            known = self._apart[left, right] = self.merged(b"".join(self.bytes_of[t] for t in pair)) == pair
+            known = self._apart[left, right] = self._meet(left, right)
         return known
 
+    def _halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens that ``token`` is merged from; empty for a byte, None if merges do not lead to it or ranks do not
+        ascend on the way."""
+        if token not in self._made:
+            data = self.bytes_of[token]
+            halves = () if len(data) == 1 else tuple(self.merged(data, 2))
+            if halves and (len(halves) != 2 or max(halves) >= token or any(self._halves(t) is None for t in halves)):
+                halves = None
+            self._made[token] = halves
+        return self._made[token]
+
+    def _spine(self, token: int, right: bool) -> list[int] | None:
+        """What lies at the right or left end of ``token`` while it is merged, from itself down to a byte."""
+        if (token, right) not in self._ends:
+            out, halves = [token], self._halves(token)
+            while halves:
+                out.append(halves[1 if right else 0])
+                halves = self._halves(out[-1])
+            self._ends[token, right] = None if halves is None else out
+        return self._ends[token, right]
+
+    def _meet(self, left: int, right: int) -> bool:
+        ours, theirs = [] if left < 0 else self._spine(left, True), self._spine(right, False)
+        if ours is None or theirs is None:
+            pair = [right] if left < 0 else [left, right]
+            return self.merged(b"".join(self.bytes_of[t] for t in pair)) == pair
+        i, j, never = len(ours) - 1, len(theirs) - 1, len(self.bytes_of)
+        while i >= 0:
+            mine, other = ours[i - 1] if i else never, theirs[j - 1] if j else never
+            across = self.ranks.get(self.bytes_of[ours[i]] + self.bytes_of[theirs[j]], never)
+            if across < mine and across <= other and across < never:
+                return False
+            if mine == other == never:
+                return True
+            if mine <= other:
+                i -= 1
+            else:
+                j -= 1
+        return True
+
     def extend(self, data: bytes, last: array, former: array | None = None, moved: int = 0, after: int = 0) -> bool:
         """Fill ``last`` up to the length of ``data``. With ``former``, whose bytes lie ``moved`` places earlier from ``after``
         on, stop as soon as the rest must equal it and say so."""

@@ -1,4 +1,5 @@
 import base64
+import itertools
 from hashlib import sha256
 
 import numpy as np
@@ -10,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from lakemart.llm import textops
-from lakemart.llm.byte_bpe import Piece, apply_edits, coder, decode_ids, default_ranks, encode_texts, splice
+from lakemart.llm.byte_bpe import Piece, PrefixBpe, apply_edits, coder, decode_ids, default_ranks, encode_texts, splice
 from lakemart.llm.queries import op13_byte_bpe
 
 with open(default_ranks(), "rb") as lines:
@@ -34,6 +35,27 @@ def test_columns_as_the_library(texts):
     assert OWN.decode(ids).tobytes() == "".join(t or "" for t in texts).encode()
 
 
+def test_neighbours_as_merging_both():
+    bpe, draw = OWN.bpe, np.random.RandomState(3)
+    ids = [i for i, b in enumerate(bpe.bytes_of) if b]
+    short = [i for i in ids if len(bpe.bytes_of[i]) <= 3]
+    for pool, n in ((ids, 20_000), (short, 60_000)):
+        for a, b in zip(draw.choice(pool, n).tolist(), draw.choice(pool, n).tolist()):
+            assert bpe._meet(a, b) == (bpe.merged(bpe.bytes_of[a] + bpe.bytes_of[b]) == [a, b])
+    assert all(bpe._meet(-1, i) == (bpe.merged(bpe.bytes_of[i]) == [i]) for i in ids[::37])
+
+
+def test_ranks_that_do_not_ascend(tmp_path):
+    tokens = {bytes([i]): i for i in range(256)} | {b"abc": 256, b"bc": 257, b"cd": 258, b"ab": 259, b"abcd": 260, b"dd": 261, b"ddd": 262}
+    path = tmp_path / "ranks"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % r for t, r in tokens.items()))
+    plain = tiktoken.Encoding("t", pat_str=r"[\s\S]+", mergeable_ranks=tokens, special_tokens={})
+    bpe = PrefixBpe(str(path))
+    for n in range(1, 8):
+        for word in itertools.product(b"abcd", repeat=n) if n < 7 else [tuple(b"abcdabc"), tuple(b"ddddddd")]:
+            assert bpe.encode(bytes(word)) == plain.encode_ordinary(bytes(word).decode())
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 200), st.integers(0, 200), st.one_of(st.binary(max_size=30), TEXTS.map(str.encode))), max_size=8))
 def test_pieces_under_change(edits):
