@@ -65,14 +65,37 @@ def _pattern() -> tuple[object, dict[int, str]]:
     return regex.compile(public_tokenizers.PATTERN), stand_ins
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as lines:
+        return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
+
+
+class TokenBytes:
+    """The bytes of each id: all that decoding needs."""
+
+    def __init__(self, path: str):
+        ranks = read_ranks(path)
+        table = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            table[rank] = token
+        self.sizes = np.fromiter(map(len, table), np.int64, len(table))
+        self.at = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(table), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of all tokens, one after the other."""
+        sizes = self.sizes[ids]
+        shift = self.at[ids] - (np.cumsum(sizes) - sizes)
+        return self.flat[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
+
+
 class PrefixBpe:
     """Last tokens of byte prefixes under the ranks of a file (base64 token and rank in each line, every byte a token)."""
 
     def __init__(self, path: str):
         import ahocorasick
 
-        with open(path, "rb") as lines:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
+        self.ranks = read_ranks(path)
         self.longest = max(map(len, self.ranks))
         self.bytes_of = [b""] * (max(self.ranks.values()) + 1)
         self.automaton = ahocorasick.Automaton()
@@ -222,8 +245,6 @@ class ByteBpeEncoder(Encoder):
         self.width = np.uint16 if len(self.bpe.bytes_of) <= 1 << 16 else np.uint32
         self._pieces: dict[str, list[int]] = {}
         self._forget()
-        ends = np.concatenate([[0], np.cumsum(self.bpe.sizes)])
-        self.token_at, self.token_bytes = ends[:-1], np.frombuffer(b"".join(self.bpe.bytes_of), np.uint8)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [self.encode_text(t) for t in texts]
@@ -243,11 +264,10 @@ class ByteBpeEncoder(Encoder):
             out += ids
         return out
 
-    def decode(self, ids: np.ndarray) -> np.ndarray:
-        """The bytes of all tokens, one after the other."""
-        sizes = self.bpe.sizes[ids]
-        shift = self.token_at[ids] - (np.cumsum(sizes) - sizes)
-        return self.token_bytes[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
+
+@lru_cache(maxsize=2)
+def token_bytes(path: str) -> TokenBytes:
+    return TokenBytes(path)
 
 
 @lru_cache(maxsize=2)
@@ -287,14 +307,14 @@ def decode_ids(encoded: DataFrame, ranks: str | None = None) -> DataFrame:
     at = names.index("ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = coder(path)
+        own = token_bytes(path)
         for batch in batches:
             raw = batch.column(at).fill_null(b"").cast(pa.large_binary())
             offsets = np.concatenate([[0], np.cumsum(pc.binary_length(raw).to_numpy())])
             for a, b in pieces(offsets, ROWS_BYTES) if batch.num_rows else ():
                 rows = [np.frombuffer(x.as_buffer(), "<u4") for x in raw.slice(a, b - a)]
                 flat = np.concatenate(rows)
-                upto = np.concatenate([[0], np.cumsum(own.bpe.sizes[flat])])
+                upto = np.concatenate([[0], np.cumsum(own.sizes[flat])])
                 ends = upto[np.cumsum([len(r) for r in rows])]
                 decoded = binary_column(own.decode(flat), np.diff(ends, prepend=0)).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), decoded], [*names, "decoded"])

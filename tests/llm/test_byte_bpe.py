@@ -11,14 +11,14 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from lakemart.llm import textops
-from lakemart.llm.byte_bpe import Piece, PrefixBpe, apply_edits, coder, decode_ids, default_ranks, encode_texts, splice
+from lakemart.llm.byte_bpe import Piece, PrefixBpe, apply_edits, coder, decode_ids, default_ranks, encode_texts, splice, token_bytes
 from lakemart.llm.queries import op13_byte_bpe
 
 with open(default_ranks(), "rb") as lines:
     RANKS = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 PLAIN = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 WHOLE = tiktoken.Encoding("whole", pat_str=r"[\s\S]+", mergeable_ranks=RANKS, special_tokens={})
-OWN = coder(default_ranks())
+OWN, BYTES = coder(default_ranks()), token_bytes(default_ranks())
 PARTS = st.sampled_from([
     "the", " The", "don't", "'s", "'", "r", "e", "\n", "\n\n", "  ", "\t", "\r\n", " ", ".", ",", "é", "1", "23", "x9,", " ", "　 ",
     " ", "\x1c", "—,", "¿", "日本", "<|endoftext|>", "_", "😀", "ß", "\x85 ", "q" * 70, "\0", "ab" * 40, "=" * 30, "aaaa", "\u0558", "\u088f", "\ua7ce",
@@ -32,7 +32,7 @@ def test_columns_as_the_library(texts):
     ids, counts = OWN.encode(pa.array(texts, pa.string()))
     want = [PLAIN.encode_ordinary(t or "") for t in texts]
     assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
-    assert OWN.decode(ids).tobytes() == "".join(t or "" for t in texts).encode()
+    assert BYTES.decode(ids).tobytes() == "".join(t or "" for t in texts).encode()
 
 
 def test_neighbours_as_merging_both():
@@ -144,5 +144,5 @@ def test_known_segments_stay_bounded():
 def test_unbroken_texts(size):
     text = "z" * size
     ids, _ = OWN.encode(pa.array([text]))
-    assert OWN.decode(ids).tobytes() == text.encode()
+    assert BYTES.decode(ids).tobytes() == text.encode()
     assert textops._powers.cache_info().currsize <= 2 and all(len(textops._powers(n)[0]) <= textops.PIECE for n in (1 << 16,))
