@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions import minhash as M
+from lakemart.operators.linking import BLOCK, bucket_pairs
 from lakemart.operators.quantiles import exact_percentiles
-from lakemart.operators.similarity import similar_groups, verify
+from lakemart.operators.similarity import size_allows, verify
 
 BUCKET_CAP = 50
 ERROR_BANDS = ((0.0, 0.2), (0.2, 0.5), (0.5, 0.8), (0.8, 1.0))
@@ -36,7 +37,7 @@ def candidate_pairs(bands: DataFrame, members: DataFrame, cap: int) -> DataFrame
     """Distinct notice pairs that share a bucket of at most ``cap`` notices, ``kind = 'pair'``.
 
     A larger bucket is not expanded into pairs and not dropped either: it is listed once, as its smallest
-    notice with each of the others, ``kind = 'bucket'``. ``verified_pairs`` resolves those buckets exactly.
+    notice with each of the others, ``kind = 'bucket'``. ``verified_pairs`` compares all buckets, in blocks.
     """
     sizes = bucket_sizes(bands)
     small = sizes.where(F.col("docs").between(2, cap)).select("band_id", "bucket_hash")
@@ -59,38 +60,31 @@ def candidate_pairs(bands: DataFrame, members: DataFrame, cap: int) -> DataFrame
     return pairs.withColumn("kind", F.lit("pair")).unionByName(large.withColumn("kind", F.lit("bucket")))
 
 
-def verified_pairs(groups: DataFrame, sets: DataFrame, percent: int, cap: int = BUCKET_CAP) -> DataFrame:
-    """Pairs of content groups that share a bucket and whose exact Jaccard reaches ``percent``.
+def colliding_pairs(rows: DataFrame, percent: int, block: int) -> DataFrame:
+    """``(x, y)``: every two groups that share a bucket and whose sizes allow ``percent``, once, in the first band they share.
+
+    ``rows(group_id, n_shingles, bands, ...)``; ``x`` and ``y`` hold their columns.
+    """
+    banded = rows.select("*", F.posexplode("bands").alias("band_id", "bucket_hash"))
+    both = bucket_pairs(banded, ["band_id", "bucket_hash"], block)
+    agree = F.zip_with("x.bands", "y.bands", lambda p, q: p == q)
+    first = F.array_position(agree, F.lit(True)) == F.col("band_id") + 1
+    return both.where(size_allows(F.col("x.n_shingles"), F.col("y.n_shingles"), percent) & first).select("x", "y")
 
-    ``groups(group_id, n_docs, bands)`` is light; ``sets(group_id, n_shingles, shingles)`` is only joined to
-    the candidates.
 
-    Buckets of up to ``cap`` groups are paired by a self-join, at most ``cap`` partners per row. Groups in
-    larger buckets go through the exact similarity join instead, so that no bucket is expanded quadratically
-    and none is skipped: the result is that of pairing every bucket.
+def verified_pairs(groups: DataFrame, sets: DataFrame, percent: int, cap: int = BLOCK) -> DataFrame:
+    """Pairs of content groups that share a bucket and whose exact Jaccard reaches ``percent``.
+
+    ``groups(group_id, n_docs, n_shingles, bands)`` is light; ``sets(group_id, n_shingles, shingles)`` is only joined to
+    the candidates. Buckets are compared in blocks of about ``cap`` groups, large and small ones alike; a pair counts in the first
+    band it shares, so candidates are not shuffled to be made distinct. Where clusters are all that is wanted,
+    ``linking.connect`` compares far fewer pairs.
     """
-    bands = band_rows(groups).select("band_id", "bucket_hash", "group_id", "n_docs")
-    sizes = bucket_sizes(bands).where(F.col("groups") > 1)
-    small = sizes.where(F.col("groups") <= cap).select("band_id", "bucket_hash")
-    rows = bands.join(small, ["band_id", "bucket_hash"], "left_semi").select("band_id", "bucket_hash", "group_id")
-    a, b = rows.withColumnRenamed("group_id", "group_a"), rows.withColumnRenamed("group_id", "group_b")
-    pairs = (
-        a.join(b, ["band_id", "bucket_hash"]).where(F.col("group_a") < F.col("group_b"))
-        .select("group_a", "group_b").distinct()
-    )
-    found = verify(pairs, sets, percent)
-    large = sizes.where(F.col("groups") > cap).select("band_id", "bucket_hash")
-    if large.isEmpty():
-        return found
-    crowded = bands.join(large, ["band_id", "bucket_hash"], "left_semi").select("group_id").distinct()
-    exact = similar_groups(sets.join(crowded, "group_id", "left_semi"), percent, lookup=sets)
-    buckets = groups.select("group_id", "bands")
-    colliding = (
-        exact.join(buckets.select(F.col("group_id").alias("group_a"), F.col("bands").alias("bands_a")), "group_a")
-        .join(buckets.select(F.col("group_id").alias("group_b"), F.col("bands").alias("bands_b")), "group_b")
-        .where(M.shares_bucket(F.col("bands_a"), F.col("bands_b"))).select(found.columns)
+    both = colliding_pairs(groups.select("group_id", "n_shingles", "bands"), percent, cap)
+    pairs = both.select(
+        F.least("x.group_id", "y.group_id").alias("group_a"), F.greatest("x.group_id", "y.group_id").alias("group_b")
     )
-    return found.unionByName(colliding).dropDuplicates(["group_a", "group_b"])
+    return verify(pairs, sets, percent)
 
 
 def candidate_load(bands: DataFrame, cap: int | None = None) -> DataFrame:

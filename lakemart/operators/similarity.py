@@ -22,6 +22,40 @@ def _ceil_div(numerator: Column, denominator: int) -> Column:
     return F.call_function("div", numerator + F.lit(denominator - 1), F.lit(denominator)).cast("bigint")
 
 
+def size_allows(n_a: Column, n_b: Column, percent: int) -> Column:
+    """Whether sets of these sizes can reach ``percent``."""
+    return F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent
+
+
+def _ranked(sets: DataFrame) -> DataFrame:
+    """Per set, its shingles that other sets have too, the rarest first (``common``), after those it has alone (``alone``)."""
+    postings = sets.select(
+        "group_id", F.col("n_shingles").cast("bigint").alias("n"), F.explode("shingles").alias("shingle")
+    )
+    frequency = postings.groupBy("shingle").agg(F.count("*").alias("df")).where(F.col("df") > 1)
+    return (
+        postings.join(frequency, "shingle").groupBy("group_id", "n")
+        .agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("common"))
+        .withColumn("alone", F.col("n") - F.size("common"))
+    )
+
+
+def _prefix(ranked: DataFrame, length: Column) -> DataFrame:
+    """The common shingles among the first ``length`` of each set, with how many of the set's are ``before`` them."""
+    kept = F.greatest(length - F.col("alone"), F.lit(0)).cast("int")
+    opened = ranked.select("group_id", "n", "alone", F.posexplode(F.slice("common", F.lit(1), kept)).alias("at", "entry"))
+    return opened.select("group_id", "n", "entry.shingle", "entry.df", (F.col("alone") + F.col("at")).alias("before"))
+
+
+def prefix_buckets(sets: DataFrame, percent: int) -> DataFrame:
+    """``(shingle, group_id, n_shingles, before)``: buckets in which any two sets of at least ``percent`` meet, by a shingle that
+    both have among their first ``n - ceil(t n) + 1``."""
+    n = F.col("n")
+    return _prefix(_ranked(sets), n - _ceil_div(n * percent, 100) + 1).select(
+        "shingle", "group_id", F.col("n").alias("n_shingles"), "before"
+    )
+
+
 def similar_groups(sets: DataFrame, percent: int, lookup: DataFrame | None = None) -> DataFrame:
     """``(group_a, group_b, n_a, n_b, shared, jaccard)`` for all pairs of different sets at or above ``percent``.
 
@@ -37,29 +71,14 @@ def similar_groups(sets: DataFrame, percent: int, lookup: DataFrame | None = Non
     A shingle in more than ``HOT_SHINGLE`` groups is split: its index rows are dealt to several lanes and
     its probe rows go to each of them, so that no task holds all of one shingle.
     """
-    postings = sets.select(
-        "group_id", F.col("n_shingles").cast("bigint").alias("n"), F.explode("shingles").alias("shingle")
-    )
-    frequency = postings.groupBy("shingle").agg(F.count("*").alias("df")).where(F.col("df") > 1)
-    ranked = (
-        postings.join(frequency, "shingle").groupBy("group_id", "n")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("common"))
-        .withColumn("alone", F.col("n") - F.size("common"))
-    )
+    ranked = _ranked(sets)
     n = F.col("n")
     index_length = n - _ceil_div(n * (2 * percent), 100 + percent) + 1
     probe_length = n - _ceil_div(n * percent, 100) + 1
 
     def prefix(length: Column) -> DataFrame:
-        kept = F.greatest(length - F.col("alone"), F.lit(0)).cast("int")
-        opened = ranked.select(
-            "group_id", "n", "alone", F.posexplode(F.slice("common", F.lit(1), kept)).alias("at", "entry")
-        )
-        lanes = _ceil_div(F.col("entry.df"), HOT_SHINGLE)
-        return opened.select(
-            "group_id", "n", F.col("entry.shingle").alias("shingle"),
-            (F.col("alone") + F.col("at")).alias("before"), lanes.alias("lanes"),
-        )
+        lanes = _ceil_div(F.col("df"), HOT_SHINGLE)
+        return _prefix(ranked, length).select("group_id", "n", "shingle", "before", lanes.alias("lanes"))
 
     index = prefix(index_length).withColumn("lane", F.pmod(F.xxhash64("group_id"), F.col("lanes"))).alias("x")
     probe = prefix(probe_length).withColumn(
@@ -82,12 +101,12 @@ def similar_groups(sets: DataFrame, percent: int, lookup: DataFrame | None = Non
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of groups whose exact Jaccard reaches ``percent``."""
+    """Pairs of groups ``(group_a, group_b, ...)`` whose exact Jaccard reaches ``percent``."""
     n = F.col("n_shingles").cast("bigint")
     a = sets.select(F.col("group_id").alias("group_a"), n.alias("n_a"), F.col("shingles").alias("set_a"))
     b = sets.select(F.col("group_id").alias("group_b"), n.alias("n_b"), F.col("shingles").alias("set_b"))
     counted = pairs.join(a, "group_a").join(b, "group_b").select(
-        "group_a", "group_b", "n_a", "n_b", X.shared_count(F.col("set_a"), F.col("set_b")).alias("shared")
+        *pairs.columns, "n_a", "n_b", X.shared_count(F.col("set_a"), F.col("set_b")).alias("shared")
     )
     union = F.col("n_a") + F.col("n_b") - F.col("shared")
     return counted.where((F.col("shared") > 0) & (F.col("shared") * 100 >= union * percent)).select(

@@ -551,7 +551,7 @@ def night_of(notices: DataFrame) -> DataFrame:
 
 def _history(spark: SparkSession, folder: str) -> N.CardHistory:
     notices = N.documents(spark, folder)
-    return N.replay_cards(N.run_notices(notices), night_of(notices), N_NIGHTS)
+    return N.replay_cards(build_corpus(notices), night_of(notices), N_NIGHTS)
 
 
 # A card is named after the smallest notice of its cluster on the night on which the cluster first had one.

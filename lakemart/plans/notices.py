@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.operators import cards, clusters, lsh, similarity
+from lakemart.operators import cards, clusters, linking, similarity
 from lakemart.operators.corpus import Corpus, build_corpus
 from lakemart.sources.tables import table
 from lakemart.workspace import durable, spread
@@ -55,22 +55,34 @@ def scored_neighbours(spark: SparkSession, folder: str, k: int = 3) -> DataFrame
 
 
 def exact_clusters(corpus: Corpus, percent: int = SIMILAR_PERCENT) -> DataFrame:
-    near = similarity.similar_groups(corpus.group_sets, percent, corpus.sets)
-    return clusters.cluster_notices(corpus.members, clusters.components(near))
+    """Clusters of all pairs at or above ``percent``, found without writing all of them."""
+    buckets = durable(similarity.prefix_buckets(corpus.group_sets, percent), "prefix-buckets")
+    links = linking.connect(buckets, corpus.sets, percent, ["shingle"])
+    return clusters.cluster_notices(corpus.members, clusters.components(links))
 
 
 @dataclass(frozen=True)
 class NoticeRun:
+    """``links`` are enough of the verified pairs to connect each cluster; ``lsh.verified_pairs`` gives all of them."""
+
     corpus: Corpus
-    pairs: DataFrame
+    links: DataFrame
     clusters: DataFrame
 
 
 def run_notices(notices: DataFrame, percent: int = SIMILAR_PERCENT, **options) -> NoticeRun:
     """The nightly job: sketch, candidate buckets, exact verification, clusters."""
     corpus = build_corpus(notices, **options)
-    pairs = durable(lsh.verified_pairs(corpus.groups, corpus.sets, percent), "verified-pairs")
-    return NoticeRun(corpus, pairs, clusters.cluster_notices(corpus.members, clusters.components(pairs)))
+    links = linking.connect(band_buckets(corpus.groups), corpus.sets, percent, BUCKET)
+    return NoticeRun(corpus, links, clusters.cluster_notices(corpus.members, clusters.components(links)))
+
+
+BUCKET = ("band_id", "bucket_hash")
+
+
+def band_buckets(groups: DataFrame) -> DataFrame:
+    """``(band_id, bucket_hash, group_id, n_shingles)``."""
+    return groups.select(F.posexplode("bands").alias(*BUCKET), "group_id", "n_shingles")
 
 
 @dataclass(frozen=True)
@@ -79,24 +91,29 @@ class CardHistory:
     issued: DataFrame
 
 
-def replay_cards(run: NoticeRun, night_of: DataFrame, n_nights: int) -> CardHistory:
+def replay_cards(corpus: Corpus, night_of: DataFrame, n_nights: int, percent: int = SIMILAR_PERCENT) -> CardHistory:
     """Cards after ``n_nights`` re-runs on a growing corpus, each on everything that had arrived by then.
 
-    ``night_of(doc_id, night)``. Content and verified pairs do not change when notices arrive, so each night
-    clusters the content groups present so far and updates the cards.
+    ``night_of(doc_id, night)``. Each night compares the content groups that are new with those present, carries the clusters
+    on and updates the cards.
     """
     spark = night_of.sparkSession
     state, issued = cards.empty_state(spark), None
-    members = run.corpus.members.join(night_of, "doc_id")
-    arrival = durable(members.groupBy("group_id").agg(F.min("night").alias("since")), "arrivals")
+    members = durable(corpus.members.join(night_of, "doc_id"), "arrivals")
+    since = members.groupBy("group_id").agg(F.min("night").alias("since"))
+    buckets = durable(band_buckets(corpus.groups).join(since, "group_id"), "arrived-buckets")
+    labels = None
     for night in range(1, n_nights + 1):
-        there = arrival.where(F.col("since") <= night).select("group_id")
-        edges = (
-            run.pairs.join(there.withColumnRenamed("group_id", "group_a"), "group_a", "left_semi")
-            .join(there.withColumnRenamed("group_id", "group_b"), "group_b", "left_semi")
+        there = buckets.where(F.col("since") <= night).withColumn("is_new", F.col("since") == night)
+        joined = clusters.components(linking.connect(there, corpus.sets, percent, BUCKET, labels), "from_a", "from_b")
+        fresh = since.where(F.col("since") == night).select(F.col("group_id").alias("at"), F.col("group_id").alias("was"))
+        if labels is not None:
+            fresh = labels.select(F.col("node").alias("at"), F.col("cluster").alias("was")).unionByName(fresh)
+        labels = durable(
+            fresh.join(joined, F.col("was") == F.col("node"), "left").select(F.col("at").alias("node"), F.coalesce("cluster", "was").alias("cluster")),
+            "clusters",
         )
-        present = members.where(F.col("night") <= night).select("doc_id", "group_id")
-        found = clusters.cluster_notices(present, clusters.components(edges))
+        found = clusters.cluster_notices(members.where(F.col("night") <= night), labels)
         found = found.select(F.col("doc_id").alias("notice_id"), "cluster_id")
         state = cards.update_cards(state, found, f"2024-01-{night:02d} 00:00:00").durable()
         tonight = state.mapping.select("card_id", "notice_id")

@@ -12,10 +12,9 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.functions import minhash as M
-from lakemart.operators import cards, clusters, lsh
+from lakemart.operators import cards, clusters, linking, lsh
 from lakemart.operators.corpus import membership, sketch
-from lakemart.operators.similarity import similar_groups, verify
+from lakemart.operators.similarity import verify
 from lakemart.workspace import durable
 
 GROUP_SCHEMA = (
@@ -59,39 +58,24 @@ class NoticeStore:
         df.write.mode("overwrite").parquet(self._batch(table, batch))
 
 
-def delta_pairs(fresh: DataFrame, stored: DataFrame, percent: int, cap: int = lsh.BUCKET_CAP) -> DataFrame:
+def delta_pairs(fresh: DataFrame, stored: DataFrame, percent: int, cap: int = linking.BLOCK) -> DataFrame:
     """Verified pairs with at least one new group: new against old, and new against new.
 
-    As in ``lsh.verified_pairs``, groups in a bucket above the cap take the exact join instead. Only buckets
-    that a new group is in are looked at.
+    As in ``lsh.verified_pairs``, buckets are compared in blocks of about ``cap`` groups. Only buckets that a new group is in are
+    looked at.
     """
     everything = stored.select(fresh.columns).withColumn("is_new", F.lit(False)).unionByName(
         fresh.withColumn("is_new", F.lit(True))
     )
-    bands = everything.select("group_id", "is_new", F.posexplode("bands").alias("band_id", "bucket_hash"))
-    sizes = bands.groupBy("band_id", "bucket_hash").agg(
-        F.count("*").alias("groups"), F.count_if("is_new").alias("news")
-    ).where((F.col("news") > 0) & (F.col("groups") > 1))
-    small = sizes.where(F.col("groups") <= cap).select("band_id", "bucket_hash")
-    rows = bands.join(small, ["band_id", "bucket_hash"], "left_semi")
-    a = rows.where("is_new").select("band_id", "bucket_hash", F.col("group_id").alias("x"))
-    b = rows.select("band_id", "bucket_hash", F.col("group_id").alias("y"))
-    pairs = a.join(b, ["band_id", "bucket_hash"]).where(F.col("x") != F.col("y")).select(
-        F.least("x", "y").alias("group_a"), F.greatest("x", "y").alias("group_b")
-    ).distinct()
-    found = verify(pairs, everything, percent).select("group_a", "group_b")
-    large = sizes.where(F.col("groups") > cap).select("band_id", "bucket_hash")
-    if large.isEmpty():
-        return found
-    crowded = bands.join(large, ["band_id", "bucket_hash"], "left_semi").select("group_id").distinct()
-    exact = similar_groups(everything.join(crowded, "group_id", "left_semi"), percent)
-    side = everything.select("group_id", "bands", "is_new")
-    colliding = (
-        exact.join(side.select(F.col("group_id").alias("group_a"), F.col("bands").alias("p"), F.col("is_new").alias("na")), "group_a")
-        .join(side.select(F.col("group_id").alias("group_b"), F.col("bands").alias("q"), F.col("is_new").alias("nb")), "group_b")
-        .where((F.col("na") | F.col("nb")) & M.shares_bucket(F.col("p"), F.col("q"))).select("group_a", "group_b")
+    rows = everything.select("group_id", "n_shingles", "bands", "is_new", F.posexplode("bands").alias("band_id", "bucket_hash"))
+    keys = ["band_id", "bucket_hash"]
+    touched = rows.where("is_new").select(*keys).distinct()
+    near = everything.join(rows.join(touched, keys, "left_semi").select("group_id").distinct(), "group_id", "left_semi")
+    both = lsh.colliding_pairs(near.select("group_id", "n_shingles", "bands", "is_new"), percent, cap).where("x.is_new or y.is_new")
+    pairs = both.select(
+        F.least("x.group_id", "y.group_id").alias("group_a"), F.greatest("x.group_id", "y.group_id").alias("group_b")
     )
-    return found.unionByName(colliding).distinct()
+    return verify(pairs, everything, percent).select("group_a", "group_b")
 
 
 def process_batch(store: NoticeStore, notices: DataFrame, batch: int, percent: int, as_of: str, **options) -> None:
