@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from lakemart.plans import notice_queries, retail_queries
 from lakemart.plans import notices as N
 from lakemart.sources import tables as T
+from lakemart.streaming import index as I
 from lakemart.streaming import lines as L
-from lakemart.streaming import notices as Z
 from lakemart.workspace import new_path
 
 QUERIES: dict = {}
@@ -59,17 +59,22 @@ def stream_revenue_by_month(spark: SparkSession, folder: str) -> DataFrame:
     return retail_queries.by_month(T.with_revenue(landed))
 
 
-@query(notice_queries.ORACLES["cards_after_rerun"])
-def stream_cards(spark: SparkSession, folder: str) -> DataFrame:
-    """Three nightly deltas of notices; the cards equal those of three full re-runs."""
+def _nightly(spark: SparkSession, folder: str) -> tuple[I.DeltaStore, int]:
+    """Three nights of notices taken into an index, as files that arrive."""
     path = new_path(spark, "stream-cards")
     notices = T.table(spark, folder, "documents")
     deltas = notices.join(notice_queries.night_of(notices), "doc_id").select("doc_id", "text", "night")
     schema = notices.select("doc_id", "text").schema
-    store = Z.NoticeStore(spark, f"{path}/store")
+    store, batches = I.DeltaStore(spark, f"{path}/store", ranges=16), 0  # each a file for each table and night
     for night in range(1, notice_queries.N_NIGHTS + 1):
         deltas.where(F.col("night") == night).drop("night").write.mode("append").parquet(f"{path}/inbox")
         stream = L.file_stream(spark, f"{path}/inbox", schema)
-        Z.run(stream, store, f"{path}/progress", N.SIMILAR_PERCENT, lambda number: f"2024-01-{number + 1:02d} 00:00:00")
-    state = store.card_state(Z.last_batch(store))
-    return state.mapping.select(F.col("notice_id").alias("doc_id"), "card_id")
+        batches = I.run(stream, store, f"{path}/progress", N.SIMILAR_PERCENT, lambda number: f"2024-01-{number + 1:02d} 00:00:00")
+    return store, batches
+
+
+@query(notice_queries.ORACLES["cards_after_rerun"])
+def stream_cards(spark: SparkSession, folder: str) -> DataFrame:
+    """Three nightly deltas of notices; the cards equal those of three full re-runs."""
+    store, batches = _nightly(spark, folder)
+    return I.cards_now(store, batches).select(F.col("notice_id").alias("doc_id"), "card_id")
