@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm.components import components
-from lakemart.llm.textops import lower_ascii, mix, span_hashes, text_bytes, words
+from lakemart.llm.textops import lower_ascii, mix, release_memory, text_bytes, word_hashes, words
 from lakemart.workspace import durable, durable_observed
 
 ROWS_BYTES = 1 << 20
@@ -43,7 +43,7 @@ def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + ROWS_BYTES, "right")) - 1)
         part, bounds = lower_ascii(data[offsets[at] : offsets[to]]), offsets[at : to + 1] - offsets[at]
         starts, ends, first = words(part, bounds)
-        hashes = span_hashes(part, starts, ends)
+        hashes = word_hashes(part, starts, ends)
         size = np.diff(first)
         usual = np.maximum(size - k + 1, (size > 0).astype(np.int64))
         chain = hashes.copy()
@@ -137,6 +137,7 @@ def _classes(docs: DataFrame, shingle: int) -> tuple[DataFrame, dict]:
                     [batch.column(0).slice(at, len(counts)), batch.column(2).slice(at, len(counts)), pa.array(signatures(sets, counts)), pa.array(counts)],
                     ["doc_id", "key", "sig", "n"],
                 )
+        release_memory()
 
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
     return durable_observed(keyed.mapInArrow(run, "doc_id bigint, key bigint, sig bigint, n bigint"), "classes", F.sum("n").alias("shingles"))
@@ -190,6 +191,9 @@ def _buckets(docs: DataFrame, shingle: int, bands: Bands, groups: int) -> DataFr
                     keys, sigs, held = [], [], 0
         if held:
             yield deal()
+        keys, sigs = [], []
+        seen.clear()
+        release_memory()
 
     def meet(table: pa.Table) -> pa.Table:
         k = np.frombuffer(b"".join(table["keys"].to_pylist()), np.uint64)
@@ -240,6 +244,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int, la
                         keep.append(row + i)
             take = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([a.take(take), b.take(take)], ["a", "b"])
+        release_memory()
 
     with_b = pairs.join(texts.select(F.col("sig").alias("b"), F.col("text").alias("text_b")), "b")
     both = with_b.join(texts.select(F.col("sig").alias("a"), F.col("text").alias("text_a")), "a")
@@ -267,6 +272,7 @@ def similar_classes(docs: DataFrame, shingle: int = 5, percent: int = 80) -> tup
                     [batch.column(0).slice(row, len(counts)), batch.column(1).slice(row, len(counts)), pa.array(counts), pa.array(bits, pa.binary())],
                     ["sig", "text", "n", "bits"],
                 )
+        release_memory()
 
     found = class_texts(docs, classes, involved)
     texts = durable(found.mapInArrow(sketch, "sig bigint, text string, n bigint, bits binary"), "class-texts")

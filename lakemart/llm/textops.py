@@ -5,6 +5,7 @@ A batch is handled in pieces of a few MB, so memory follows the piece and not th
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -87,6 +88,24 @@ def pieces(cuts: np.ndarray, size: int = PIECE) -> Iterator[tuple[int, int]]:
         at = to
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """``span_hashes`` of ascending spans, in pieces: tables are as long as a piece (or one span), not as the data."""
+    cuts, out = np.append(starts, len(data)), [np.empty(0, np.uint64)]
+    for a, b in pieces(cuts):
+        lo, hi = int(cuts[a]), int(ends[b - 1])
+        out.append(span_hashes(data[lo:hi], starts[a:b] - lo, ends[a:b] - lo))
+    return np.concatenate(out)
+
+
+def release_memory() -> None:
+    """Hand back to the machine what this worker has used and holds for later; called where a partition ends."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(starts, ends, first)``: the words (runs of bytes other than ASCII white space) and each text's first word."""
     solid = ~is_space(data)

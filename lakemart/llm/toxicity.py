@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.llm.textops import release_memory
+
 DECAY = 0.5
 REACH = 5
 SAMPLE = 1000
@@ -351,6 +353,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
         tops, hits = np.empty(len(texts)), np.empty(len(texts), np.int64)
         for i, text in enumerate(texts):
             tops[i], hits[i] = model.features(text)
+        release_memory()
         return pd.DataFrame({"score": model.probability(tops, hits), "top": tops, "hits": hits})
 
     answer = docs.withColumn("__judged", judged(F.col(text_col).cast("string")))
