@@ -21,16 +21,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.textops import Encoder, binary_column, is_space, pieces, text_bytes
+from lakemart.llm.textops import Encoder, binary_column, by_bytes, is_space, release_memory
 
 KNOWN_PAIRS = 1 << 18
 KNOWN_PIECES = 1 << 16
 LONG_PIECE = 64
-ROWS_BYTES = 1 << 22
 
 # A letter, a number, white space and something else, each beyond ASCII.
 STAND_INS = {r"\p{L}": "é", r"\p{N}": "²", r"\s": "\xa0", "": "§"}
@@ -286,16 +284,12 @@ def encode_texts(docs: DataFrame, ranks: str | None = None, id_col: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(path)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            _, offsets = text_bytes(batch.column(1))
-            for a, b in pieces(offsets, ROWS_BYTES):
-                ids, counts = own.encode(batch.column(1).slice(a, b - a))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(counts), binary_column(ids.astype("<u4"), counts).cast(pa.binary())],
-                    ["doc_id", "n_tokens", "ids"],
-                )
+        for batch in (small for batch in batches for small in by_bytes(batch, 1)):
+            ids, counts = own.encode(batch.column(1))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(counts), binary_column(ids.astype("<u4"), counts).cast(pa.binary())], ["doc_id", "n_tokens", "ids"]
+            )
+        release_memory()
 
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids binary")
@@ -308,16 +302,14 @@ def decode_ids(encoded: DataFrame, ranks: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = token_bytes(path)
-        for batch in batches:
-            raw = batch.column(at).fill_null(b"").cast(pa.large_binary())
-            offsets = np.concatenate([[0], np.cumsum(pc.binary_length(raw).to_numpy())])
-            for a, b in pieces(offsets, ROWS_BYTES) if batch.num_rows else ():
-                rows = [np.frombuffer(x.as_buffer(), "<u4") for x in raw.slice(a, b - a)]
-                flat = np.concatenate(rows)
-                upto = np.concatenate([[0], np.cumsum(own.sizes[flat])])
-                ends = upto[np.cumsum([len(r) for r in rows])]
-                decoded = binary_column(own.decode(flat), np.diff(ends, prepend=0)).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), decoded], [*names, "decoded"])
+        for batch in (small for batch in batches for small in by_bytes(batch, at)):
+            rows = [np.frombuffer(x.as_buffer(), "<u4") for x in batch.column(at).fill_null(b"")]
+            flat = np.concatenate(rows)
+            upto = np.concatenate([[0], np.cumsum(own.sizes[flat])])
+            ends = upto[np.cumsum([len(r) for r in rows])]
+            decoded = binary_column(own.decode(flat), np.diff(ends, prepend=0)).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, decoded], [*names, "decoded"])
+        release_memory()
 
     return encoded.mapInArrow(run, encoded.withColumn("decoded", F.lit(None).cast("binary")).schema)
 

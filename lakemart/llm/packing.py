@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemart.llm.textops import binary_column, encoder
+from lakemart.llm.textops import binary_column, by_bytes, encoder, release_memory
 from lakemart.workspace import durable
 
 
@@ -32,7 +32,7 @@ def tokenised(docs: DataFrame, vocabulary: str, kind: str, end_id: int, id_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part, before = encoder(vocabulary, kind), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in (small for batch in batches for small in by_bytes(batch, 1)):
             n = batch.num_rows
             ids, counts = coder.encode(batch.column(1))
             ends = np.cumsum(counts)
@@ -44,6 +44,7 @@ def tokenised(docs: DataFrame, vocabulary: str, kind: str, end_id: int, id_col:
                 [batch.column(0), pa.array(np.full(n, part, np.int32)), pa.array(starts), pa.array(counts), binary_column(ids, counts).cast(pa.binary())],
                 ["doc_id", "part", "before", "n_ids", "ids"],
             )
+        release_memory()
 
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return source.mapInArrow(run, "doc_id bigint, part int, before bigint, n_ids bigint, ids binary")
@@ -73,9 +74,7 @@ def pack(
     stored = durable(tokenised(docs, vocabulary or default_vocabulary(), kind, end_id, id_col, text_col), "token-ids")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (small for batch in batches for small in by_bytes(batch, 3)):
             at, n = batch.column(1).to_numpy(), batch.column(2).to_numpy()
             windows = (at + n - 1) // length - at // length + 1
             row = np.repeat(np.arange(len(at)), windows)

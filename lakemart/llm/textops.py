@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE = 1 << 20
+ROWS_BYTES = 1 << 22
 KNOWN_SEGMENTS = 1 << 21
 KNOWN_IDS = 1 << 23
 LONG_SEGMENT = 64
@@ -88,6 +89,17 @@ def pieces(cuts: np.ndarray, size: int = PIECE) -> Iterator[tuple[int, int]]:
         at = to
 
 
+def by_bytes(batch: pa.RecordBatch, column: int, size: int = ROWS_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows whose ``column`` (text or bytes) has about ``size`` bytes, or of one longer row; none if empty."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    cuts, at = np.concatenate([[0], np.cumsum(lengths)]), 0
+    while at < len(lengths):
+        to = int(np.searchsorted(cuts, cuts[at] + size, "right")) - 1
+        to = min(max(to, at + 1), len(lengths))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """``span_hashes`` of ascending spans, in pieces: tables are as long as a piece (or one span), not as the data."""
     cuts, out = np.append(starts, len(data)), [np.empty(0, np.uint64)]
