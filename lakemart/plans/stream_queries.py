@@ -9,6 +9,7 @@ from lakemart.plans import notice_queries, retail_queries
 from lakemart.plans import notices as N
 from lakemart.sources import tables as T
 from lakemart.streaming import index as I
+from lakemart.streaming import keyed as K
 from lakemart.streaming import lines as L
 from lakemart.workspace import new_path
 
@@ -59,6 +60,27 @@ def stream_revenue_by_month(spark: SparkSession, folder: str) -> DataFrame:
     return retail_queries.by_month(T.with_revenue(landed))
 
 
+@query(retail_queries.ORACLES["revenue_by_month"])
+def stream_revenue_by_closed_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines sent twice, held until the day of their bill closes, then summed by month; a notice of a later day closes all.
+
+    A bill's day is its order's, for the lines of one bill carry several; a bill without an order belongs to the first day.
+    """
+    path = new_path(spark, "stream-days")
+    lines = T.as_lines(_resent(spark, folder, "lineitem"))
+    orders = T.table(spark, folder, "orders")
+    bills = orders.groupBy(F.col("o_orderkey").alias("bill_no")).agg(F.min("o_orderdate").cast("date").alias("bill_day"))
+    first_day = F.lit("1992-01-01").cast("date")
+    dated = lines.join(bills, "bill_no", "left").select(*lines.columns, F.coalesce("bill_day", first_day).alias("bill_day"), F.lit(False).alias("closing"))
+    bills.agg(F.date_add(F.max("bill_day"), 60).alias("bill_day")).write.parquet(f"{path}/notices")
+    notices = L.file_stream(spark, f"{path}/notices", "bill_day date").select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in lines.schema], "bill_day", F.lit(True).alias("closing")
+    )
+    days = K.first_lines(dated.unionByName(notices), T.LINE_KEYS, T.LINE_ORDER, "bill_day", 30, lanes=1, closing="closing")
+    K.run(days, path, f"{path}/progress")
+    return retail_queries.by_month(T.with_revenue(K.read(spark, path, "lines", lines.schema)))
+
+
 def _nightly(spark: SparkSession, folder: str) -> tuple[I.DeltaStore, int]:
     """Three nights of notices taken into an index, as files that arrive."""
     path = new_path(spark, "stream-cards")

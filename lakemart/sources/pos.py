@@ -78,11 +78,11 @@ def _glob(dialect: Dialect, extension: str) -> str:
     return f"SALES_{stores}_*.{extension}"
 
 
-def _csv(spark: SparkSession, folder: str, dialect: Dialect) -> DataFrame:
-    """A till's files; a header that names other columns, or the same in another order, fails the read."""
+def _csv(spark: SparkSession, folder: str, dialect: Dialect, arriving: bool = False) -> DataFrame:
+    """A till's files, or those that arrive; a header that names other columns, or the same in another order, fails the read."""
     schema = ", ".join(f"{c} string" for c in dialect.columns)
     return (
-        spark.read.schema(schema).option("header", True).option("sep", dialect.separator).option("enforceSchema", False)
+        (spark.readStream if arriving else spark.read).schema(schema).option("header", True).option("sep", dialect.separator).option("enforceSchema", False)
         .option("pathGlobFilter", _glob(dialect, "csv")).option("recursiveFileLookup", True).csv(folder)
     )
 
@@ -99,6 +99,15 @@ def _parquet(spark: SparkSession, folder: str, dialect: Dialect) -> DataFrame |
         raise
 
 
+def _staged(scan: DataFrame, dialect: Dialect, listed: list[str]) -> DataFrame:
+    name = F.col("_metadata.file_name")
+    if not dialect.stores:  # files of listed stores are left out before any is opened
+        scan = scan.where(~name.rlike(f"^SALES_({'|'.join(listed) or '$.'})_"))
+    part = scan.select("*", name.alias("file_name"), *[c.alias(n) for n, c in file_contract(name).items()])
+    part = part.withColumnsRenamed(RENAMES)
+    return part.select(*[F.col(c).cast("string").alias(c) for c in STAGED], "file_name", "store_id", "business_date", "resend_no")
+
+
 def read_staging(
     spark: SparkSession, folder: str, dialects: tuple[Dialect, ...] = DIALECTS, default: Dialect = OTHER_STORES
 ) -> DataFrame:
@@ -112,26 +121,36 @@ def read_staging(
         for scan in (_csv(spark, folder, dialect), _parquet(spark, folder, dialect)):
             if scan is None:
                 continue
-            name = F.col("_metadata.file_name")
-            if not dialect.stores:  # files of listed stores are left out before any is opened
-                scan = scan.where(~name.rlike(f"^SALES_({'|'.join(listed) or '$.'})_"))
-            part = scan.select("*", name.alias("file_name"), *[c.alias(n) for n, c in file_contract(name).items()])
-            part = part.withColumnsRenamed(RENAMES)
-            part = part.select(*[F.col(c).cast("string").alias(c) for c in STAGED],
-                               "file_name", "store_id", "business_date", "resend_no")
+            part = _staged(scan, dialect, listed)
             staged = part if staged is None else staged.unionByName(part)
     return staged.where(F.col("business_date").isNotNull())
 
 
-def read_lines(spark: SparkSession, folder: str, dialects: tuple[Dialect, ...] = DIALECTS) -> DataFrame:
-    """Typed till lines; the business date is the file's, whatever the time stamp says."""
-    return read_staging(spark, folder, dialects).select(
+def _typed(staged: DataFrame) -> DataFrame:
+    return staged.select(
         "bill_no", F.col("line_no").cast("int").alias("line_no"), "store_id", "product_code",
         F.col("qty").cast("int").alias("qty"), F.col("unit_price").cast("decimal(12,2)").alias("unit_price"),
         "line_type", "business_date", local_timestamp(F.col("ts")).alias("ts"), "resend_no", "file_name",
     )
 
 
+def stream_lines(
+    spark: SparkSession, folder: str, dialects: tuple[Dialect, ...] = DIALECTS, default: Dialect = OTHER_STORES
+) -> DataFrame:
+    """Typed lines of the CSV till files that arrive in a folder, in all dialects."""
+    staged = None
+    listed = [store for dialect in dialects for store in dialect.stores]
+    for dialect in (*dialects, default):
+        part = _staged(_csv(spark, folder, dialect, arriving=True), dialect, listed)
+        staged = part if staged is None else staged.unionByName(part)
+    return _typed(staged.where(F.col("business_date").isNotNull()))
+
+
+def read_lines(spark: SparkSession, folder: str, dialects: tuple[Dialect, ...] = DIALECTS) -> DataFrame:
+    """Typed till lines; the business date is the file's, whatever the time stamp says."""
+    return _typed(read_staging(spark, folder, dialects))
+
+
 LINE_KEYS = ("bill_no", "line_no")
 # A total order: the original file before its re-sends, then the row's own content.
 LINE_ORDER = ("resend_no", "file_name", "product_code", "qty", "unit_price", "line_type", "ts")
