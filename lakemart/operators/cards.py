@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lakemart.operators.clusters import follow
 from lakemart.workspace import durable
 
 # The columns of the three card tables.
@@ -120,9 +121,11 @@ def update_cards(state: CardState, clusters: DataFrame, as_of: str) -> CardState
 
 
 def resolve(state: CardState, bookmarks: DataFrame) -> DataFrame:
-    """Where bookmarked ``card_id``s lead today: active card, canonical notice and members."""
+    """Where bookmarked ``card_id``s lead today: active card, canonical notice and members. Chains of redirects, as several runs
+    leave them, are followed to their end."""
+    ends = follow(state.redirects, "deprecated_card_id", "active_card_id")
     followed = bookmarks.join(
-        state.redirects.select(F.col("deprecated_card_id").alias("card_id"), "active_card_id"), "card_id", "left"
+        ends.select(F.col("node").alias("card_id"), F.col("cluster").alias("active_card_id")), "card_id", "left"
     ).select("card_id", F.coalesce("active_card_id", "card_id").alias("active_card_id"))
     sizes = state.mapping.groupBy(F.col("card_id").alias("active_card_id")).agg(F.count("*").alias("members"))
     active = state.cards.select(F.col("card_id").alias("active_card_id"), "canonical_notice_id")

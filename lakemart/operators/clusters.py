@@ -57,6 +57,31 @@ def components(edges: DataFrame, a: str = "group_a", b: str = "group_b") -> Data
     )
 
 
+LONGEST_CHAIN_BITS = 40
+
+
+def follow(links: DataFrame, node: str, parent: str) -> DataFrame:
+    """``(node, cluster)``: where each node's chain of links ends, by pointer jumping: what is left of a chain halves in each round.
+
+    A node has at most one link; ends have none and get no row. Links that run in a circle raise an error, found by still
+    moving after more rounds than any chain of 2^40 links takes.
+    """
+    at = links.select(F.col(node).alias("node"), F.col(parent).alias("cluster"))
+    for _ in range(LONGEST_CHAIN_BITS):
+        further = at.select(F.col("node").alias("cluster"), F.col("cluster").alias("_further"))
+        moved = at.join(further, "cluster", "left").select(
+            "node", F.coalesce("_further", "cluster").alias("cluster"), F.col("_further").isNotNull().alias("_moved"),
+            (F.coalesce("_further", "cluster") == F.col("node")).alias("_back"),
+        )
+        at, seen = durable_observed(moved, "chains", F.count_if("_moved").alias("moved"), F.count_if("_back").alias("back"))
+        at = at.drop("_moved", "_back")
+        if seen["back"]:
+            break
+        if not seen["moved"]:
+            return at
+    raise ValueError("links run in a circle")
+
+
 def cluster_notices(members: DataFrame, labels: DataFrame) -> DataFrame:
     """``(doc_id, cluster_id)`` for every notice; one without duplicates is a cluster of its own."""
     return members.join(labels, F.col("group_id") == F.col("node"), "left").select(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakemart.functions import minhash as M
 from lakemart.functions import text as X
-from lakemart.operators import clusters, lsh, similarity
+from lakemart.operators import cards, clusters, lsh, similarity
 from lakemart.operators.corpus import build_corpus
 from lakemart.operators.quantiles import exact_percentiles
 from lakemart.plans import notices as N
@@ -578,3 +578,38 @@ def notice_clusters(spark: SparkSession, folder: str) -> DataFrame:
 def cards_after_rerun(spark: SparkSession, folder: str) -> DataFrame:
     """Which card each notice is on after three nights of a growing corpus."""
     return _history(spark, folder).state.mapping.select(F.col("notice_id").alias("doc_id"), "card_id")
+
+
+# A card was issued on the night on which a cluster of what had arrived by then was all new; it is named after the cluster's
+# smallest notice and leads to the card of the cluster it is in at the end.
+def _issued_sql() -> str:
+    nights = ""
+    for k in range(1, N_NIGHTS + 1):
+        nights += f""",
+here{k} AS MATERIALIZED (SELECT group_id FROM since WHERE night <= {k}),
+edge{k} AS MATERIALIZED (SELECT u, v FROM edge WHERE u IN (SELECT group_id FROM here{k}) AND v IN (SELECT group_id FROM here{k})),
+walk{k}(node, seen) AS (SELECT group_id, group_id FROM here{k} UNION SELECT node, v FROM walk{k} JOIN edge{k} ON seen = u),
+comp{k} AS (SELECT node AS group_id, min(seen) AS c FROM walk{k} GROUP BY node),
+card{k} AS (SELECT min(doc_id) AS canonical FROM comp{k} JOIN docs USING (group_id) WHERE night <= {k} GROUP BY c HAVING min(night) = {k})"""
+    return f"""{_CARDS_SQL},
+docs AS MATERIALIZED (SELECT member.doc_id, group_id, night FROM member JOIN arrived USING (doc_id)),
+since AS MATERIALIZED (SELECT group_id, min(night) AS night FROM docs GROUP BY 1){nights},
+issued AS ({" UNION ALL ".join(f"SELECT canonical FROM card{k}" for k in range(1, N_NIGHTS + 1))}),
+led AS MATERIALIZED (
+  SELECT i.canonical AS old, n.canonical AS active, m.members FROM issued i JOIN arrived a ON a.doc_id = i.canonical
+  JOIN named n USING (cluster_id) JOIN (SELECT cluster_id, count(*) AS members FROM arrived GROUP BY 1) m USING (cluster_id))"""
+
+
+@query(f"{_issued_sql()} SELECT 'CARD-' || old AS deprecated_card_id, 'CARD-' || active AS active_card_id FROM led WHERE old != active")
+def card_redirects(spark: SparkSession, folder: str) -> DataFrame:
+    """Cards that merged into older ones over three nights, and where they lead."""
+    ends = clusters.follow(_history(spark, folder).state.redirects, "deprecated_card_id", "active_card_id")
+    return ends.select(F.col("node").alias("deprecated_card_id"), F.col("cluster").alias("active_card_id"))
+
+
+@query(f"""{_issued_sql()}
+SELECT 'CARD-' || old AS card_id, 'CARD-' || active AS active_card_id, active AS canonical_notice_id, members FROM led""")
+def card_resolution(spark: SparkSession, folder: str) -> DataFrame:
+    """Every card ever handed out, as bookmarks: the card it leads to today, its canonical notice and its size."""
+    history = _history(spark, folder)
+    return cards.resolve(history.state, history.issued.select("card_id").distinct())

@@ -91,20 +91,6 @@ def roots_of(store: DeltaStore, before: int, nodes: DataFrame) -> DataFrame:
             return at
 
 
-def all_roots(parents: DataFrame) -> DataFrame:
-    """``(node, cluster)`` of every node with a parent, by pointer jumping: the steps left halve in each round."""
-    at = parents.select("node", F.col("parent").alias("cluster"))
-    while True:
-        further = at.select(F.col("node").alias("cluster"), F.col("cluster").alias("_further"))
-        at, seen = durable_observed(
-            at.join(further, "cluster", "left").select("node", F.coalesce("_further", "cluster").alias("cluster"), F.col("_further").isNotNull().alias("_moved")),
-            "roots", F.count_if("_moved").alias("moved"),
-        )
-        at = at.drop("_moved")
-        if not seen["moved"]:
-            return at
-
-
 def process_delta(store: DeltaStore, notices: DataFrame, batch: int, percent: int, as_of: str, **options) -> None:
     """Take one delta of ``notices(doc_id, text)`` into the store. Notices already known are skipped."""
     ids = notices.select(F.col("doc_id").alias("notice_id"))
@@ -183,7 +169,7 @@ def run(stream: DataFrame, store: DeltaStore, checkpoint: str, percent: int, as_
 
 def cards_now(store: DeltaStore, batches: int) -> DataFrame:
     """``(notice_id, card_id)`` after so many batches: each notice over its group and the root of that."""
-    roots = all_roots(store.read("parents", batches))
+    roots = clusters.follow(store.read("parents", batches), "node", "parent")
     notices = store.read("notices", batches).join(roots.select(F.col("node").alias("group_id"), "cluster"), "group_id", "left")
     newest = store.read("cards", batches).groupBy("cluster_id").agg(F.max_by("card_id", "updated_at").alias("card_id"))
     return notices.select("notice_id", F.coalesce("cluster", "group_id").alias("cluster_id")).join(newest, "cluster_id").select("notice_id", "card_id")
@@ -192,6 +178,6 @@ def cards_now(store: DeltaStore, batches: int) -> DataFrame:
 def redirects_now(store: DeltaStore, batches: int) -> DataFrame:
     """``(deprecated_card_id, active_card_id)`` with chains of redirects followed to their end."""
     steps = store.read("redirects", batches)
-    return all_roots(steps.select(F.col("deprecated_card_id").alias("node"), F.col("active_card_id").alias("parent"))).select(
+    return clusters.follow(steps, "deprecated_card_id", "active_card_id").select(
         F.col("node").alias("deprecated_card_id"), F.col("cluster").alias("active_card_id")
     )

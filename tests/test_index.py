@@ -2,8 +2,10 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from lakemart.operators import clusters
 from lakemart.operators.corpus import sketch
 from lakemart.streaming import index as I
 from lakemart.streaming import lines as L
@@ -59,8 +61,12 @@ def test_a_bridge_merges_cards_and_chains_are_followed(spark, tmp_path):
 
 def test_chains_of_parents_and_redirects(spark):
     pairs = [(i, i - 1) for i in range(1, 60)] + [(100, 7)]
-    got = {r.node: r.cluster for r in I.all_roots(spark.createDataFrame(pairs, "node bigint, parent bigint")).collect()}
+    schema = "node bigint, parent bigint"
+    got = {r.node: r.cluster for r in clusters.follow(spark.createDataFrame(pairs, schema), "node", "parent").collect()}
     assert got == {**{i: 0 for i in range(1, 60)}, 100: 0}
+    assert clusters.follow(spark.createDataFrame([], schema), "node", "parent").collect() == []
+    with pytest.raises(ValueError):
+        clusters.follow(spark.createDataFrame([(1, 2), (2, 1), (5, 6)], schema), "node", "parent")
 
 
 def test_the_third_night_reads_no_untouched_range(spark, tmp_path):
