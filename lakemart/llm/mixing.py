@@ -95,9 +95,14 @@ def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return left.join(renamed, condition).drop(*(f"{k}_r" for k in keys))
 
 
-def place_in_epoch(doc_id: Column, epoch: Column, seed: int) -> Column:
+def name_of(doc_id: Column, text: Column) -> Column:
+    """What a row's places hang on: its id, or its text where it has none."""
+    return F.coalesce(doc_id.cast("string"), F.concat(F.lit("null:"), F.md5(text.cast("string"))))
+
+
+def place_in_epoch(name: Column, epoch: Column, seed: int) -> Column:
     """A row's place in the order of an epoch, as text."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), name))
 
 
 def mix_sources(
@@ -107,13 +112,15 @@ def mix_sources(
     """The chosen rows of ``docs``, one for each epoch that reads them, with ``epoch``, ``n_tokens``, ``take_tokens`` and
     ``domain`` added or replaced.
 
-    The budget is ``share_percent`` of all tokens, which are words. ``take_tokens`` is less than ``n_tokens`` only for the row at
-    the end of a leaf's prefix. Null languages and sources are values of their own; texts without words (null ones too)
-    are never chosen. Rows of one id in one leaf are chosen together. An empty table gives no row.
+    The budget is ``share_percent`` of all tokens, which are words. ``take_tokens`` is less than ``n_tokens`` only at the end of
+    a leaf's prefix. Null languages and sources are values of their own; texts without words (null ones too) are never chosen.
+    Rows of one id in one leaf, or without id and of one text, share a place. Where a prefix ends in such a place, its rows
+    divide what is left in proportion to their tokens, rounded down, so no budget is exceeded. An empty table gives no row.
+    Columns of ``docs`` may have any name that does not begin with two underscores.
     """
     source = docs.withColumns({
         LEVELS[0]: F.coalesce(domain_of(F.col(source_col)), F.lit(OTHER_DOMAIN)), LEVELS[1]: F.col(lang_col).cast("string"), LEVELS[2]: F.col(source_col).cast("string"),
-        "__n": word_count(F.col(text_col).cast("string")), "__id": F.col(id_col),
+        "__n": word_count(F.col(text_col).cast("string")), "__id": name_of(F.col(id_col), F.col(text_col)),
     })
     narrow = durable(source.where("__n > 0").select("__id", "__n", *LEVELS), "tokens")
     leaves = narrow.groupBy(*LEVELS).agg(F.sum("__n").alias("tokens"), F.count("*").alias("texts"))
@@ -137,23 +144,29 @@ def mix_sources(
     closing = closing.groupBy(*LEVELS, "rest", "before", "key").agg(F.sum("__n").alias("n"))
     within = Window.partitionBy(*LEVELS).orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
     closing = closing.withColumn("at", F.col("before") + F.coalesce(F.sum("n").over(within), F.lit(0))).where("at < rest and at + n >= rest")
-    ends = closing.select(*LEVELS, F.col("key").alias("last_key"), (F.col("rest") - F.col("at")).alias("last_take"))
-    renamed = ends.select(*(F.col(k).alias(f"{k}_e") for k in LEVELS), "last_key", "last_take")
+    ends = closing.select(
+        *LEVELS, F.col("key").alias("__last_key"), (F.col("rest") - F.col("at")).alias("__last_take"), F.col("n").alias("__last_n")
+    )
+    renamed = ends.select(*(F.col(k).alias(f"{k}_e") for k in LEVELS), "__last_key", "__last_take", "__last_n")
     condition = F.lit(True)
     for k in LEVELS:
         condition = condition & F.col(k).eqNullSafe(F.col(f"{k}_e"))
-    plan = durable(plan.join(renamed, condition, "left").select(*LEVELS, "whole", "last_key", "last_take"), "leaf-ends")
+    plan = plan.join(renamed, condition, "left").select(
+        *LEVELS, F.col("whole").alias("__whole"), "__last_key", "__last_take", "__last_n"
+    )
+    plan = durable(plan, "leaf-ends")
 
     chosen = _same(source.where("__n > 0"), plan, list(LEVELS))
-    key = place_in_epoch(F.col("__id"), F.col("whole"), seed)
-    readings = F.col("whole") + F.when(key <= F.col("last_key"), 1).otherwise(0)
-    chosen = chosen.withColumn("__ends", F.coalesce(key == F.col("last_key"), F.lit(False))).withColumn("__readings", readings)
+    key = place_in_epoch(F.col("__id"), F.col("__whole"), seed)
+    readings = F.col("__whole") + F.when(key <= F.col("__last_key"), 1).otherwise(0)
+    chosen = chosen.withColumn("__ends", F.coalesce(key == F.col("__last_key"), F.lit(False))).withColumn("__readings", readings)
     chosen = chosen.where("__readings > 0").withColumn("__epoch", F.explode(F.sequence(F.lit(0), F.col("__readings") - 1)))
-    cut = F.col("__ends") & (F.col("__epoch") == F.col("whole"))
-    chosen = chosen.withColumn("__take", F.when(cut, F.least("__n", "last_take")).otherwise(F.col("__n")))
+    cut = F.col("__ends") & (F.col("__epoch") == F.col("__whole"))
+    part_taken = F.expr("cast(cast(__n as decimal(19,0)) * cast(__last_take as decimal(19,0)) div __last_n as bigint)")
+    chosen = chosen.withColumn("__take", F.when(cut, part_taken).otherwise(F.col("__n"))).where("__take > 0")
     return chosen.withColumns({
         "epoch": F.col("__epoch"), "n_tokens": F.col("__n"), "take_tokens": F.col("__take"), "domain": F.col("__domain")
-    }).drop(*LEVELS, "__n", "__id", "whole", "last_key", "last_take", "__ends", "__readings", "__epoch", "__take")
+    }).drop(*LEVELS, "__n", "__id", "__whole", "__last_key", "__last_take", "__last_n", "__ends", "__readings", "__epoch", "__take")
 
 
 def _ansi() -> str:

@@ -6,6 +6,7 @@ A batch is handled in pieces of a few MB, so memory follows the piece and not th
 from __future__ import annotations
 
 import ctypes
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -155,7 +156,8 @@ class Encoder:
     A segment begins at ASCII white space after something else, or at ASCII punctuation after an ASCII letter or digit.
     The pre-tokenizers of both kinds (``byte``: white space kept; ``word``: lower case, white space dropped) always
     split there, so the ids of the segments, one after the other, are those of the text. White space beyond ASCII
-    could join a run of spaces that a segment would cut; for ``byte`` such texts are encoded whole.
+    could join a run of spaces that a segment would cut; for ``byte`` such texts are encoded whole. An added token of the
+    file (``<|endoftext|>``) is found in the text as it stands, as the tokenizer does, and is a segment of its own.
     Known segments of up to 64 bytes live in sorted arrays of bounded length, with their ids; a hash of 64 bits stands for one.
     """
 
@@ -163,7 +165,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added):
+            raise ValueError("added tokens that take in their surroundings are not supported")
+        names = sorted((t.content.encode() for t in added), key=len, reverse=True)
+        self.added = re.compile(b"|".join(map(re.escape, names))) if names else None
         self.keep_space, self.fold = kind == "byte", kind == "word"
         self.width = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self._forget()
@@ -209,6 +215,17 @@ class Encoder:
             self.flat = np.concatenate([self.flat, fresh[np.repeat(short, counts)]])
         return out, per
 
+    def _added_tokens(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
+        """Where added tokens stand, the leftmost first and none across two texts."""
+        spans, at, view = [], 0, memoryview(data)
+        while self.added and (found := self.added.search(view, at)):
+            start, end = found.span()
+            inside = end <= offsets[np.searchsorted(offsets, start, "right")]
+            if inside:
+                spans.append((start, end))
+            at = end if inside else start + 1
+        return spans
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, counts)``: the ids of all texts one after the other and how many each text has."""
         data, offsets = text_bytes(column)
@@ -220,6 +237,7 @@ class Encoder:
             for i in np.unique(np.searchsorted(offsets, rare, "right") - 1).tolist():
                 ids = self._encode([column[i].as_py()])[0]
                 whole[i] = np.array(ids, self.width)
+        added = self._added_tokens(data, offsets)
         if self.fold:
             data = lower_ascii(data)
         space = is_space(data)
@@ -229,6 +247,10 @@ class Encoder:
         begin[:1] = True
         begin[1:] = (space[1:] & ~space[:-1]) | (mark[1:] & alnum[:-1])
         begin[offsets[:-1][offsets[:-1] < len(data)]] = True
+        for start, end in added:
+            begin[start + 1 : end] = False
+            begin[start] = True
+            begin[end : end + 1] = True
         del space, alnum, mark
         cuts = np.append(np.flatnonzero(begin), len(data))
         ids, per = [], []

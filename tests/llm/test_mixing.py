@@ -3,6 +3,7 @@ from fractions import Fraction
 from hashlib import md5
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakemart.llm import mixing
 from lakemart.llm.mixing import mix_sources
@@ -27,9 +28,9 @@ def brute(rows, share, epochs, seed, weights):
         n = len([w for w in "".join(" " if c in "\t\n\x0b\x0c\r" else c for c in text or "").split(" ") if w])
         domain = next((d for d, s in mixing.DOMAINS.items() if source in s), mixing.OTHER_DOMAIN)
         if n:
-            docs.append((doc_id, n, (domain, lang, source)))
+            docs.append((doc_id, n, (domain, lang, source), text))
     tokens = defaultdict(int)
-    for _, n, leaf in docs:
+    for _, n, leaf, _ in docs:
         tokens[leaf] += n
 
     def cap(prefix):
@@ -46,17 +47,20 @@ def brute(rows, share, epochs, seed, weights):
     out = []
     for leaf, budget in budgets.items():
         whole, rest = divmod(budget, tokens[leaf])
-        own = [(i, n) for i, n, x in docs if x == leaf]
-        out += [(i, *leaf, e, n, n) for e in range(whole) for i, n in own]
+        own = [(i, n, t) for i, n, x, t in docs if x == leaf]
+        out += [(i, *leaf, e, n, n) for e in range(whole) for i, n, _ in own]
         groups = defaultdict(list)
-        for i, n in own:
-            groups[md5(f"{seed}:{whole}:{'null' if i is None else i}".encode()).hexdigest()].append((i, n))
+        for i, n, t in own:
+            name = i if i is not None else "null:" + md5(t.encode()).hexdigest()
+            groups[md5(f"{seed}:{whole}:{name}".encode()).hexdigest()].append((i, n))
         at = 0
         for key in sorted(groups):
             if at >= rest:
                 break
-            out += [(i, *leaf, whole, n, min(n, rest - at)) for i, n in groups[key]]
-            at += sum(n for _, n in groups[key])
+            held = sum(n for _, n in groups[key])
+            parts = [(i, n, min(n, n * (rest - at) // held)) for i, n in groups[key]]
+            out += [(i, *leaf, whole, n, take) for i, n, take in parts if take]
+            at += held
     return sorted(out, key=str)
 
 
@@ -77,6 +81,26 @@ def test_equal_to_brute_force(spark, rows, monkeypatch, share, epochs, ranges):
     assert set(got.columns) >= {"key", "n", "text"}
 
 
+def test_rows_without_id_keep_the_budget(spark):
+    made = [(i if i % 2 else None, f"{i} b c d e f g h i j", "en", "src0") for i in range(1000)]
+    made += [(None, "one text for many", "en", "src77")] * 400
+    got = mix_sources(table(spark, made), 50, max_epochs=1).groupBy("source").sum("take_tokens")
+    # 5,800 tokens by 3 to 1; 400 copies share one place, so each of them takes 1,450 * 4 // 1,600 tokens
+    assert dict(got.collect()) == {"src0": 4350, "src77": 1200}
+
+
+def test_clashing_columns(spark, rows):
+    made = [(i, "w " * (1 + i % 7), "en", f"src{i % 3}") for i in range(60)]
+    plain = table(spark, made)
+    named = plain
+    for name in ("whole", "last_key", "last_take", "rest", "part", "at", "n", "budget", "tokens", "weight", "held", "before"):
+        named = named.withColumn(name, F.lit(name))
+    picked = ("doc_id", "domain", "lang", "source", "epoch", "n_tokens", "take_tokens")
+    got = mix_sources(named)
+    assert rows(got, *picked) == rows(mix_sources(plain), *picked)
+    assert got.select("whole", "last_key", "held").distinct().collect() == [("whole", "last_key", "held")]
+
+
 def test_empty_tables(spark):
     assert mix_sources(table(spark, [(1, "x", "en", "a")]).limit(0)).count() == 0
     assert mix_sources(table(spark, [(1, None, "en", "a"), (2, "", None, None)])).count() == 0

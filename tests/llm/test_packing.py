@@ -14,11 +14,9 @@ from lakemart.llm.textops import Encoder
 FILES = {"byte": "byte_bpe_50k.json", "word": "word_bpe_49k.json"}
 ENCODERS = {k: Encoder(public_tokenizers.path(v), k) for k, v in FILES.items()}
 PLAIN = {k: Tokenizer.from_file(public_tokenizers.path(v)) for k, v in FILES.items()}
-for plain in PLAIN.values():
-    plain.encode_special_tokens = True
 PARTS = st.sampled_from([
     "the", " The", "don't", "'s", "\n", "\n\n", "  ", "\t", "\r\n", " ", ".", ",", "é", "é", "1", "23", "x9,", " ", "　 ", " ",
-    "\x1c", "—,", "¿", "日本", "<|endoftext|>", "_", "😀", "ß", "ſ", "Å", "\x85 ", "q" * 70, "\0",
+    "\x1c", "—,", "¿", "日本", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "_", "😀", "ß", "ſ", "Å", "\x85 ", "q" * 70, "\0",
 ])
 
 

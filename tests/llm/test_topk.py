@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lakemart.llm.topk import nearest_codes, segment_count, sign_code
+from lakemart.llm.topk import nearest_codes, probing_order, segment_widths, sign_code
 
 
 def signed(x):
@@ -48,5 +48,21 @@ def test_empty_table(spark):
     assert nearest_codes(none, none).count() == 0
 
 
-def test_segments():
-    assert [segment_count(n) for n in (1, 500, 51_282, 10**9, 10**11)] == [8, 8, 4, 4, 2]
+def test_least_code_of_repeated_ids(spark, rows):
+    made = [(i % 40, signed(random.Random(i).getrandbits(64))) for i in range(120)] + [(7, 5), (7, -5)]
+    least = {}
+    for i, c in made:
+        least[i] = min(c, least.get(i, c))
+    for parts in (1, 5):
+        table = spark.createDataFrame(made, "id long, code long").repartition(parts, "code")
+        assert rows(nearest_codes(table, table.where("id % 4 = 3"), 3)) == sorted(brute(list(least.items()), [i for i in least if i % 4 == 3], 3), key=str)
+
+
+def test_segments_grow_one_at_a_time():
+    assert [segment_widths(n) for n in (1, 10_256, 51_282)] == [[8] * 8, [13, 13, 13, 13, 12], [13, 13, 13, 13, 12]]
+    assert [len(segment_widths(n)) for n in (500, 10**9, 10**11)] == [8, 3, 2]
+    for n in (1, 51_282, 10**9):
+        widths = segment_widths(n)
+        steps = [(a, j) for a, picked in probing_order(widths) for j in picked]
+        assert steps == sorted((a, j) for j, w in enumerate(widths) for a in range(w + 1))
+    assert [p for a, p in probing_order([13] * 4 + [12]) if a == 3] == [[0], [1], [2], [3], [4]]
