@@ -610,38 +610,91 @@ def missing_store_days(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.store_day_gaps(dedup.missing_store_days(days))
 
 
+def _bill_differences(spark: SparkSession, folder: str) -> DataFrame:
+    """Till bills (``lineitem``) against what was booked (``orders``)."""
+    revenue = S.line_revenue(F.col("qty"), F.col("unit_price"))
+    raw, kept = (lines(spark, folder).withColumn("revenue", revenue) for lines in (T.raw_lines, T.kept_lines))
+    booked = T.table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("bill_no"), S.month_key(F.col("o_orderdate")).alias("month"), F.col("o_totalprice").cast(S.MONEY).alias("amount")
+    )
+    return reconcile.bill_differences(raw, kept, booked)
+
+
+_BILL_DIFF_SQL = """
+counted AS (
+  SELECT bill_no, strftime(business_date, '%Y-%m') AS month, line_type <> 'TENDER' AS is_counted,
+         CAST(CASE WHEN line_type <> 'TENDER' THEN CAST(qty AS DECIMAL(10,0)) * unit_price ELSE 0 END AS DECIMAL(28,2)) AS revenue,
+         CAST(CASE WHEN line_type = 'SALE' THEN CAST(qty AS DECIMAL(10,0)) * unit_price ELSE 0 END AS DECIMAL(28,2)) AS sale FROM kept),
+sent AS (SELECT bill_no, sum(CASE WHEN line_type <> 'TENDER' THEN CAST(qty AS DECIMAL(10,0)) * unit_price ELSE 0 END) AS sent_total FROM raw GROUP BY 1),
+till AS (SELECT bill_no, count(*) FILTER (is_counted) AS n_counted, sum(revenue) AS till_total, sum(sale) AS sales_total,
+                min(month) FILTER (is_counted) AS first_month, max(month) FILTER (is_counted) AS last_month FROM counted GROUP BY 1),
+booked AS (SELECT o_orderkey AS bill_no, min(strftime(o_orderdate, '%Y-%m')) AS booked_month, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS booked_total FROM orders GROUP BY 1),
+diff AS (
+  SELECT coalesce(till.bill_no, booked.bill_no) AS bill_no, booked_month, booked_total, till_total, till.n_counted IS NOT NULL AS in_till,
+    CASE WHEN booked_total IS NULL THEN 'not booked' WHEN till.n_counted IS NULL THEN 'no till record' WHEN n_counted = 0 THEN 'no counted line'
+         WHEN till_total = booked_total AND first_month = booked_month AND last_month = booked_month THEN 'none' WHEN till_total = booked_total THEN 'period'
+         WHEN booked_total = round(till_total, 0) THEN 'rounding' WHEN booked_total = sent_total THEN 'counted twice'
+         WHEN booked_total = sales_total THEN 'definition' ELSE 'value' END AS cause
+  FROM till LEFT JOIN sent ON till.bill_no = sent.bill_no FULL JOIN booked ON till.bill_no = booked.bill_no)"""
+
+
 @query(f"""
-WITH {NET_SQL}, {_ROUNDED_SQL}, {_CALENDAR_SQL},
-finance AS (
-  SELECT month, CASE substr(month, 6, 2) WHEN '03' THEN exact_revenue + 486250.00 WHEN '12' THEN rounded_revenue
-    WHEN '07' THEN exact_revenue + 232131.70 ELSE exact_revenue END AS finance_revenue
-  FROM totals WHERE month <> '1999-09'),
-lost AS (SELECT strftime(day, '%Y-%m') AS month, count(*) AS n_missing FROM gone GROUP BY 1)
-SELECT totals.month, CAST(finance_revenue - exact_revenue AS DOUBLE) AS variance,
-  CASE WHEN finance_revenue IS NULL THEN 'missing side' WHEN abs(finance_revenue - exact_revenue) < 0.01 THEN 'none'
-       WHEN substr(totals.month, 6, 2) = '03' THEN 'scope' WHEN finance_revenue = rounded_revenue THEN 'rounding'
-       WHEN n_missing > 0 THEN 'source' ELSE 'pipeline' END AS cause,
-  coalesce(n_missing, 0) AS n_missing
-FROM totals LEFT JOIN finance ON totals.month = finance.month LEFT JOIN lost ON totals.month = lost.month""")
+WITH {KEPT_SQL}, {_BILL_DIFF_SQL},
+entries AS (
+  SELECT month, cause, sum(revenue) AS till, NULL AS booked FROM counted JOIN diff USING (bill_no) WHERE is_counted GROUP BY bill_no, month, cause
+  UNION ALL SELECT booked_month, cause, NULL, booked_total FROM diff WHERE booked_total IS NOT NULL)
+SELECT month, cause, count(till) AS till_bills, count(booked) AS booked_bills, CAST(coalesce(sum(till), 0) AS DOUBLE) AS pipeline_revenue,
+       CAST(coalesce(sum(booked), 0) AS DOUBLE) AS finance_revenue, CAST(coalesce(sum(booked), 0) - coalesce(sum(till), 0) AS DOUBLE) AS variance
+FROM entries GROUP BY month, cause""")
 def variance_cause(spark: SparkSession, folder: str) -> DataFrame:
-    """Finance differs by an outside order (March), lost days (July), bill rounding (December), one month open."""
-    kept = durable(T.kept_lines(spark, folder), "kept-lines")
-    totals = durable(reconcile.bill_rounded_revenue(T.with_revenue(kept)), "month-totals")
-    number = F.substring("month", 6, 2)
-    finance = totals.where(F.col("month") != "1999-09").select(
-        "month",
-        F.when(number == "03", F.col("exact_revenue") + F.lit("486250.00").cast(S.MONEY))
-        .when(number == "12", F.col("rounded_revenue"))
-        .when(number == "07", F.col("exact_revenue") + F.lit("232131.70").cast(S.MONEY))
-        .otherwise(F.col("exact_revenue")).alias("finance_revenue"),
+    """What each cause, found bill by bill, adds to the variance of each month."""
+    parts = reconcile.variance_by_cause(_bill_differences(spark, folder))
+    amounts = ("pipeline_revenue", "finance_revenue", "variance")
+    return parts.withColumns({c: S.as_double(F.col(c)) for c in amounts})
+
+
+@query(f"""
+WITH {KEPT_SQL}, {_BILL_DIFF_SQL},
+accounts AS (
+  SELECT o_custkey AS account, booked_month AS month, bill_no, booked_total, coalesce(till_total, 0) AS till_total, cause
+  FROM diff JOIN (SELECT DISTINCT o_orderkey, o_custkey FROM orders) o ON o_orderkey = bill_no),
+variances AS (SELECT account, month, sum(booked_total - till_total) AS variance FROM accounts GROUP BY ALL HAVING sum(booked_total - till_total) <> 0),
+listed AS (SELECT account, month, bill_no AS item, booked_total AS amount FROM accounts WHERE cause IN ('no till record', 'no counted line')),
+one AS (SELECT DISTINCT account, month FROM variances JOIN listed USING (account, month) WHERE amount = variance),
+two AS (SELECT DISTINCT v.account, v.month FROM variances v JOIN listed a ON a.account = v.account AND a.month = v.month
+        JOIN listed b ON b.account = v.account AND b.month = v.month AND b.item > a.item WHERE a.amount + b.amount = variance)
+SELECT v.account, v.month, CAST(variance AS DOUBLE) AS variance,
+       CASE WHEN one.account IS NOT NULL THEN 1 WHEN two.account IS NOT NULL THEN 2 ELSE 0 END AS n_listed
+FROM variances v LEFT JOIN one ON one.account = v.account AND one.month = v.month LEFT JOIN two ON two.account = v.account AND two.month = v.month""")
+def variance_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """Each account's variance of a month, and whether one or two orders that no till recorded explain it to the cent."""
+    orders = T.table(spark, folder, "orders").select(F.col("o_orderkey").alias("bill_no"), F.col("o_custkey").alias("account")).distinct()
+    bills = _bill_differences(spark, folder).join(orders, "bill_no").select(
+        "account", F.col("booked_month").alias("month"), F.col("bill_no").alias("item"), F.col("booked_total").alias("amount"),
+        F.coalesce("till_total", F.lit(0)).cast(S.TOTAL).alias("till_total"), "cause",
+    )
+    bills = durable(bills, "account-bills")
+    variances = bills.groupBy("account", "month").agg(F.sum(F.col("amount") - F.col("till_total")).cast(S.TOTAL).alias("variance")).where("variance <> 0")
+    listed = bills.where(F.col("cause").isin("no till record", "no counted line")).select("account", "month", "item", "amount")
+    matched = reconcile.match_listed(variances, listed, ["account", "month"])
+    return matched.select("account", "month", S.as_double(F.col("variance")).alias("variance"), "n_listed")
+
+
+@query(f"""
+WITH {NET_SQL}, {PRODUCTS_SQL}, {PRICES_SQL}
+SELECT month, store_id, count(*) AS lines, count(list_price) AS priced_lines,
+       CAST(sum(CAST(qty AS DECIMAL(10,0)) * list_price) AS DOUBLE) AS revenue_at_list_price
+FROM net LEFT JOIN starts ON net.product_code = starts.product_code AND business_date >= effective_from AND business_date < valid_until
+GROUP BY month, store_id""")
+def price_carry_forward(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line at the last list price known on its day, by merging lines and price changes instead of a range join."""
+    priced = scd.carry_forward(
+        T.revenue_lines(spark, folder), T.price_starts(spark, folder), on="product_code", date_col="business_date", start="effective_from"
     )
-    adjustments = totals.where(number == "03").select("month", F.lit("486250.00").cast(S.MONEY).alias("amount"))
-    gaps = dedup.missing_store_days(kept)
-    lost = (
-        gaps.select(F.explode(F.sequence("first_missing", "last_missing")).alias("day"))
-        .groupBy(S.month_key(F.col("day")).alias("month")).agg(F.count("*").alias("n_missing"))
+    return priced.groupBy(S.month_key(F.col("business_date")).alias("month"), "store_id").agg(
+        F.count("*").alias("lines"), F.count("list_price").alias("priced_lines"),
+        S.as_double(F.sum(F.col("qty") * F.col("list_price"))).alias("revenue_at_list_price"),
     )
-    return reconcile.variance_causes(totals, finance, lost, adjustments)
 
 
 @query(f"""{_PRICED_SQL},

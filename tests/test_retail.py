@@ -236,3 +236,65 @@ def test_bill_rounding(spark, rows):
 def test_hot_key_sends_one_row_per_map_task(lines):
     plan = dedup.keep_first(lines.repartition(4), ["bill_no", "line_no"], ["qty"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_bills_differ_for_reasons_found_in_the_data(spark, rows):
+    def line(bill, line_no, kind, day, revenue):
+        return bill, line_no, kind, day, Decimal(str(revenue))
+
+    may, june = D(2024, 5, 30), D(2024, 6, 1)
+    kept = [
+        line(1, 1, "SALE", may, "10.40"), line(2, 1, "SALE", may, "5.00"), line(2, 2, "SALE", june, "6.00"), line(3, 1, "SALE", may, "10.40"),
+        line(4, 1, "SALE", may, "7.10"), line(5, 1, "SALE", may, "20.20"), line(5, 2, "DISCOUNT", may, "-2.00"), line(6, 1, "TENDER", may, "9.00"),
+        line(7, 1, "SALE", may, "3.00"), line(8, 1, "SALE", june, "4.00"), line(None, 1, "SALE", may, "1.00"),
+    ]
+    booked = [(1, "2024-05", "10.40"), (2, "2024-05", "11.00"), (3, "2024-05", "10.00"), (4, "2024-05", "14.20"), (5, "2024-05", "20.20"),
+              (6, "2024-05", "9.00"), (8, "2024-05", "400.00"), (9, "2024-06", "50.00"), (None, "2024-06", "2.00")]
+    schema = "bill_no int, line_no int, line_type string, business_date date, revenue decimal(18,2)"
+    kept_df = spark.createDataFrame(kept, schema)
+    raw_df = spark.createDataFrame(kept + [kept[4]], schema)
+    booked_df = spark.createDataFrame([(b, m, Decimal(a)) for b, m, a in booked], "bill_no int, month string, amount decimal(18,2)")
+    diff = reconcile.bill_differences(raw_df, kept_df, booked_df)
+    assert rows(diff, "bill_no", "cause") == sorted([
+        (1, "none"), (2, "period"), (3, "rounding"), (4, "counted twice"), (5, "definition"), (6, "no counted line"), (7, "not booked"),
+        (8, "value"), (9, "no till record"), (None, "not booked"), (None, "no till record")], key=str)
+    parts = {(r.month, r.cause): r for r in reconcile.variance_by_cause(diff).collect()}
+    assert float(parts["2024-05", "period"].variance) == 6 and float(parts["2024-06", "period"].variance) == -6
+    assert float(parts["2024-05", "rounding"].variance) == -0.4 and float(parts["2024-06", "value"].variance) == -4
+    till = sum(float(r[4]) for r in kept if r[2] != "TENDER")
+    assert sum(float(p.variance) for p in parts.values()) == pytest.approx(sum(float(a) for _, _, a in booked) - till)
+    empty = reconcile.variance_by_cause(reconcile.bill_differences(raw_df.limit(0), kept_df.limit(0), booked_df.limit(0)))
+    assert empty.count() == 0
+
+
+def test_variances_meet_listed_amounts(spark, rows):
+    variances = spark.createDataFrame([("a", Decimal("30.00")), ("b", Decimal("30.00")), ("c", Decimal("30.00")), ("d", Decimal("8.00")), ("e", Decimal("1.00"))], "k string, variance decimal(28,2)")
+    listed = [("a", 1, "30.00"), ("a", 2, "10.00"), ("a", 3, "20.00"), ("b", 1, "10.00"), ("b", 2, "20.00"), ("b", 3, "20.00"), ("c", 1, "15.00"), ("d", 1, "4.00"), ("d", 2, "4.00")]
+    table = spark.createDataFrame([(k, i, Decimal(a)) for k, i, a in listed], "k string, item int, amount decimal(28,2)")
+    got = reconcile.match_listed(variances, table, ["k"])
+    assert rows(got, "k", "n_listed") == [("a", 1), ("b", 2), ("c", 0), ("d", 2), ("e", 0)]
+
+
+@pytest.mark.parametrize("days", [1, 30, 5000])
+def test_carried_prices_equal_the_range_join(spark, rows, days):
+    from datetime import timedelta
+
+    # Half of all lines sell one product; some have no product, no day, or a product without price.
+    first = D(2020, 1, 1)
+    facts = [(i, "hot" if i % 2 else f"P{i % 7}", first + timedelta(i * 37 % 900)) for i in range(400)]
+    facts += [(900, None, first), (901, "hot", None), (902, "none", first)]
+    starts = [(p, i * 10 + n, first + timedelta(i * 131 - 200 + n), None) for n, p in enumerate(("hot", "P0", "P2", "P4")) for i in range(6)]
+    starts += [("P6", 1, D(2020, 3, 1), D(2020, 4, 1)), ("P6", 2, D(2020, 6, 1), D(2020, 8, 1)), (None, 7, first, None), ("P0", 8, None, None)]
+    fact_df = spark.createDataFrame(facts, "id int, product string, day date").repartition(5)
+    dim = spark.createDataFrame(starts, "product string, price int, since date, until date")
+    got = scd.carry_forward(fact_df, dim, on="product", date_col="day", start="since", end="until", days=days)
+
+    def price(product, day):
+        own = [r for r in starts if r[0] == product and None not in (r[0], r[2], day) and r[2] <= day]
+        last = max(own, key=lambda r: r[2], default=None)
+        return last[1] if last and (last[3] is None or day <= last[3]) else None
+
+    assert rows(got, "id", "price") == sorted(((i, price(p, d)) for i, p, d in facts), key=str)
+    assert got.columns == ["id", "product", "day", "price", "since", "until"]
+    assert scd.carry_forward(fact_df.limit(0), dim, on="product", date_col="day", start="since").count() == 0
+    assert rows(scd.carry_forward(fact_df, dim.limit(0), on="product", date_col="day", start="since"), "price") == [(None,)] * len(facts)
