@@ -3,7 +3,8 @@
 A code of 64 bits is cut into m segments of about log2(n) bits, so that a bucket holds few codes by chance. Segments are probed to
 radius 0, then 1 and so on, within a radius one after the other: when segments 0 to s have been probed to radius a and
 the others to a - 1, a code not yet met differs by at least (s + 1)(a + 1) + (m - s - 1)a bits, so all within ma + s
-are verified. A query leaves when its k-th verified distance is covered. A code met by several segments counts at the
+are verified. A query leaves when its k-th verified distance is covered; until then no code farther than that distance is
+taken up. A code met by several segments counts at the
 first, which both sides can tell from the codes alone, so nothing is deduplicated. Equal codes are one entry.
 """
 
@@ -67,7 +68,7 @@ def _grow(probes: DataFrame, widths: Sequence[int]) -> DataFrame:
     width = F.element_at(F.array(*map(F.lit, widths)), F.col("j") + 1)
     grown = probes.where(F.col("last") < width - 1).withColumn("bit", F.explode(F.sequence(F.col("last") + 1, width - 1)))
     turned = F.col("value").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit")))
-    return grown.select("q", "qcode", "j", turned.alias("value"), F.col("bit").alias("last"))
+    return grown.select("q", "qcode", "j", turned.alias("value"), F.col("bit").alias("last"), "within")
 
 
 def nearest_codes(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "id", code_col: str = "code") -> DataFrame:
@@ -88,32 +89,32 @@ def nearest_codes(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str
 
     asked = queries.select(F.col(id_col).cast("bigint").alias("q"), F.col(code_col).cast("bigint").alias("qcode"))
     asked = asked.where("q is not null and qcode is not null").groupBy("q").agg(F.min("qcode").alias("qcode"))
-    asked = left = durable(asked, "queries")
+    asked = durable(asked, "queries")
     apart = F.col("qcode").bitwiseXOR(F.col("code"))
     gaps = [F.bit_count(part) for part in _segments(apart, widths)]
     order = Window.partitionBy("q").orderBy("distance", "first")
-    best, inner, outer, at = None, None, [], 0
+    best, left, inner, outer, at = None, None, None, [], 0
     for radius, picked in probing_order(widths):
         if radius > at:
             inner, outer, at = reduce(DataFrame.unionByName, outer), [], radius
         if inner is None:
-            probes = _cut(asked, "qcode", widths, picked).withColumn("last", F.lit(-1))
+            probes = _cut(asked, "qcode", widths, picked).withColumns({"last": F.lit(-1), "within": F.lit(BITS)})
         else:
-            probes = _grow(inner.where(F.col("j").isin(picked)).join(left.select("q"), "q", "left_semi"), widths)
+            probes = _grow(inner.where(F.col("j").isin(picked)).drop("within").join(left, "q"), widths)
         probes = durable(probes, "probes")
         outer.append(probes)
         first_here = F.lit(True)
         for i, gap in enumerate(gaps):
             first_here = first_here & ((F.col("j") == i) | F.when(F.lit(i) < F.col("j"), gap > radius).otherwise(gap >= radius))
-        met = probes.join(_cut(kinds, "code", widths, picked), ["j", "value"]).where(first_here)
+        met = probes.join(_cut(kinds, "code", widths, picked), ["j", "value"]).where(first_here & (F.bit_count(apart) <= F.col("within")))
         met = met.select("q", "code", "first", "ids", F.bit_count(apart).alias("distance"))
         met = met if best is None else met.unionByName(best)
         best = met.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1).drop("r")
         best = durable(best, "nearest")
         held = best.withColumn("upto", F.sum("ids").over(order.rowsBetween(Window.unboundedPreceding, 0)))
         kth = held.where(F.col("upto") >= k + 1).groupBy("q").agg(F.min("distance").alias("kth"))
-        done = kth.where(F.col("kth") <= m * radius + picked[-1]).select("q")
-        left, count = durable_observed(asked.join(done, "q", "left_anti"), "open-queries", F.count("*").alias("n"))
+        reach = asked.select("q").join(kth, "q", "left").select("q", F.coalesce("kth", F.lit(BITS)).alias("within"))
+        left, count = durable_observed(reach.where(F.col("within") > m * radius + picked[-1]), "open-queries", F.count("*").alias("n"))
         if not count["n"]:
             break
     found = best.select("q", "code", "distance").join(near.select("code", "id"), "code").where("id != q")
