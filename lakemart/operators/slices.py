@@ -1,15 +1,17 @@
 """Revenue slices, KPI rows and price reports over mart lines.
 
-Distinct bills are counted on (slice, bill) sums: lines shrink to one row per bill before they shuffle.
+Distinct bills are counted on (slice, bill) sums: lines shrink to one row per bill before they shuffle. Where several slices are
+wanted at once, bills are bits of 64-bit words instead, which merge exactly, so that one pass over the lines serves all slices.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakemart.functions import scalars as S
 
@@ -75,13 +77,71 @@ def with_share(slices: DataFrame, measure: str = "revenue") -> DataFrame:
     return slices.withColumn("pct_share", F.round(S.as_double(F.col(measure)) * 100.0 / total, 2))
 
 
+def bill_word(lines: DataFrame, bill: str = "bill_no") -> tuple[Column, Column]:
+    """The word that a bill belongs to and its bit there: 64 consecutive numbers are one word, and no two bills share a bit.
+
+    Whole numbers are taken as they are. Of text the digits at its end are the number, and what stands before them, with the
+    count of digits, is part of the word; text that ends otherwise is a word of its own. A NULL bill has no bit.
+    """
+    if isinstance(lines.schema[bill].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        number = F.col(bill).cast("bigint")
+        return F.shiftright(number, 6), _bit(number)
+    text = F.col(bill).cast("string")
+    digits = F.regexp_extract(text, "([0-9]{1,9})$", 1)
+    number = F.coalesce(F.nullif(digits, F.lit("")).cast("bigint"), F.lit(0).cast("bigint"))
+    head = F.substring(text, F.lit(1), F.char_length(text) - F.char_length(digits))
+    word = F.when(text.isNotNull(), F.struct(
+        head.alias("head"), F.char_length(digits).alias("digits"), F.shiftright(number, 6).alias("high"),
+    ))
+    return word, F.when(text.isNotNull(), _bit(number))
+
+
+def _bit(number: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), number.bitwiseAND(F.lit(63)).cast("int"))
+
+
+def bill_words(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Lines as sums by ``keys`` and word of bills: ``word, bills`` (bits), ``lines, revenue``. Words merge by bitwise or."""
+    word, bit = bill_word(lines)
+    return lines.select(*keys, "revenue", word.alias("word"), bit.alias("bit")).groupBy(*keys, "word").agg(
+        F.bit_or("bit").alias("bills"), F.count("*").alias("lines"), F.sum("revenue").alias("revenue")
+    )
+
+
+def slices_of(words: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
+    """Every slice of every kind at once: ``kind, slice`` (text), distinct ``bills``, ``lines`` and ``revenue``.
+
+    ``words`` come from ``bill_words``, ``kinds`` names a column of theirs for each kind; kind ``all`` is one slice of everything.
+    All rows of a word are brought together once. Then each slice's bits are merged in place, and only counts move on. A bill's
+    rows are already sums, so a bill on very many lines is no more than its slices.
+    """
+    labels = [F.struct(F.lit("all").alias("kind"), F.lit(None).cast("string").alias("slice"))] + [
+        F.struct(F.lit(kind).alias("kind"), F.col(column).cast("string").alias("slice")) for kind, column in kinds.items()
+    ]
+    each = words.repartition("word").select("word", "bills", "lines", "revenue", F.explode(F.array(*labels)).alias("of"))
+    merged = each.groupBy("of.kind", "of.slice", "word").agg(
+        F.bit_or("bills").alias("bills"), F.sum("lines").alias("lines"), F.sum("revenue").alias("revenue")
+    )
+    return merged.groupBy("kind", "slice").agg(
+        F.coalesce(F.sum(F.bit_count("bills")), F.lit(0)).cast("bigint").alias("bills"),
+        F.sum("lines").alias("lines"), F.sum("revenue").cast(S.TOTAL).alias("revenue"),
+    )
+
+
+def _kpis(lines: DataFrame, counted: Mapping[str, str]) -> DataFrame:
+    """One row of totals: ``counted`` names a column for each number of distinct values that is wanted beside the bills."""
+    found = slices_of(bill_words(lines, list(counted.values())), counted)
+    every = F.col("kind") == "all"
+    return found.agg(
+        S.as_double(F.coalesce(F.sum(F.when(every, F.col("revenue"))), F.lit(0))).alias("total_revenue"),
+        F.coalesce(F.sum(F.when(every, F.col("bills"))), F.lit(0)).cast("bigint").alias("bills"),
+        *[F.count_if((F.col("kind") == kind) & F.col("slice").isNotNull()).alias(kind) for kind in counted],
+    )
+
+
 def kpi_row(lines: DataFrame) -> DataFrame:
     """Total revenue, distinct bills, average basket and active stores."""
-    return lines.agg(
-        S.as_double(F.coalesce(F.sum("revenue"), F.lit(0))).alias("total_revenue"),
-        F.countDistinct("bill_no").alias("bills"),
-        F.countDistinct("store_id").alias("active_stores"),
-    ).select(
+    return _kpis(lines, {"active_stores": "store_id"}).select(
         "total_revenue", "bills",
         (F.col("total_revenue") / F.greatest("bills", F.lit(1))).alias("avg_basket"),
         "active_stores",
@@ -90,12 +150,7 @@ def kpi_row(lines: DataFrame) -> DataFrame:
 
 def kpi_row_products(lines: DataFrame) -> DataFrame:
     """Total revenue, distinct bills, stores and products."""
-    return lines.agg(
-        S.as_double(F.coalesce(F.sum("revenue"), F.lit(0))).alias("total_revenue"),
-        F.countDistinct("bill_no").alias("bills"),
-        F.countDistinct("store_id").alias("active_stores"),
-        F.countDistinct("product_code").alias("products_sold"),
-    )
+    return _kpis(lines, {"active_stores": "store_id", "products_sold": "product_code"})
 
 
 def price_report(priced: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -258,6 +258,62 @@ def repr_compare(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_BY_K = (1, 2, 3)
+#: Pairs of one first notice that meet under one join key.
+LANE_PAIRS = 1024
+
+
+@query(
+    f"WITH {tok_sql(_re2_text(X.STRICT_RULES, ' '))}, "
+    "opening AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY string_split(text, chr(10))[1]) AS first_id FROM documents),"
+    " pairs AS (SELECT first_id AS doc_a, doc_id AS doc_b, 'same' AS label FROM opening WHERE first_id < doc_id"
+    " UNION ALL SELECT a.doc_id, b.doc_id, 'different' FROM opening a JOIN opening b ON b.doc_id = a.doc_id + 1"
+    " WHERE a.first_id <> b.first_id), "
+    + ", ".join(shingle_sql(k, f"sh_{k}") for k in _BY_K) + ", every AS ("
+    + " UNION ALL ".join(f"""
+SELECT label, {k} AS k, coalesce(shared / nullif(coalesce(a.n, 0) + coalesce(b.n, 0) - shared, 0), 0.0) AS j
+FROM (SELECT doc_a, doc_b, label, count(y.s) AS shared FROM pairs LEFT JOIN sh_{k} x ON x.doc_id = doc_a
+      LEFT JOIN sh_{k} y ON y.doc_id = doc_b AND x.s = y.s GROUP BY ALL)
+LEFT JOIN (SELECT doc_id, count(*) AS n FROM sh_{k} GROUP BY 1) a ON a.doc_id = doc_a
+LEFT JOIN (SELECT doc_id, count(*) AS n FROM sh_{k} GROUP BY 1) b ON b.doc_id = doc_b""" for k in _BY_K)
+    + """)
+SELECT label, k, count(*) AS pairs, min(j) AS minimum, quantile_cont(j, 0.1) AS p10, quantile_cont(j, 0.5) AS median,
+       quantile_cont(j, 0.9) AS p90, max(j) AS maximum
+FROM every GROUP BY label, k"""
+)
+def similarity_by_label_and_k(spark: SparkSession, folder: str) -> DataFrame:
+    """How shingles of one, two and three words separate pairs of one opening line from neighbours that have another.
+
+    Texts are read, cleaned and cut into words once; each pair is met once for all lengths, and all percentiles come from one
+    ranking of the pairs' values.
+    """
+    docs = N.title_and_body(N.documents(spark, folder))
+    words = docs.select("doc_id", F.xxhash64("title").alias("opening"), X.tokens(X.cleaned(F.col("title"), F.col("body"), X.STRICT_RULES)).alias("words"))
+    held = durable(words.select(
+        "doc_id", "opening", *[X.hashed_shingles(X.word_shingles(F.col("words"), k)).alias(f"k{k}") for k in _BY_K]
+    ), "shingles-by-k")
+    ids = held.select("doc_id", "opening")
+    first = ids.where(F.col("opening").isNotNull()).groupBy("opening").agg(
+        F.min("doc_id").alias("doc_a"), F.ceil(F.count("*") / LANE_PAIRS).alias("lanes")
+    )
+    same = ids.join(first, "opening").where(F.col("doc_a") < F.col("doc_id")).select(
+        "doc_a", F.col("doc_id").alias("doc_b"), F.lit("same").alias("label"), F.pmod("doc_id", "lanes").alias("lane")
+    )
+    following = ids.select((F.col("doc_id") - 1).alias("doc_a"), F.col("doc_id").alias("doc_b"), F.col("opening").alias("next_opening"))
+    different = ids.withColumnRenamed("doc_id", "doc_a").join(following, "doc_a").where(F.col("opening") != F.col("next_opening")).select(
+        "doc_a", "doc_b", F.lit("different").alias("label"), F.lit(0).cast("bigint").alias("lane")
+    )
+    a, b = (held.drop("opening").select(*[F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "k1", "k2", "k3")]) for side in "ab")
+    lanes = first.select(F.col("doc_a").alias("doc_id_a"), "lanes")  # a first notice goes to as many lanes as its pairs fill
+    a = a.join(lanes, "doc_id_a", "left").withColumn("lane", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("lanes", F.lit(1)) - 1)))
+    pairs = same.unionByName(different).withColumnsRenamed({"doc_a": "doc_id_a", "doc_b": "doc_id_b"})
+    long = pairs.join(a, ["doc_id_a", "lane"]).join(b, "doc_id_b").select("label", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("k"), X.jaccard(F.col(f"k{k}_a"), F.col(f"k{k}_b")).alias("j")) for k in _BY_K
+    ])).alias("r")).select("label", "r.*")
+    found = exact_percentiles(long, ["label", "k"], "j", {"p10": 0.1, "median": 0.5, "p90": 0.9})
+    return found.select("label", "k", F.col("count").alias("pairs"), "minimum", "p10", "median", "p90", "maximum")
+
+
 @query(f"WITH {NEAR_SQL} SELECT group_a, group_b, jaccard, doc_pairs FROM truth")
 def exact_near_dups(spark: SparkSession, folder: str) -> DataFrame:
     """Every pair at or above the threshold, identical copies folded into counts."""

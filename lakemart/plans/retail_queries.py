@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakemart.functions import scalars as S
@@ -284,6 +285,39 @@ def drop_void_bills(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(f"""
+WITH {NET_SQL}, {PRODUCTS_SQL},
+joined AS (SELECT bill_no, revenue, store_id, month, isodow(business_date) AS iso_day, coalesce(category, 'UNASSIGNED') AS category
+           FROM net LEFT JOIN products p ON net.product_code = p.product_code AND business_date BETWEEN valid_from AND valid_to),
+every AS (
+  SELECT 'all' AS kind, NULL AS slice, bill_no, revenue FROM joined
+  UNION ALL SELECT 'store', CAST(store_id AS VARCHAR), bill_no, revenue FROM joined
+  UNION ALL SELECT 'month', month, bill_no, revenue FROM joined
+  UNION ALL SELECT 'weekday', CAST(iso_day AS VARCHAR), bill_no, revenue FROM joined
+  UNION ALL SELECT 'category', category, bill_no, revenue FROM joined),
+sums AS (SELECT kind, slice, count(DISTINCT bill_no) AS bills, count(*) AS lines, CAST(sum(revenue) AS DOUBLE) AS revenue
+         FROM every GROUP BY kind, slice)
+SELECT *, revenue / greatest(bills, 1) AS avg_basket,
+       round(revenue * 100.0 / (SELECT revenue FROM sums WHERE kind = 'all'), 2) AS pct_share,
+       CASE WHEN kind = 'all' THEN (SELECT count(*) FROM sums WHERE kind = 'store') END AS active_stores
+FROM sums""")
+def dashboard_slices(spark: SparkSession, folder: str) -> DataFrame:
+    """The dashboard in one pass over the lines: the KPI row and the slices by store, month, weekday and category."""
+    words = slices.bill_words(T.revenue_lines(spark, folder), ["store_id", "product_code", "business_date"])
+    dated = _with_product(words, spark, folder, "left").select(
+        "store_id", S.month_key(F.col("business_date")).alias("month"), S.weekday_iso(F.col("business_date")).alias("iso_day"),
+        F.coalesce("category", F.lit("UNASSIGNED")).alias("category"), "word", "bills", "lines", "revenue",
+    )
+    found = slices.slices_of(dated, {"store": "store_id", "month": "month", "weekday": "iso_day", "category": "category"})
+    finished = found.select("kind", "slice", "bills", "lines", S.as_double(F.col("revenue")).alias("revenue"))
+    whole, every = W.partitionBy(), F.col("kind") == "all"  # over finished slices, one row each
+    return finished.select(
+        "*", (F.col("revenue") / F.greatest("bills", F.lit(1))).alias("avg_basket"),
+        F.round(F.col("revenue") * 100.0 / F.max(F.when(every, F.col("revenue"))).over(whole), 2).alias("pct_share"),
+        F.when(every, F.count_if((F.col("kind") == "store") & F.col("slice").isNotNull()).over(whole)).alias("active_stores"),
+    )
+
+
 @query(f"""
 WITH {NET_SQL}
 SELECT CAST(sum(revenue) AS DOUBLE) AS total_revenue, count(DISTINCT bill_no) AS bills,

@@ -61,6 +61,13 @@ def test_filters_reach_the_scan(spark):
     assert any("EqualTo(l_returnflag,A)" in v and "l_shipdate" in v for v in pushed)
 
 
+def test_slices_read_lines_once_and_expand_none(spark):
+    for name, files in (("dashboard_slices", {"lineitem": 1, "part": 1}), ("kpi_row", {"lineitem": 1}), ("kpi_row_ap", {"lineitem": 1})):
+        plan = entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+        assert {file: plan.count(f"{file}.parquet") for file in files} == files, name
+        assert "Expand" not in plan and "Cartesian" not in plan, name
+
+
 def test_signatures_on_workers_without_the_package(tmp_path):
     """The driver has the package on its path; the workers run in another folder and have none."""
     code = f"""

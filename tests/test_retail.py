@@ -1,6 +1,7 @@
 """De-duplication, point-in-time joins, slices, marts and reconciliation."""
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -131,6 +132,28 @@ def test_kpis_of_nothing(lines):
     assert tuple(slices.kpi_row(revenue(lines)).first()) == (8.5, 3, 8.5 / 3, 2)
 
 
+def test_slices_at_once_equal_slices_one_by_one(spark):
+    rng = random.Random(5)
+    bills = [None, "b1", "b01", "b", "", "S1/20240101/00063", "S1/20240101/00064", "S1/20240102/00063"]
+    for kind, choose in (("string", lambda: rng.choice(bills)), ("bigint", lambda: rng.choice([None, -1, -64, 0, 63, 64, 2**40]))):
+        data = [(choose(), rng.choice(["S1", "S2", None]), rng.choice([1, 2]), Decimal(rng.randint(-500, 500)) / 100) for _ in range(300)]
+        df = spark.createDataFrame(data, f"bill_no {kind}, store_id string, iso_day int, revenue decimal(18,2)")
+        found = slices.slices_of(slices.bill_words(df, ["store_id", "iso_day"]), {"store": "store_id", "weekday": "iso_day"})
+        want = {}
+        for bill, store, day, revenue in data:
+            for key in (("all", None), ("store", store), ("weekday", str(day))):
+                seen, lines, total = want.get(key, (set(), 0, Decimal(0)))
+                want[key] = seen | ({bill} - {None}), lines + 1, total + revenue
+        got = {(r["kind"], r["slice"]): (r["bills"], r["lines"], r["revenue"]) for r in found.collect()}
+        assert got == {key: (len(seen), lines, total) for key, (seen, lines, total) in want.items()}
+
+
+def test_slices_of_nothing(lines):
+    nothing = revenue(lines).where("false")
+    assert slices.slices_of(slices.bill_words(nothing, ["store_id"]), {"store": "store_id"}).collect() == []
+    assert tuple(slices.kpi_row_products(nothing).first()) == (0.0, 0, 0, 0)
+
+
 def test_report_filter(lines):
     assert lines.where(slices.report_filter()).count() == 7
     assert lines.where(slices.report_filter(month="2024-06", store="S2")).count() == 1

@@ -13,11 +13,11 @@ B_HEADER = "bill_no;line_no;item_code;quantity;rate;type;txn_time"
 C_HEADER = "ts,bill_no,line_no,line_type,product_code,unit_price,qty"
 
 A_LINES = [
-    "S04/20240206/00001,1,P102585,2,459.16,SALE,2024-02-06T19:09:54",
-    "S04/20240206/00001,2,DISC,1,-18.36,DISCOUNT,2024-02-06T19:09:54",
-    "S04/20240206/00001,3,TAX,1,171.94,TAX,2024-02-06T19:09:54",
-    "S04/20240206/00001,4,TENDER,1,1071.90,TENDER,2024-02-06T19:09:54",
-    "S04/20240206/00002,1,P102585,1,459.16,SALE,2024-02-07T00:40:00",
+    "S03/20250314/00001,1,P555001,2,20.50,SALE,2025-03-14T11:25:40",
+    "S03/20250314/00001,2,DISC,1,-1.25,DISCOUNT,2025-03-14T11:25:40",
+    "S03/20250314/00001,3,TAX,1,3.40,TAX,2025-03-14T11:25:40",
+    "S03/20250314/00001,4,TENDER,1,43.15,TENDER,2025-03-14T11:25:40",
+    "S03/20250314/00002,1,P555001,1,20.50,SALE,2025-03-15T00:10:00",
 ]
 
 
@@ -29,34 +29,34 @@ def till(tmp_path):
     def put(name, lines, encoding="utf-8"):
         (folder / name).write_text("\n".join(lines) + "\n", encoding=encoding)
 
-    put("SALES_S04_20240206.csv", [A_HEADER, *A_LINES])
-    put("SALES_S04_20240206__R1.csv", [A_HEADER, *A_LINES])
-    put("SALES_S04_20240206__R2.csv", [A_HEADER, *A_LINES[4:]])
-    put("SALES_S09_20240416.csv", [
-        B_HEADER, "S09/20240416/00001;1;P106244;2;73.94;SALE;16-04-2024 18:48:06",
-        "S09/20240416/00001;2;P106244;-2;73.94;VOID;16-04-2024 18:48:06",
-        "S09/20240416/00002;1;P106244;-1;73.94;RETURN;16-04-2024 19:00:00",
+    put("SALES_S03_20250314.csv", [A_HEADER, *A_LINES])
+    put("SALES_S03_20250314__R1.csv", [A_HEADER, *A_LINES])
+    put("SALES_S03_20250314__R2.csv", [A_HEADER, *A_LINES[4:]])
+    put("SALES_S07_20250611.csv", [
+        B_HEADER, "S07/20250611/00001;1;P555002;2;7.75;SALE;11-06-2025 09:15:30",
+        "S07/20250611/00001;2;P555002;-2;7.75;VOID;11-06-2025 09:15:30",
+        "S07/20250611/00002;1;P555002;-1;7.75;RETURN;11-06-2025 10:00:00",
     ])
-    put("SALES_S12_20240903.csv", [C_HEADER, "1725384131,S12/20240903/00001,1,SALE,P108046,95.35,4"], "utf-8-sig")
+    put("SALES_S11_20250902.csv", [C_HEADER, "1756814400,S11/20250902/00001,1,SALE,P555003,12.60,4"], "utf-8-sig")
     put("notes.csv", ["not,a,till,file", "1,2,3,4"])
     return folder
 
 
 def test_three_dialects_become_one_table(spark, rows, till):
     lines = pos.read_lines(spark, str(till))
-    got = rows(lines.where("store_id <> 'S04'"), "store_id", "bill_no", "line_no", "product_code", "qty", "line_type", "ts")
+    got = rows(lines.where("store_id <> 'S03'"), "store_id", "bill_no", "line_no", "product_code", "qty", "line_type", "ts")
     assert got == [
-        ("S09", "S09/20240416/00001", 1, "P106244", 2, "SALE", dt.datetime(2024, 4, 16, 18, 48, 6)),
-        ("S09", "S09/20240416/00001", 2, "P106244", -2, "VOID", dt.datetime(2024, 4, 16, 18, 48, 6)),
-        ("S09", "S09/20240416/00002", 1, "P106244", -1, "RETURN", dt.datetime(2024, 4, 16, 19, 0)),
-        ("S12", "S12/20240903/00001", 1, "P108046", 4, "SALE", dt.datetime(2024, 9, 3, 22, 52, 11)),
+        ("S07", "S07/20250611/00001", 1, "P555002", 2, "SALE", dt.datetime(2025, 6, 11, 9, 15, 30)),
+        ("S07", "S07/20250611/00001", 2, "P555002", -2, "VOID", dt.datetime(2025, 6, 11, 9, 15, 30)),
+        ("S07", "S07/20250611/00002", 1, "P555002", -1, "RETURN", dt.datetime(2025, 6, 11, 10, 0)),
+        ("S11", "S11/20250902/00001", 1, "P555003", 4, "SALE", dt.datetime(2025, 9, 2, 17, 30)),
     ]
 
 
 def test_business_date_is_the_files(spark, rows, till):
     late = pos.read_lines(spark, str(till)).where(F.to_date("ts") != F.col("business_date"))
     assert {tuple(r) for r in late.select("bill_no", "business_date").collect()} == {
-        ("S04/20240206/00002", dt.date(2024, 2, 6))
+        ("S03/20250314/00002", dt.date(2025, 3, 14))
     }
 
 
@@ -67,8 +67,8 @@ def test_unplaced_files_are_listed(spark, rows, till):
 def test_resends_count_once_and_partial_ones_lose_nothing(spark, rows, till):
     lines = pos.read_lines(spark, str(till))
     kept = dedup.keep_first(lines, pos.LINE_KEYS, pos.LINE_ORDER)
-    assert lines.where("store_id = 'S04'").count() == 11
-    assert kept.where("store_id = 'S04'").count() == 5
+    assert lines.where("store_id = 'S03'").count() == 11
+    assert kept.where("store_id = 'S03'").count() == 5
     assert {r.resend_no for r in kept.collect()} == {0}
     assert rows(dedup.dedup_counts(lines, pos.LINE_KEYS)) == [(15, 9, 6)]
 
@@ -112,16 +112,16 @@ def test_short_file_names(spark, rows, tmp_path):
 @pytest.mark.parametrize("preamble", ["", '"""\nfinance_monthly.csv - signed-off totals\nUsed for reconciliation.\n"""\n'])
 def test_finance_with_and_without_preamble(spark, rows, tmp_path, preamble):
     path = tmp_path / "finance.csv"
-    path.write_text(preamble + "month,revenue_inr\n2024-01,12543210.50\n2024-02,11876540.00\n")
+    path.write_text(preamble + "month,revenue_inr\n2024-01,1000200.30\n2024-02,1000400.60\n")
     got = rows(pos.read_finance(spark, str(path)), "month", F.col("finance_revenue").cast("string"))
-    assert got == [("2024-01", "12543210.50"), ("2024-02", "11876540.00")]
+    assert got == [("2024-01", "1000200.30"), ("2024-02", "1000400.60")]
 
 
 def test_finance_with_sign_off(spark, rows, tmp_path):
     path = tmp_path / "finance.csv"
-    path.write_text("month,closed_on,revenue_inr,signed_off_by\n2024-01,2024-02-09,38446071.33,A. K. (Controller)\n")
+    path.write_text("month,closed_on,revenue_inr,signed_off_by\n2024-01,2024-02-20,2000500.75,N. N. (Audit)\n")
     got = rows(pos.read_finance(spark, str(path)), "month", "closed_on", F.col("finance_revenue").cast("string"), "signed_off_by")
-    assert got == [("2024-01", dt.date(2024, 2, 9), "38446071.33", "A. K. (Controller)")]
+    assert got == [("2024-01", dt.date(2024, 2, 20), "2000500.75", "N. N. (Audit)")]
 
 
 def test_landing_twice_changes_nothing_and_prunes(spark, rows, till, tmp_path):
@@ -131,7 +131,7 @@ def test_landing_twice_changes_nothing_and_prunes(spark, rows, till, tmp_path):
         lake.land(lake.with_month_keys(lines), target)
     landed = spark.read.parquet(target)
     assert landed.count() == 9
-    wanted = landed.where((F.col("year") == 2024) & (F.col("month") == 2) & (F.col("store") == "S04"))
+    wanted = landed.where((F.col("year") == 2025) & (F.col("month") == 3) & (F.col("store") == "S03"))
     report = lake.pruning_report(landed, wanted).first()
     assert report.all_files > report.pruned_files == 1
     assert report.file_ratio == report.all_files
@@ -142,7 +142,7 @@ def test_landing_one_month_leaves_the_others(spark, till, tmp_path):
     lines = dedup.keep_first(pos.read_lines(spark, str(till)), pos.LINE_KEYS, pos.LINE_ORDER)
     target = str(tmp_path / "lake")
     lake.land(lake.with_month_keys(lines), target)
-    lake.land(lake.with_month_keys(lines.where("store_id = 'S12'")), target)
+    lake.land(lake.with_month_keys(lines.where("store_id = 'S11'")), target)
     assert spark.read.parquet(target).count() == 9
 
 
@@ -177,7 +177,7 @@ def test_another_column_order_is_refused(spark, tmp_path):
 
 def test_quoted_sign_off(spark, rows, tmp_path):
     path = tmp_path / "finance.csv"
-    path.write_text('month,closed_on,revenue,signed_off_by\n2024-01,2024-02-09,100.50,"Doe, Jo"\n')
+    path.write_text('month,closed_on,revenue,signed_off_by\n2024-01,2024-02-20,100.50,"Doe, Jo"\n')
     assert rows(pos.read_finance(spark, str(path)), "signed_off_by") == [("Doe, Jo",)]
 
 
