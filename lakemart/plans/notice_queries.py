@@ -289,9 +289,7 @@ def similarity_by_label_and_k(spark: SparkSession, folder: str) -> DataFrame:
     """
     docs = N.title_and_body(N.documents(spark, folder))
     words = docs.select("doc_id", F.xxhash64("title").alias("opening"), X.tokens(X.cleaned(F.col("title"), F.col("body"), X.STRICT_RULES)).alias("words"))
-    held = durable(words.select(
-        "doc_id", "opening", *[X.hashed_shingles(X.word_shingles(F.col("words"), k)).alias(f"k{k}") for k in _BY_K]
-    ), "shingles-by-k")
+    held = durable(words, "words")
     ids = held.select("doc_id", "opening")
     first = ids.where(F.col("opening").isNotNull()).groupBy("opening").agg(
         F.min("doc_id").alias("doc_a"), F.ceil(F.count("*") / LANE_PAIRS).alias("lanes")
@@ -303,11 +301,14 @@ def similarity_by_label_and_k(spark: SparkSession, folder: str) -> DataFrame:
     different = ids.withColumnRenamed("doc_id", "doc_a").join(following, "doc_a").where(F.col("opening") != F.col("next_opening")).select(
         "doc_a", "doc_b", F.lit("different").alias("label"), F.lit(0).cast("bigint").alias("lane")
     )
-    a, b = (held.drop("opening").select(*[F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "k1", "k2", "k3")]) for side in "ab")
+    a, b = (held.drop("opening").select(*[F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "words")]) for side in "ab")
     lanes = first.select(F.col("doc_a").alias("doc_id_a"), "lanes")  # a first notice goes to as many lanes as its pairs fill
     a = a.join(lanes, "doc_id_a", "left").withColumn("lane", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("lanes", F.lit(1)) - 1)))
     pairs = same.unionByName(different).withColumnsRenamed({"doc_a": "doc_id_a", "doc_b": "doc_id_b"})
-    long = pairs.join(a, ["doc_id_a", "lane"]).join(b, "doc_id_b").select("label", F.explode(F.array(*[
+    met = pairs.join(a, ["doc_id_a", "lane"]).join(b, "doc_id_b").select("label", *[
+        X.hashed_shingles(X.word_shingles(F.col(f"words_{side}"), k)).alias(f"k{k}_{side}") for k in _BY_K for side in "ab"
+    ])
+    long = met.select("label", F.explode(F.array(*[
         F.struct(F.lit(k).alias("k"), X.jaccard(F.col(f"k{k}_a"), F.col(f"k{k}_b")).alias("j")) for k in _BY_K
     ])).alias("r")).select("label", "r.*")
     found = exact_percentiles(long, ["label", "k"], "j", {"p10": 0.1, "median": 0.5, "p90": 0.9})
