@@ -239,7 +239,7 @@ class ByteBpeEncoder(Encoder):
 
     def __init__(self, path: str):
         self.bpe, (self.pattern, self.stand_ins) = PrefixBpe(path), _pattern()
-        self.keep_space, self.fold = True, False
+        self.keep_space, self.fold, self.added = True, False, None  # ranks know no added tokens: they are plain text
         self.width = np.uint16 if len(self.bpe.bytes_of) <= 1 << 16 else np.uint32
         self._pieces: dict[str, list[int]] = {}
         self._forget()

@@ -77,6 +77,13 @@ def test_pieces_under_change(edits):
         assert piece.ids() == WHOLE.encode_ordinary(text)
 
 
+def test_names_of_added_tokens_are_plain_text():
+    texts = ["<|endoftext|>", "a<|endoftext|>b <|endoftext|>", "plain"]
+    ids, counts = OWN.encode(pa.array(texts))
+    want = [PLAIN.encode_ordinary(t) for t in texts]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 def test_an_edit_touches_few_prefixes():
     piece = Piece(OWN.bpe, b"to be or not to be " * 2000)
     again = piece.replace(500, 502, b"is")
