@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lakemart.operators import clusters, linking
 from lakemart.operators.corpus import membership, sketch
 from lakemart.plans.notices import BUCKET
-from lakemart.workspace import durable, durable_observed
+from lakemart.workspace import durable, durable_by, durable_observed
 
 RANGES = 64
 
@@ -26,7 +26,7 @@ TABLES = {
     "notices": "notice_id bigint, group_id bigint",
     "contents": "content_key string, group_id bigint",
     "bands": "band_id int, bucket_hash bigint, group_id bigint, n_shingles int",
-    "sets": "group_id bigint, n_shingles int, shingles array<bigint>",
+    "sets": "group_id bigint, n_shingles int, parity binary, shingles array<bigint>",
     "parents": "node bigint, parent bigint",
     "cards": "cluster_id bigint, card_id string, canonical_notice_id bigint, created_at timestamp_ntz, updated_at timestamp_ntz",
     "redirects": "deprecated_card_id string, active_card_id string, merged_at timestamp_ntz",
@@ -96,7 +96,7 @@ def process_delta(store: DeltaStore, notices: DataFrame, batch: int, percent: in
     ids = notices.select(F.col("doc_id").alias("notice_id"))
     known = store.lookup("notices", batch, ids).select(F.col("notice_id").alias("doc_id"))
     new = notices.dropDuplicates(["doc_id"]).join(known, "doc_id", "left_anti")
-    sketches = durable(sketch(new, **options), "delta-sketches")
+    sketches = durable_by(sketch(new, **options).drop("signature"), "delta-sketches", "doc_id")
     keys, _ = membership(sketches)
     keys = durable(keys, "delta-keys")
     stored = store.lookup("contents", batch, keys).select("content_key", F.col("group_id").alias("known_id"))
@@ -104,9 +104,9 @@ def process_delta(store: DeltaStore, notices: DataFrame, batch: int, percent: in
         "content_key", F.coalesce("known_id", "group_id").alias("group_id"), F.col("known_id").isNull().alias("is_new")
     ), "delta-groups")
     arrivals = durable(sketches.select(F.col("doc_id").alias("notice_id"), "content_key").join(placed, "content_key").select("notice_id", "group_id"), "delta-notices")
-    fresh = durable(sketches.withColumnRenamed("doc_id", "group_id").drop("content_key").join(
+    fresh = sketches.withColumnRenamed("doc_id", "group_id").drop("content_key").join(
         placed.where("is_new").select("group_id", "content_key"), "group_id"
-    ), "delta-fresh")
+    )
     own_bands = fresh.select(F.posexplode("bands").alias(*BUCKET), "group_id", "n_shingles")
 
     # Clusters: what shares a bucket with a new group, from the touched ranges, and what is new.
@@ -117,7 +117,8 @@ def process_delta(store: DeltaStore, notices: DataFrame, batch: int, percent: in
     )
     start = roots_of(store, batch, old_nodes)
     old_sets = store.lookup("sets", batch, met)
-    links = linking.connect(rows, old_sets.unionByName(fresh.select(*old_sets.columns)), percent, BUCKET, start)
+    sets = durable_by(old_sets.unionByName(fresh.select(*old_sets.columns)), "delta-sets", "group_id")  # moved once, looked up in each round
+    links = linking.connect(rows, sets, percent, BUCKET, start)
     merged = durable(clusters.components(durable(links, "delta-links"), "from_a", "from_b"), "delta-merged")
     moved = merged.where("node != cluster").select("node", F.col("cluster").alias("parent"))
 
