@@ -11,7 +11,7 @@ next, there too. Segments are kept sparse, as the exclusive-or of their places.
 Equal segments gather texts in buckets. Texts with one set are one class before that. A bucket's members are first
 compared with the one that meets most others; what that verifies is joined into components. Pairs of one
 bucket that are not in one component after that are compared by dense sketches, block against block: first each member
-gives its nearest one only, which joins most of a crowded family, then all that is left is listed. Before any text is
+gives its nearest one only, which joins most of a crowded family, then all that is left is listed, in the buckets where any was left. Before any text is
 read, a pair's Hamming distance must leave the link possible; every verdict is an exact count on the shingles.
 """
 
@@ -288,18 +288,21 @@ def similar_classes(docs: DataFrame, shingle: int = 5, percent: int = 80) -> tup
 
     close = durable(sketched.mapInArrow(near, "a bigint, b bigint"), "close-stars")
     linked = _verified(close, texts, shingle, percent, "star-links")
+    places = buckets.select(F.xxhash64("members").alias("bucket"), "members").dropDuplicates(["bucket"])
     for nearest in (True, False):
-        rest = durable(_apart(buckets, components(linked), texts, percent, nearest).distinct(), "close-pairs")
-        linked = linked.unionByName(_verified(rest, texts, shingle, percent, "more-links"))
+        near_pairs = durable(_apart(places, components(linked), texts, percent, nearest), "close-pairs")
+        linked = linked.unionByName(_verified(near_pairs.select("a", "b").distinct(), texts, shingle, percent, "more-links"))
+        places = places.join(near_pairs.where("more").select("bucket").distinct(), "bucket", "left_semi")
     return classes, components(linked)
 
 
 def parity_sketch(shingles: np.ndarray) -> bytes:
-    """One bit flipped for each shingle, in a power of two of bits, four to eight times as many as shingles.
+    """One bit flipped for each shingle, in a power of two of bits, one to two times as many as shingles.
 
-    That is up to a byte for each, and sets that differ in a fifth more than a link allows rarely pass.
+    That is up to two bits for each: it is sent once for every bucket and star of a text. Unrelated sets do not pass, sets that
+    differ in a third more than a link allows rarely do; those are counted exactly in vain.
     """
-    size = 1 << max(6, (4 * len(shingles)).bit_length())
+    size = 1 << max(6, len(shingles).bit_length())
     flips = np.bincount((mix(shingles ^ _STEP) & np.uint64(size - 1)).astype(np.int64), minlength=size)
     return np.packbits((flips & 1).astype(np.uint8)).tobytes()
 
@@ -321,13 +324,13 @@ def may_link(n_a: int, n_b: int, bits_a: bytes, bits_b: bytes, percent: int) ->
     return int(np.bitwise_count(_folded(a, words) ^ _folded(b, words)).sum()) * (100 + percent) <= (100 - percent) * (n_a + n_b)
 
 
-def _apart(buckets: DataFrame, labels: DataFrame, texts: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Pairs of one bucket that no link joins yet and whose sketches are close enough, or of these each member's ``nearest``
-    only. Large buckets are dealt to blocks, and a bucket looks at a pair in one block."""
-    places = buckets.select(F.xxhash64("members").alias("bucket"), "members").dropDuplicates(["bucket"])
+def _apart(places: DataFrame, labels: DataFrame, texts: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """``(a, b, bucket, more)``: pairs of one bucket that no link joins yet and whose sketches are close enough, or of these
+    each member's ``nearest`` only; ``more`` tells that a pair was left out for a nearer one. Large buckets are dealt to blocks,
+    and a bucket looks at a pair in one block. A bucket of two has met its only pair as a star."""
     places = places.select("bucket", F.explode("members").alias("node")).join(labels, "node", "left")
     placed = durable(places.select("bucket", "node", F.coalesce("component", "node").alias("own")), "bucket-places")
-    open_ = placed.groupBy("bucket").agg(F.min("own").alias("lo"), F.max("own").alias("hi"), F.count("*").alias("size")).where("lo != hi")
+    open_ = placed.groupBy("bucket").agg(F.min("own").alias("lo"), F.max("own").alias("hi"), F.count("*").alias("size")).where("lo != hi and size > 2")
     open_ = durable(open_.select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "open-buckets")
     members = durable(placed.join(open_, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")), "bucket-members")
     members = members.join(texts.select(F.col("sig").alias("node"), "n", "bits"), "node")
@@ -357,13 +360,17 @@ def _apart(buckets: DataFrame, labels: DataFrame, texts: DataFrame, percent: int
                         gap = np.bitwise_count(xb[some] ^ x).sum(1, dtype=np.int64)
                         near = gap * (100 + percent) <= (100 - percent) * (n[b[some]] + n[i])
                         some, gap = some[near], gap[near]
-                        if nearest:
-                            some = some[[gap.argmin()]] if len(gap) else some
-                        out += [(node[i], node[k]) for k in b[some]]
-        pairs = np.array(out, np.int64).reshape(-1, 2)
-        return pa.table({"a": pairs.min(1), "b": pairs.max(1)} if len(pairs) else {"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return sides.groupBy("bucket", "i", "j").applyInArrow(compare, "a bigint, b bigint")
+                        more = nearest and len(gap) > 1
+                        if more:
+                            some = some[[gap.argmin()]]
+                        out += [(node[i], node[k], more) for k in b[some]]
+        pairs = np.array(out, np.int64).reshape(-1, 3)
+        return pa.table({
+            "a": np.minimum(pairs[:, 0], pairs[:, 1]), "b": np.maximum(pairs[:, 0], pairs[:, 1]),
+            "bucket": np.full(len(pairs), table["bucket"][0].as_py()), "more": pairs[:, 2] > 0,
+        })
+
+    return sides.groupBy("bucket", "i", "j").applyInArrow(compare, "a bigint, b bigint, bucket bigint, more boolean")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

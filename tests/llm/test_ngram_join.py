@@ -2,6 +2,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from lakemart.llm import ngram_join
@@ -108,3 +109,28 @@ def test_each_class_fetches_one_text(spark, rows, monkeypatch):
     assert rows(near_duplicates(docs, 4, 85)) == brute(made, 4, 85)
     (texts, involved), = seen
     assert len(texts) == involved == len(made) and {r.text for r in texts} == {t for _, t in made}
+
+
+def test_sketches_are_short_and_tell_unrelated_sets_apart():
+    rng = np.random.default_rng(3)
+    for n in (64, 100, 1000, 5000):
+        a, b = (rng.integers(0, 1 << 63, n, np.uint64) for _ in range(2))
+        assert 8 * len(ngram_join.parity_sketch(a)) <= 2 * n
+        assert not ngram_join.may_link(n, n, ngram_join.parity_sketch(a), ngram_join.parity_sketch(b), 80)
+
+
+def test_settled_buckets_are_not_compared_again(spark, rows, monkeypatch):
+    """Buckets in which the first comparison left nothing out, and those of two, do not go through another one."""
+    made = family(7, sizes=(120,), copies=3) + [(900 + i, " ".join(f"{i}x{j}" for j in range(60)) + " ends alike for all") for i in range(40)]
+    sizes, write = [], ngram_join.durable
+
+    def watched(df, label):
+        table = write(df, label)
+        if label in ("buckets", "bucket-members"):
+            sizes.append((label, table.count()))
+        return table
+
+    monkeypatch.setattr(ngram_join, "durable", watched)
+    docs = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
+    assert rows(near_duplicates(docs, 1, 80)) == brute(made, 1, 80)
+    assert [n > 0 for _, n in sizes] == [True, True, False]
