@@ -5,11 +5,12 @@ ids cut into blocks of ``BLOCK``. A block starts from a fresh model and a fresh
 decodes alone and damage is found in it.
 
 The model. Order 2 and order 1 each foretell one id, from the last two ids or the last one, with a confidence that hits raise
-and misses halve. A first decision says whether order 2 is right; its probability mixes, in the logistic domain and with
-weights that learn, what both orders' confidences have meant so far. A second decision says whether order 1 is right.
-Otherwise order 0 spells the id in four steps of four bits, each with adaptive frequencies in the context of the bits
-before. All arithmetic is on integers, so every machine decodes alike. The blocks of a frame advance together, one array
-element each, which is what makes this affordable in numpy.
+and misses halve. One decision says whether order 2 is right, else whether order 1 is, or neither; the probability of the first
+mixes, in the logistic domain and with weights that learn, what both orders' confidences have meant so far. If neither
+is right, order 0 spells the id in four symbols of four bits, each with adaptive frequencies in the context of the bits
+before; two symbols are coded in one step of a 64-bit range. All verdicts come from integers, so every machine
+decodes alike. The blocks of a frame advance together, one array element each, which is what makes this affordable in
+numpy: short blocks make many lanes.
 """
 
 from __future__ import annotations
@@ -26,94 +27,101 @@ from pyspark.sql import functions as F
 from lakemart.llm.packing import with_offsets
 from lakemart.llm.textops import encoder
 
-BLOCK = 8192
+BLOCK = 2048
 LANES = 2048
 _PREFIX_BASE = np.array([0, 1, 17, 273], np.int64)
 _CONTEXTS = 273 + 1024
 _RATE, _LEAST = 5, 64
-_ORDER1, _ORDER2 = 12, 13
+_ORDER1, _ORDER2 = 11, 12
+_GUESSES = (1 << _ORDER1) + (1 << _ORDER2)
+_CHANCES = 16 + 32 + 32
 
 
 def _steps() -> tuple[np.ndarray, np.ndarray]:
     """The logistic function and its inverse on a grid of 4096."""
     x = np.arange(-2047, 2048)
-    squash = np.clip(np.rint(4096 / (1 + np.exp(-x / 256))), 1, 4095).astype(np.int64)
+    squash = np.clip(np.rint(4096 / (1 + np.exp(-x / 256))), 1, 4095).astype(np.int32)
     p = np.arange(4096) + 0.5
-    stretch = np.clip(np.rint(256 * np.log(p / (4096 - p))), -2047, 2047).astype(np.int64)
+    stretch = np.clip(np.rint(256 * np.log(p / (4096 - p))), -2047, 2047).astype(np.int32)
     return squash, stretch
 
 
 def _targets() -> np.ndarray:
     """What the cumulative frequencies of 16 symbols move to after each symbol."""
     i, s = np.arange(16)[None], np.arange(16)[:, None]
-    return np.where(i > s, 32768 - (16 - i) * _LEAST, i * _LEAST).astype(np.int32)
+    return np.where(i > s, 32768 - (16 - i) * _LEAST, i * _LEAST).astype(np.int16)
 
 
 _SQUASH, _STRETCH = _steps()
 _TARGETS = _targets()
-_LOW = np.uint64(0xFFFFFFFF)
-_U16, _U32 = np.uint64(16), np.uint64(32)
+_WORD, _FULL = np.uint64(32), np.uint64(0xFFFFFFFF)
+_FIRST, _SPELT = np.uint64(24), np.uint64(30)
 
 
 class _Model:
     def __init__(self, lanes: int):
         self.lane = np.arange(lanes)
-        self.spell = np.tile(np.arange(0, 32768, 2048, dtype=np.int32).astype(np.uint16), (lanes * _CONTEXTS, 1))
-        self.guess = [np.zeros(lanes << _ORDER1, np.uint16), np.zeros(lanes << _ORDER2, np.uint16)]
-        self.trust = [np.zeros(lanes << _ORDER1, np.uint8), np.zeros(lanes << _ORDER2, np.uint8)]
-        self.right2 = np.full((lanes, 16), 2048, np.int64)
-        self.right1 = np.full((lanes, 32), 2048, np.int64)
-        self.second = np.full((lanes, 32), 2048, np.int64)
-        self.weights = np.full((2, lanes), 32768, np.int64)
+        self.spell = np.tile(np.arange(0, 32768, 2048, dtype=np.int16), (lanes * _CONTEXTS, 1))
+        self.whole_rows = self.spell.view("V32").ravel()
+        self.guesses = np.zeros(lanes * _GUESSES, np.int32)  # an id and, above 16 bits, the trust in it
+        self.chances = np.full(lanes * _CHANCES, 2048, np.int32)
+        self.weights = np.full((2, lanes), 32768, np.int32)
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.own_guesses = self.lane * _GUESSES + np.array([[0], [1 << _ORDER1]])
+        self.own_chances = self.lane * _CHANCES + np.array([[0], [16], [48]])
 
     def foretell(self, n: int) -> tuple[np.ndarray, ...]:
-        """For the first ``n`` lanes: both foretold ids and the probability, of 4096, that order 2 is right."""
-        lane, last, before = self.lane[:n], self.last[:n], self.before[:n]
-        self.at1 = (lane << _ORDER1) + ((last * 40503 >> 3) & ((1 << _ORDER1) - 1))
-        self.at2 = (lane << _ORDER2) + (((last * 40503 + before * 30011) >> 3) & ((1 << _ORDER2) - 1))
-        g1, g2 = self.guess[0][self.at1], self.guess[1][self.at2]
-        self.c2 = self.trust[1][self.at2].astype(np.int64)
-        self.c1 = self.trust[0][self.at1] * np.int64(2) + (g1 == g2)
-        self.s2, self.s1 = _STRETCH[self.right2[lane, self.c2]], _STRETCH[self.right1[lane, self.c1]]
-        w2, w1 = self.weights[0, :n], self.weights[1, :n]
-        self.p = _SQUASH[np.clip((w2 * self.s2 + w1 * self.s1) >> 16, -2047, 2047) + 2047]
-        return g1, g2, self.p
-
-    def learn_first(self, hit: np.ndarray) -> None:
-        n = len(hit)
-        lane, wanted = self.lane[:n], hit * np.int64(4095)
-        error = (wanted - self.p) * 6
-        self.weights[0, :n] += (self.s2 * error) >> 14
-        self.weights[1, :n] += (self.s1 * error) >> 14
-        for table, c in ((self.right2, self.c2), (self.right1, self.c1)):
-            was = table[lane, c]
-            table[lane, c] = was + ((wanted - was) >> 5)
-
-    def chance_second(self, lanes: np.ndarray) -> np.ndarray:
-        return np.clip(self.second[lanes, self.c1[lanes]], 1, 4095)
-
-    def learn_second(self, lanes: np.ndarray, hit: np.ndarray) -> None:
-        c = self.c1[lanes]
-        was = self.second[lanes, c]
-        self.second[lanes, c] = was + ((hit * np.int64(4095) - was) >> 5)
+        """For the first ``n`` lanes: the ids that order 1 and order 2 foretell, and the bounds, of 2^24, below which order 2
+        is right and below which order 1 is."""
+        self.at = self.own_guesses[:, :n].copy()
+        spread = self.last[:n] * 40503
+        self.at[0] += (spread >> 3) & ((1 << _ORDER1) - 1)
+        self.at[1] += ((spread + self.before[:n] * 30011) >> 3) & ((1 << _ORDER2) - 1)
+        self.held = self.guesses.take(self.at)
+        self.ids, self.trust = self.held & 0xFFFF, self.held >> 16
+        self.where = self.own_chances[:, :n].copy()
+        self.where[0] += self.trust[1]
+        self.where[1:] += self.trust[0] * 2 + (self.ids[0] == self.ids[1])
+        self.chance = self.chances.take(self.where)
+        self.stretched = _STRETCH.take(self.chance[:2])
+        mixed = self.weights[:, :n] * self.stretched
+        mixed = (mixed[0] + mixed[1]) >> 16
+        self.p = _SQUASH.take(np.minimum(np.maximum(mixed, -2047), 2047) + 2047)
+        second = np.minimum(np.maximum(self.chance[2], 1), 4095)
+        low = self.p << 12
+        return self.ids[0], self.ids[1], low, low + (4096 - self.p) * second
+
+    def learn(self, hit1: np.ndarray, hit2: np.ndarray, now: np.ndarray) -> None:
+        """``hit1`` tells whether order 1 was right, whatever order 2 said."""
+        n = len(now)
+        wanted = hit2 * np.int32(4095)
+        self.weights[:, :n] += (self.stretched * ((wanted - self.p) * 6)) >> 14
+        moved = self.chance
+        moved[:2] += (wanted - moved[:2]) >> 5
+        moved[2] += np.where(hit2, 0, (hit1 * np.int32(4095) - moved[2]) >> 5)
+        self.chances[self.where] = moved
+        up = self.held + ((self.trust < 15) * np.int32(1 << 16))
+        down = np.where(self.trust > 1, self.ids, now) + (self.trust >> 1 << 16)
+        self.guesses[self.at] = np.where(np.stack([hit1, hit2]), up, down)
+        self.before[:n] = self.last[:n]
+        self.last[:n] = now
 
     def row(self, lanes: np.ndarray, step: int, prefix: np.ndarray) -> np.ndarray:
         return lanes * _CONTEXTS + _PREFIX_BASE[step] + (prefix & 1023)
 
-    def learn_symbol(self, rows: np.ndarray, own: np.ndarray, symbol: np.ndarray) -> None:
-        own = own.astype(np.int32)
-        self.spell[rows] = (own + ((_TARGETS[symbol] - own) >> _RATE)).astype(np.uint16)
-
-    def learn_id(self, ids: np.ndarray) -> None:
-        n = len(ids)
-        for guess, trust, at in ((self.guess[0], self.trust[0], self.at1), (self.guess[1], self.trust[1], self.at2)):
-            own, sure = guess[at], trust[at]
-            same = own == ids
-            trust[at] = np.where(same, np.minimum(sure + 1, 15), sure >> 1)
-            guess[at] = np.where(same | (sure > 1), own, ids)
-        self.before[:n] = self.last[:n]
-        self.last[:n] = ids
+    def learn_symbols(self, rows: np.ndarray, own: np.ndarray, symbols: np.ndarray) -> None:
+        own += (_TARGETS.take(symbols, 0) - own) >> _RATE
+        np.put(self.whole_rows, rows, own.view("V32").ravel())
+
+
+def _bounds(own: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first place and the number of places, of 32768, of a symbol in each row of cumulative frequencies.
+
+    Every row begins with 0, which modulo 32768 is where the row before it ends.
+    """
+    flat, at = own.ravel(), np.arange(0, own.size, 16) + symbols
+    start = flat.take(at).astype(np.int64)
+    return start, (flat.take(at + 1, mode="wrap") - start) & 32767
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
@@ -123,119 +131,115 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     ids = np.zeros((int(sizes.max(initial=0)), lanes), np.uint16)
     for k, b in enumerate(blocks):
         ids[: len(b), k] = b
-    low, span, at = np.zeros(lanes, np.uint64), np.full(lanes, _LOW), np.zeros(lanes, np.int64)
-    out = np.zeros((lanes, len(ids) * 3 // 2 + 64), np.uint32)
-
-    def put(lane: np.ndarray, start: np.ndarray, size: np.ndarray, bits: int) -> None:
-        r = span[lane] >> np.uint64(bits)
-        l = low[lane] + r * start.astype(np.uint64)
-        r = r * size.astype(np.uint64)
-        over = np.flatnonzero(l > _LOW)
+    low, span, at = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64), np.zeros(lanes, np.int64)
+    out = np.zeros((lanes, len(ids) // 2 + 256), np.uint64)
+
+    def put(lane: np.ndarray, l: np.ndarray, r: np.ndarray, start: np.ndarray, size: np.ndarray, bits: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+        r = r >> bits
+        moved = l + r * start.astype(np.uint64)
+        r *= size.astype(np.uint64)
+        over = (moved < l).nonzero()[0]
         if len(over):
             k = lane[over]
-            out[k, at[k] - 1] += 1
-            l &= _LOW
-        short = np.flatnonzero(r < 65536)
+            out[k, at[k] - 1] += np.uint64(1)
+        short = (r <= _FULL).nonzero()[0]
         if len(short):
-            k = lane[short]
-            out[k, at[k]] = (l[short] >> _U16).astype(np.uint32)
+            k, full = lane[short], moved[short]
+            out[k, at[k]] = full >> _WORD
             at[k] += 1
-            l[short] = (l[short] << _U16) & _LOW
-            r[short] <<= _U16
-        low[lane], span[lane] = l, r
+            moved[short] = full << _WORD
+            r[short] <<= _WORD
+        return moved, r
 
     for t in range(len(ids)):
         n = int(np.searchsorted(-sizes, -t, "left"))
-        now = ids[t, :n].astype(np.int64)
-        if t % 64 == 0 and int(at.max()) + 64 * 7 > out.shape[1]:
+        now = ids[t, :n].astype(np.int32)
+        if t % 64 == 0 and int(at.max()) + 64 * 3 > out.shape[1]:
             out = np.concatenate([out, np.zeros_like(out)], 1)
-        g1, g2, p = model.foretell(n)
-        hit = now == g2
-        put(model.lane[:n], np.where(hit, 0, p), np.where(hit, p, 4096 - p), 12)
-        model.learn_first(hit)
-        rest = np.flatnonzero(~hit)
+        g1, g2, below2, below1 = model.foretell(n)
+        hit1, hit2 = now == g1, now == g2
+        start = np.where(hit2, 0, np.where(hit1, below2, below1))
+        stop = np.where(hit2, below2, np.where(hit1, below1, 1 << 24))
+        low[:n], span[:n] = put(model.lane, low[:n], span[:n], start, stop - start, _FIRST)
+        rest = (~(hit1 | hit2)).nonzero()[0]
         if len(rest):
-            q, hit = model.chance_second(rest), now[rest] == g1[rest]
-            put(rest, np.where(hit, 0, q), np.where(hit, q, 4096 - q), 12)
-            model.learn_second(rest, hit)
-            rest = rest[~hit]
-            spelt = now[rest]
-            for step in range(4 if len(rest) else 0):
-                prefix, symbol = spelt >> (16 - 4 * step), (spelt >> (12 - 4 * step)) & 15
-                rows = model.row(rest, step, prefix)
-                own = model.spell[rows]
-                k = np.arange(len(rest))
-                start = own[k, symbol].astype(np.int64)
-                stop = np.where(symbol < 15, own[k, np.minimum(symbol + 1, 15)].astype(np.int64), 32768)
-                put(rest, start, stop - start, 15)
-                model.learn_symbol(rows, own, symbol)
-        model.learn_id(now)
+            spelt, k = now[rest], len(rest)
+            symbols = np.concatenate([spelt >> 12, (spelt >> 8) & 15, (spelt >> 4) & 15, spelt & 15])
+            rows = np.concatenate([model.row(rest, step, spelt >> (16 - 4 * step)) for step in range(4)])
+            own = model.spell.take(rows, 0)
+            start, size = _bounds(own, symbols)
+            model.learn_symbols(rows, own, symbols)
+            l, r = low[rest], span[rest]
+            for a in (0, 2 * k):
+                start_a, size_a, start_b, size_b = start[a : a + k], size[a : a + k], start[a + k : a + 2 * k], size[a + k : a + 2 * k]
+                l, r = put(rest, l, r, (start_a << 15) + size_a * start_b, size_a * size_b, _SPELT)
+            low[rest], span[rest] = l, r
+        model.learn(hit1, hit2, now)
     words = []
     for k in range(lanes):
-        own = [*out[k, : at[k]].tolist(), int(low[k]) >> 16, int(low[k]) & 0xFFFF]
-        carry = 0
-        for i in range(len(own) - 1, -1, -1):
-            v = own[i] + carry
-            if v <= 0xFFFF and not carry:
-                continue
-            own[i], carry = v & 0xFFFF, v >> 16
-        words.append(np.array(own, "<u2").tobytes())
+        own = np.append(out[k, : at[k]], [low[k] >> _WORD, low[k] & _FULL])
+        over = own >> _WORD
+        while over.any():
+            own &= _FULL
+            own[:-1] += over[1:]
+            over = own >> _WORD
+        words.append(own.astype("<u4").tobytes())
     return words
 
 
 def decode_blocks(words: list[bytes], sizes: np.ndarray) -> list[np.ndarray]:
     """The ids of each block; blocks come longest first."""
     lanes, model = len(words), _Model(len(words))
-    most = max(map(len, words), default=0) // 2 + 64
-    code = np.zeros((lanes, most), np.uint64)
+    most = max(map(len, words), default=0) // 4 + 64
+    code = np.zeros((lanes, most), np.uint32)
     for k, w in enumerate(words):
-        code[k, : len(w) // 2] = np.frombuffer(w, "<u2")
-    value, span, at = (code[:, 0] << _U16) | code[:, 1], np.full(lanes, _LOW), np.full(lanes, 2, np.int64)
+        code[k, : len(w) // 4] = np.frombuffer(w, "<u4")
+    flat, home = code.ravel(), np.arange(lanes) * most
+    value, span, at = (code[:, 0].astype(np.uint64) << _WORD) | code[:, 1], np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64), np.full(lanes, 2, np.int64)
     ids = np.zeros((int(sizes.max(initial=0)), lanes), np.uint16)
 
-    def take(lane: np.ndarray, r: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
-        v = value[lane] - r * start.astype(np.uint64)
+    def take(lane: np.ndarray, v: np.ndarray, r: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        v = v - r * start.astype(np.uint64)
         r = r * size.astype(np.uint64)
-        short = np.flatnonzero(r < 65536)
+        short = (r <= _FULL).nonzero()[0]
         if len(short):
             k = lane[short]
-            v[short] = (v[short] << _U16) | code[k, np.minimum(at[k], most - 1)]
+            v[short] = (v[short] << _WORD) | flat[home[k] + np.minimum(at[k], most - 1)]
             at[k] += 1
-            r[short] <<= _U16
-        value[lane], span[lane] = v, r
+            r[short] <<= _WORD
+        return v, r
 
     for t in range(len(ids)):
         n = int(np.searchsorted(-sizes, -t, "left"))
-        g1, g2, p = model.foretell(n)
-        lane = model.lane[:n]
-        r = span[:n] >> np.uint64(12)
-        hit = value[:n] < r * p.astype(np.uint64)
-        take(lane, r, np.where(hit, 0, p), np.where(hit, p, 4096 - p))
-        model.learn_first(hit)
-        now = g2.astype(np.int64)
-        rest = np.flatnonzero(~hit)
+        g1, g2, below2, below1 = model.foretell(n)
+        r = span[:n] >> _FIRST
+        hit2, under = value[:n] < r * below2.astype(np.uint64), value[:n] < r * below1.astype(np.uint64)
+        start = np.where(hit2, 0, np.where(under, below2, below1))
+        stop = np.where(hit2, below2, np.where(under, below1, 1 << 24))
+        value[:n], span[:n] = take(model.lane, value[:n], r, start, stop - start)
+        now = np.where(hit2, g2, g1)
+        rest = (~under).nonzero()[0]
         if len(rest):
-            q, r = model.chance_second(rest), span[rest] >> np.uint64(12)
-            hit = value[rest] < r * q.astype(np.uint64)
-            take(rest, r, np.where(hit, 0, q), np.where(hit, q, 4096 - q))
-            model.learn_second(rest, hit)
-            now[rest] = g1[rest]
-            rest = rest[~hit]
-            spelt = np.zeros(len(rest), np.int64)
-            for step in range(4 if len(rest) else 0):
-                rows = model.row(rest, step, spelt)
-                own = model.spell[rows]
-                r = span[rest] >> np.uint64(15)
-                place = np.minimum(value[rest] // r, np.uint64(32767)).astype(np.uint16)
-                symbol = (own <= place[:, None]).sum(1) - 1
-                k = np.arange(len(rest))
-                start = own[k, symbol].astype(np.int64)
-                stop = np.where(symbol < 15, own[k, np.minimum(symbol + 1, 15)].astype(np.int64), 32768)
-                take(rest, r, start, stop - start)
-                model.learn_symbol(rows, own, symbol)
-                spelt = spelt << 4 | symbol
+            spelt, v, r = np.zeros(len(rest), np.int64), value[rest], span[rest]
+            rows, owns, symbols = [], [], []
+            for step in range(0, 4, 2):
+                r >>= _SPELT
+                place = np.minimum(v // r, np.uint64((1 << 30) - 1)).astype(np.int64)
+                above, first, width = place >> 15, 0, 1
+                for more in (0, 1):
+                    rows.append(model.row(rest, step + more, spelt))
+                    owns.append(model.spell.take(rows[-1], 0))
+                    fits = (owns[-1] <= above.astype(np.int16)[:, None]).view(np.uint64)
+                    symbols.append((np.bitwise_count(fits[:, 0]) + np.bitwise_count(fits[:, 1])).astype(np.int64) - 1)
+                    start, size = _bounds(owns[-1], symbols[-1])
+                    first, width = (first << 15) + width * start if more else start, width * size
+                    above = above if more else ((place - (first << 15)) / width).astype(np.int64)  # exact below 2^53
+                    spelt = spelt << 4 | symbols[-1]
+                v, r = take(rest, v, r, first, width)
+            value[rest], span[rest] = v, r
+            model.learn_symbols(np.concatenate(rows), np.concatenate(owns), np.concatenate(symbols))
             now[rest] = spelt
-        model.learn_id(now)
+        model.learn(now == g1, now == g2, now)
         ids[t, :n] = now
     return [ids[:s, k] for k, s in enumerate(sizes.tolist())]
 

@@ -64,3 +64,14 @@ def F_id():
 def test_empty_table(spark, tmp_path):
     write_ids(spark.createDataFrame([], "doc_id long, text string"), str(tmp_path / "none"))
     assert read_ids(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_many_lanes_advance_together(monkeypatch):
+    """A step costs its numpy calls however few lanes it moves, so a million ids take few steps; their bytes stay few."""
+    steps, foretell = [], id_files._Model.foretell
+    monkeypatch.setattr(id_files._Model, "foretell", lambda model, n: steps.append(n) or foretell(model, n))
+    ids = np.minimum(np.random.default_rng(5).zipf(1.3, 1_000_000), 49_000).astype(np.uint16)
+    coded, checks = id_files._frame(ids)
+    assert (read_frame(coded, checks, len(ids)) == ids).all()
+    assert len(steps) <= 2 * 2048 and sum(steps) == 2 * len(ids)
+    assert sum(map(len, coded)) < 1.3 * len(ids)
