@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lakemart.functions.scalars import hex_to_long
 from lakemart.workspace import durable
 
 
@@ -44,14 +45,25 @@ def dataset_checksum(df: DataFrame, columns: Sequence[Column | str]) -> DataFram
     """Row count and content checksum that do not depend on row order.
 
     Four 60-bit slices of every row digest are added up, so partial sums combine on the map side and no
-    sort and no single-task concatenation is needed.
+    sort and no single-task concatenation is needed. Batches of digests are added up as machine integers.
     """
-    digest = df.select(row_digest(columns).alias("d"))
-    slices = [
-        F.sum(hex_to_long(F.col("d"), 1 + 15 * i, 15).cast("decimal(28,0)")).cast("string").alias(f"slice_{i}")
-        for i in range(4)
-    ]
-    sums = digest.agg(F.count("*").alias("row_count"), *slices)
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, (_, ends, data) = batch.num_rows, batch.column(0).buffers()
+            if not n:
+                continue
+            first = np.frombuffer(ends, np.int32)[batch.column(0).offset]
+            words = np.frombuffer(data, ">u8", 4 * n, int(first)).astype(np.uint64).reshape(n, 4)
+            slices = words >> np.array([4, 8, 12, 16], np.uint64)
+            slices[:, 1:] |= (words[:, :3] << np.array([56, 52, 48], np.uint64)) & np.uint64((1 << 60) - 1)
+            sums = [(slices >> np.uint64(30)).sum(0), (slices & np.uint64((1 << 30) - 1)).sum(0)]
+            yield pa.RecordBatch.from_pydict({"n": [n], **{f"{half}_{i}": [int(s[i])] for half, s in zip(("high", "low"), sums) for i in range(4)}})
+
+    parts = ", ".join(f"{half}_{i} bigint" for half in ("high", "low") for i in range(4))
+    digest = df.select(F.unhex(row_digest(columns)).alias("d")).mapInArrow(add_up, f"n bigint, {parts}")
+    total = lambda c: F.sum(F.col(c).cast("decimal(28,0)"))
+    slices = [(total(f"high_{i}") * F.lit(1 << 30) + total(f"low_{i}")).cast("decimal(38,0)").cast("string").alias(f"slice_{i}") for i in range(4)]
+    sums = digest.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), *slices)
     names = [f"slice_{i}" for i in range(4)]
     return sums.select("row_count", *names, F.sha2(F.concat_ws("|", *names), 256).alias("checksum"))
 
@@ -70,14 +82,30 @@ def idempotency_report(runs: Sequence[DataFrame], keys: Sequence[str], columns:
     return report
 
 
-def repeated_loads(raw: DataFrame, keys: Sequence[str], columns: Sequence[Column | str], order: Sequence[Column | str],
+def merge_first(stored: DataFrame, raw: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``stored``, which has one row per key, after ``raw`` is merged into it: ``keep_first`` over both.
+
+    Only rows that come before what is stored, or have a new key, are sorted and written; the files of ``stored`` stay.
+    """
+    def named(prefix: str) -> list[Column]:
+        return [F.col(k).alias(prefix + k) for k in keys]
+
+    def same(prefix: str) -> list[Column]:
+        return [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys]
+
+    held = stored.select(*named("_held_"), F.struct(*order).alias("_held"))
+    earlier = raw.join(held, same("_held_"), "left").where(F.col("_held").isNull() | (F.struct(*order) < F.col("_held")))
+    changes = durable(keep_first(earlier.select(*raw.columns), keys, order), "changes")
+    return stored.join(changes.select(*named("_new_")), same("_new_"), "left_anti").unionByName(changes)
+
+
+def repeated_loads(raw: DataFrame, keys: Sequence[str], columns: Sequence[Column | str], order: Sequence[str],
                    runs: int = 3) -> DataFrame:
     """Load the same rows again and again into one table, each time merged with what it holds; one row per load with
     the rows it brought, the rows the table holds after it, and the table's checksum as read back."""
     stored, report = None, None
     for number in range(1, runs + 1):
-        loaded = raw if stored is None else stored.unionByName(raw)
-        stored = durable(keep_first(loaded, keys, order), "loaded")
+        stored = durable(keep_first(raw, keys, order), "loaded") if stored is None else merge_first(stored, raw, keys, order)
         row = dataset_checksum(stored, columns).select(F.lit(number).alias("run"), F.col("row_count").alias("kept_rows"), "checksum")
         report = row if report is None else report.unionByName(row)
     brought = raw.agg(F.count("*").alias("raw_rows"))

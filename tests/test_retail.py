@@ -1,6 +1,7 @@
 """De-duplication, point-in-time joins, slices, marts and reconciliation."""
 
 import datetime as dt
+import hashlib
 import random
 from decimal import Decimal
 
@@ -209,6 +210,41 @@ def test_idempotency_report(lines):
     assert [r.removed_rows for r in report.orderBy("run").collect()] == [0, 7, 7]
 
 
+def test_repeated_loads_write_only_what_changes(spark, lines, monkeypatch):
+    written, write = [], dedup.durable
+
+    def watched(df, label):
+        table = write(df, label)
+        written.append(table.count())
+        return table
+
+    monkeypatch.setattr(dedup, "durable", watched)
+    report = dedup.repeated_loads(lines.unionByName(lines), ["bill_no", "line_no"], lines.columns, lines.columns[2:])
+    assert dedup.is_idempotent(report).first() == (3, True) and {r.removed_rows for r in report.collect()} == {7}
+    assert written == [lines.count(), 0, 0]
+
+
+def test_merging_a_load_is_keep_first_over_both(spark):
+    kinds = "bill int, line int, day date, v int"
+    stored = spark.createDataFrame([(1, 1, D(2024, 1, 2), 5), (1, None, None, 3), (None, 2, D(2024, 1, 1), 1), (4, 4, None, None)], kinds)
+    raw = spark.createDataFrame([
+        (1, 1, D(2024, 1, 1), 9), (1, 1, D(2024, 1, 2), 4), (1, None, None, 3), (None, 2, None, 7), (4, 4, None, 0), (None, None, None, 2),
+        (None, None, None, 1), (6, 1, D(2024, 1, 3), 2),
+    ], kinds)
+    got, want = dedup.merge_first(stored, raw, ["bill", "line"], ["day", "v"]), dedup.keep_first(stored.union(raw), ["bill", "line"], ["day", "v"])
+    assert got.columns == want.columns and sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_checksum_adds_up_the_slices_of_the_digests(spark):
+    """Over more rows than a batch holds, and over none."""
+    rows = spark.range(25_000, numPartitions=2).select("id")
+    got = dedup.dataset_checksum(rows, ["id"]).first()
+    digests = [hashlib.sha256(f"={i}".encode()).hexdigest() for i in range(25_000)]
+    sums = [str(sum(int(d[15 * k : 15 * k + 15], 16) for d in digests)) for k in range(4)]
+    assert tuple(got) == (25_000, *sums, hashlib.sha256("|".join(sums).encode()).hexdigest())
+    assert tuple(dedup.dataset_checksum(rows.where("id < 0"), ["id"]).first()) == (0, None, None, None, None, hashlib.sha256(b"").hexdigest())
+
+
 def test_missing_days(spark, rows):
     df = spark.createDataFrame(
         [("S1", D(2024, 7, 2)), ("S1", D(2024, 7, 2)), ("S1", D(2024, 7, 6)), ("S2", D(2024, 6, 1)), ("S3", D(2024, 7, 1)),
