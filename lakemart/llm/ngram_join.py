@@ -215,7 +215,10 @@ def _buckets(docs: DataFrame, shingle: int, bands: Bands, groups: int) -> DataFr
         _, once = np.unique(same, return_index=True)
         best = np.lexsort((s, -met, np.repeat(np.arange(len(sizes)), sizes)))[starts]
         lists = [s[starts[i] : starts[i] + sizes[i]] for i in once]
-        return pa.table({"center": pa.array(s[best][once]), "members": pa.array(lists, pa.list_(pa.int64()))})
+        found = pa.table({"center": pa.array(s[best][once]), "members": pa.array(lists, pa.list_(pa.int64()))})
+        del k, s, lists, order, fresh, kinds, back, met
+        release_memory()
+        return found
 
     filed = docs.mapInArrow(file, "p int, keys binary, sigs binary")
     return durable(filed.groupBy("p").applyInArrow(meet, "center bigint, members array<bigint>"), "buckets")
