@@ -9,6 +9,7 @@ import ctypes
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +20,15 @@ ROWS_BYTES = 1 << 22
 KNOWN_SEGMENTS = 1 << 21
 KNOWN_IDS = 1 << 23
 LONG_SEGMENT = 64
+JOINED = 128
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
+_UNCHANGED = re.compile("[\x00-\x7f\xa1-\u02ff]*")  # no mark that joins a letter, no white space but ASCII's
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit values (a bijection)."""
     x = x ^ (x >> np.uint64(32))
@@ -158,6 +163,8 @@ class Encoder:
     split there, so the ids of the segments, one after the other, are those of the text. White space beyond ASCII
     could join a run of spaces that a segment would cut; for ``byte`` such texts are encoded whole. An added token of the
     file (``<|endoftext|>``) is found in the text as it stands, as the tokenizer does, and is a segment of its own.
+    Where white space is dropped, new segments whose letters no normalisation changes go to the tokenizer in runs with a
+    space between, where it always splits; the bytes that the ids stand for tell where each one ends.
     Known segments of up to 64 bytes live in sorted arrays of bounded length, with their ids; a hash of 64 bits stands for one.
     """
 
@@ -172,6 +179,9 @@ class Encoder:
         self.added = re.compile(b"|".join(map(re.escape, names))) if names else None
         self.keep_space, self.fold = kind == "byte", kind == "word"
         self.width = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        vocabulary = self.tokenizer.get_vocab()
+        self.spelt = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)  # the bytes that an id stands for
+        self.spelt[list(vocabulary.values())] = [len(t.removesuffix("</w>")) for t in vocabulary]
         self._forget()
 
     def _forget(self) -> None:
@@ -181,6 +191,21 @@ class Encoder:
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_runs(self, texts: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, counts)`` of segments that may be joined; ``sizes`` are their bytes without white space."""
+        runs = self._encode([" ".join(texts[i : i + JOINED]) for i in range(0, len(texts), JOINED)])
+        flat = np.fromiter(chain.from_iterable(runs), self.width, sum(map(len, runs)))
+        spelt, ends = np.concatenate([[0], np.cumsum(self.spelt.take(flat))]), np.cumsum(sizes)
+        upto = np.minimum(np.searchsorted(spelt, ends), len(flat))
+        if (spelt[upto] != ends).any() or not self.spelt.take(flat).all():
+            return self._encode_each(texts)
+        return flat, np.diff(upto, prepend=0)
+
+    def _encode_each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = self._encode(texts)
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), self.width, int(counts.sum())), counts
+
     def _segments(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, counts)`` of the segments of one piece. One that fills a piece alone is not hashed."""
         if len(starts) == 1 and len(data) > PIECE:
@@ -192,9 +217,17 @@ class Encoder:
         new = np.flatnonzero(~known)
         begin, end = starts[first[new]], ends[first[new]]
         raw = data.tobytes()
-        ids = self._encode([raw[s:e].decode("utf-8", "replace") for s, e in zip(begin.tolist(), end.tolist())])
-        counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        fresh = np.fromiter((i for x in ids for i in x), self.width, int(counts.sum()))
+        texts = [raw[s:e].decode("utf-8", "replace") for s, e in zip(begin.tolist(), end.tolist())]
+        if self.fold:
+            joined = np.fromiter((_UNCHANGED.fullmatch(x) is not None and x == x.lower() for x in texts), bool, len(texts))
+            order = np.argsort(~joined, kind="stable")
+            new, begin, end, n = new[order], begin[order], end[order], int(joined.sum())
+            texts = [texts[k] for k in order.tolist()]
+            solid = np.concatenate([[0], np.cumsum(~is_space(data))])
+            parts = [self._encode_runs(texts[:n], (solid[end] - solid[begin])[:n]), self._encode_each(texts[n:])]
+            fresh, counts = (np.concatenate(x) for x in zip(*parts))
+        else:
+            fresh, counts = self._encode_each(texts)
         lengths, at = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
         lengths[new], at[new] = counts, len(self.flat) + np.cumsum(counts) - counts
         if len(self.keys):

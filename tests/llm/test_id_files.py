@@ -1,5 +1,6 @@
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -7,6 +8,7 @@ from tokenizers import Tokenizer
 
 from lakemart.llm import id_files
 from lakemart.llm.id_files import decode_blocks, encode_blocks, read_frame, read_ids, write_ids
+from lakemart.llm.textops import Encoder
 
 BLOCKS = st.lists(st.one_of(
     st.lists(st.integers(0, 65535), min_size=1, max_size=60), st.lists(st.sampled_from([0, 1, 65535, 300]), min_size=1, max_size=200),
@@ -75,3 +77,39 @@ def test_many_lanes_advance_together(monkeypatch):
     assert (read_frame(coded, checks, len(ids)) == ids).all()
     assert len(steps) <= 2 * 2048 and sum(steps) == 2 * len(ids)
     assert sum(map(len, coded)) < 1.3 * len(ids)
+
+
+def test_six_thousand_blocks_advance_together(monkeypatch):
+    """A frame of ten million ids takes as many steps as one block, and order 0 takes no row of frequencies for each id."""
+    steps, foretell = [], id_files._Model.foretell
+    monkeypatch.setattr(id_files._Model, "foretell", lambda model, n: steps.append(n) or foretell(model, n))
+    monkeypatch.setattr(id_files, "BLOCK", 40)
+    ids = np.minimum(np.random.default_rng(6).zipf(1.3, 40 * 6000), 49_000).astype(np.uint16)
+    coded, checks = id_files._frame(ids)
+    assert (read_frame(coded, checks, len(ids)) == ids).all()
+    assert len(steps) == 2 * 40
+
+
+def test_frequencies_of_a_block_are_counted_anew():
+    """Ids without order, a few of them frequent, take no more than their entropy and two bytes for the first sight of each."""
+    rng = np.random.default_rng(7)
+    chance = 1 / np.arange(1, 301)
+    blocks = [rng.choice(rng.choice(49_000, 300, False), 2048, p=chance / chance.sum()).astype(np.uint16) for _ in range(20)]
+    entropy = -(chance / chance.sum() * np.log2(chance / chance.sum())).sum() / 8
+    first = 2 * sum(len(np.unique(b)) for b in blocks)
+    coded = encode_blocks(blocks)
+    assert all((a == b).all() for a, b in zip(blocks, decode_blocks(coded, np.full(20, 2048))))
+    assert sum(map(len, coded)) < 20 * 2048 * entropy + first
+
+
+@pytest.mark.parametrize("many", [1, 300])
+def test_new_segments_go_to_the_tokenizer_in_runs(monkeypatch, many):
+    sent, encode = [], Encoder._encode
+    monkeypatch.setattr(Encoder, "_encode", lambda coder, texts: sent.extend(texts) or encode(coder, texts))
+    odd = ["café café STRASSE straße İstanbul ǅ ΣΣ naïve", "a b\u0085c ́x  y 's don't 12 3", "<|endoftext|> <|ENDOFTEXT|> \x00\x1c\x1f .. !?", "", " \t\n"]
+    texts = odd + [f"w{i:x}q z{i * 7919:x}, {chr(0xe0 + i % 30)}k{i}" for i in range(many)]
+    ids, counts = Encoder(public_tokenizers.path("word_bpe_49k.json"), "word").encode(pa.array(texts))
+    plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = [plain.encode(x, add_special_tokens=False).ids for x in texts]
+    assert counts.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+    assert len(sent) < 40
