@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm.packing import with_offsets
-from lakemart.llm.textops import encoder
+from lakemart.llm.textops import by_bytes, encoder, release_memory
 
 BLOCK = 2048
 LANES = 6144
-_GROUPS, _FIRSTS, _SECONDS = 8, 2, 12  # 2^8 groups of 4 guesses of order 1 and 12 of order 2, a cache line each
+_GROUPS, _FIRSTS, _SECONDS = 7, 2, 12  # 2^7 groups of 4 guesses of order 1 and 12 of order 2, a cache line each
 _GUESSES = 16 << _GROUPS
 _CHANCES = 16 + 32 + 32
 _SLOTS = 4096
@@ -176,6 +176,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     lanes, model = len(blocks), _Model(len(blocks))
     sizes = np.array([len(b) for b in blocks])
     most = int(sizes.max(initial=0))
+    live = np.searchsorted(-sizes, -np.arange(most), "left").tolist()
     ids = np.zeros((lanes, most), np.uint16)
     for k, b in enumerate(blocks):
         ids[k, : len(b)] = b
@@ -201,14 +202,14 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         return moved, r
 
     for since, until in zip(_COUNTED, (*_COUNTED[1:], max(most, _COUNTED[-1]))):
-        n = int(np.searchsorted(-sizes, -since, "left"))
-        if not n:
+        if since >= most:
             break
+        n = live[since]
         coming = ids[:n, since:until]
         firsts, widths, lengths = (np.ascontiguousarray(x.T) for x in _Counts(ids[:n, :since]).find(coming))
         coming = np.ascontiguousarray(coming.T)
         for t in range(len(coming)):
-            n = int(np.searchsorted(-sizes, -(since + t), "left"))
+            n = live[since + t]
             now = coming[t, :n].astype(np.int32)
             if t % 64 == 0 and int(at.max()) + 64 * 2 > out.shape[1]:
                 out = np.concatenate([out, np.zeros_like(out)], 1)
@@ -249,6 +250,7 @@ def decode_blocks(words: list[bytes], sizes: np.ndarray) -> list[np.ndarray]:
     flat, home = code.ravel(), np.arange(lanes) * most
     value, span, at = (code[:, 0].astype(np.uint64) << _WORD) | code[:, 1], np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64), np.full(lanes, 2, np.int64)
     longest = int(sizes.max(initial=0))
+    live = np.searchsorted(-sizes, -np.arange(longest), "left").tolist()
     ids = np.zeros((longest, lanes), np.uint16)
 
     def take(lane: np.ndarray, v: np.ndarray, r: np.ndarray, start: np.ndarray, size: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
@@ -265,13 +267,13 @@ def decode_blocks(words: list[bytes], sizes: np.ndarray) -> list[np.ndarray]:
 
     lane = np.arange(lanes)
     for since, until in zip(_COUNTED, (*_COUNTED[1:], max(longest, _COUNTED[-1]))):
-        n = int(np.searchsorted(-sizes, -since, "left"))
-        if not n:
+        if since >= longest:
             break
+        n = live[since]
         counts = _Counts(np.ascontiguousarray(ids[:since, :n].T))
         slots, own_slots, base, entries = counts.slots(), lane[:n] * _SLOTS, counts.base, counts.entries
         for t in range(since, min(until, longest)):
-            n = int(np.searchsorted(-sizes, -t, "left"))
+            n = live[t]
             g1, g2, below2, below1 = model.foretell(n)
             r = span[:n] >> _STEP
             place = np.minimum(value[:n] // r, np.uint64((1 << 30) - 1)).astype(np.int32)
@@ -344,7 +346,7 @@ def write_ids(
                 ["part", "before", "n_ids", "doc_ids", "counts", "blocks", "checks"],
             )
 
-        for batch in batches:
+        for batch in (small for batch in batches for small in by_bytes(batch, 1)):
             flat, counts = coder.encode(batch.column(1))
             if flat.dtype != np.uint16:
                 raise ValueError("ids of more than 16 bits")
@@ -364,6 +366,7 @@ def write_ids(
                 at = to
         if held:
             yield frame()
+        release_memory()
 
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

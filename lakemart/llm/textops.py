@@ -169,9 +169,13 @@ class Encoder:
     """
 
     def __init__(self, path: str, kind: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = self.plain = Tokenizer.from_file(path)
+        letters = "".join(x for x in map(chr, range(0x300)) if _UNCHANGED.fullmatch(x) and x == x.lower() and (x == " " or not x.isspace()))
+        if self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str(letters) == letters:
+            self.plain = Tokenizer.from_file(path)  # for texts that normalising would leave as they are
+            self.plain.normalizer = normalizers.Sequence([])
         added = self.tokenizer.get_added_tokens_decoder().values()
         if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added):
             raise ValueError("added tokens that take in their surroundings are not supported")
@@ -188,13 +192,17 @@ class Encoder:
         self.keys, self.at = np.empty(0, np.uint64), np.empty(0, np.int64)
         self.lengths, self.flat = np.empty(0, np.int64), np.empty(0, self.width)
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, texts: list[str], plain: bool = False) -> list[list[int]]:
+        tokenizer = self.plain if plain else self.tokenizer
+        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode_runs(self, texts: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, counts)`` of segments that may be joined; ``sizes`` are their bytes without white space."""
-        runs = self._encode([" ".join(texts[i : i + JOINED]) for i in range(0, len(texts), JOINED)])
-        flat = np.fromiter(chain.from_iterable(runs), self.width, sum(map(len, runs)))
+        parts = [np.empty(0, self.width)]
+        for a in range(0, len(texts), 64 * JOINED):  # what the tokenizer returns is many times as large as the ids
+            runs = self._encode([" ".join(texts[i : i + JOINED]) for i in range(a, min(a + 64 * JOINED, len(texts)), JOINED)], plain=True)
+            parts.append(np.fromiter(chain.from_iterable(runs), self.width, sum(map(len, runs))))
+        flat = np.concatenate(parts)
         spelt, ends = np.concatenate([[0], np.cumsum(self.spelt.take(flat))]), np.cumsum(sizes)
         upto = np.minimum(np.searchsorted(spelt, ends), len(flat))
         if (spelt[upto] != ends).any() or not self.spelt.take(flat).all():
@@ -211,7 +219,7 @@ class Encoder:
         if len(starts) == 1 and len(data) > PIECE:
             ids = np.array(self._encode([data.tobytes().decode("utf-8", "replace")])[0], self.width)
             return ids, np.array([len(ids)])
-        keys, first, back = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        keys, first, back = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
         where = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
         known = self.keys[where] == keys if len(self.keys) else np.zeros(len(keys), bool)
         new = np.flatnonzero(~known)
@@ -219,7 +227,7 @@ class Encoder:
         raw = data.tobytes()
         texts = [raw[s:e].decode("utf-8", "replace") for s, e in zip(begin.tolist(), end.tolist())]
         if self.fold:
-            joined = np.fromiter((_UNCHANGED.fullmatch(x) is not None and x == x.lower() for x in texts), bool, len(texts))
+            joined = np.fromiter((x.isascii() or (_UNCHANGED.fullmatch(x) is not None and x == x.lower()) for x in texts), bool, len(texts))
             order = np.argsort(~joined, kind="stable")
             new, begin, end, n = new[order], begin[order], end[order], int(joined.sum())
             texts = [texts[k] for k in order.tolist()]

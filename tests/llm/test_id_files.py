@@ -105,7 +105,7 @@ def test_frequencies_of_a_block_are_counted_anew():
 @pytest.mark.parametrize("many", [1, 300])
 def test_new_segments_go_to_the_tokenizer_in_runs(monkeypatch, many):
     sent, encode = [], Encoder._encode
-    monkeypatch.setattr(Encoder, "_encode", lambda coder, texts: sent.extend(texts) or encode(coder, texts))
+    monkeypatch.setattr(Encoder, "_encode", lambda coder, texts, **how: sent.extend(texts) or encode(coder, texts, **how))
     odd = ["café café STRASSE straße İstanbul ǅ ΣΣ naïve", "a b\u0085c ́x  y 's don't 12 3", "<|endoftext|> <|ENDOFTEXT|> \x00\x1c\x1f .. !?", "", " \t\n"]
     texts = odd + [f"w{i:x}q z{i * 7919:x}, {chr(0xe0 + i % 30)}k{i}" for i in range(many)]
     ids, counts = Encoder(public_tokenizers.path("word_bpe_49k.json"), "word").encode(pa.array(texts))
