@@ -40,6 +40,7 @@ LANDMARK_POOL = 20
 NEGATIVES = 5000
 HARD_NEGATIVES = 2500
 PIECE_CHARS = 1 << 19
+BLOCK = 1000
 LOOSE = 20.0
 _SLOTS = 1 << 20
 _GAPS = [(a, b, c) for c in range(3, REACH + 1) for b in range(2, c) for a in range(1, b)]
@@ -163,14 +164,13 @@ def _cut(text: str) -> Iterator[str]:
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3) -> np.ndarray:
-    """A linear machine with squared hinge loss, by Newton steps; the last coefficient is the bias."""
-    x = np.column_stack([x, np.ones(len(x), x.dtype)])
+    """A linear machine with squared hinge loss, by Newton steps; the last coefficient is the bias, as the last column of ``x`` is 1."""
     beta, ridge = np.zeros(x.shape[1]), penalty * weight.sum() * np.eye(x.shape[1])
     ridge[-1, -1] *= 1e-3
     for _ in range(25):
         active, gram, moment = np.flatnonzero(y * (x @ beta.astype(x.dtype)) < 1), ridge.copy(), np.zeros(x.shape[1])
-        for at in range(0, len(active), 1000):
-            rows = active[at : at + 1000]
+        for at in range(0, len(active), BLOCK):
+            rows = active[at : at + BLOCK]
             some = x[rows].astype(np.float64)
             own = some * weight[rows, None]
             gram += own.T @ some
@@ -246,13 +246,16 @@ def train(
         root = vector[:, strong] / np.sqrt(value[strong])
         bent = sorted({v for w in np.flatnonzero(bad) for v in _bent(every[w])} - {w for w in number if bad[number[w]] or seen[0, number[w]]})
         chosen = np.concatenate([np.flatnonzero(bad), np.flatnonzero(negative)])
-        x = _kernel([*(every[w] for w in chosen), *bent], used, table) @ root.astype(np.float32)
+        x = _features([*(every[w] for w in chosen), *bent], used, table, root.astype(np.float32))
         y = np.concatenate([np.where(bad[chosen], 1.0, -1.0), np.ones(len(bent))])
         weight = np.concatenate([1 + np.log1p(seen[:, chosen].sum(0)), np.full(len(bent), 0.1)])
         weight /= np.where(y > 0, weight[y > 0].sum(), weight[y < 0].sum() / 4)
         beta = _svm(x, y, weight)
         weights = np.zeros(_SLOTS, np.float32)
-        weights[used] = table[:-1] @ (root @ beta[:-1])
+        folded = root @ beta[:-1]
+        for at in range(0, len(used), BLOCK):  # a block at a time is widened to double precision
+            weights[used[at : at + BLOCK]] = table[at : min(at + BLOCK, len(used))] @ folded
+        del parts, place, table, x  # before the next turn makes its own
         model = Model(weights, float(beta[-1]), 0.0, blank.curve)
         if turn == rounds - 1:
             break
@@ -309,6 +312,14 @@ def _kernel(words: list[bytes], used: np.ndarray, table: np.ndarray) -> np.ndarr
     return out
 
 
+def _features(words: list[bytes], used: np.ndarray, table: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """The words' landmark features and a last column of ones, made a block at a time: nothing else of that size is held."""
+    out = np.ones((len(words), root.shape[1] + 1), np.float32)
+    for at in range(0, len(words), BLOCK):
+        out[at : at + BLOCK, :-1] = _kernel(words[at : at + BLOCK], used, table) @ root
+    return out
+
+
 def held_out(id_col: str = "doc_id"):
     """Whether a row is kept from training: one in five, by its id."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
@@ -326,7 +337,7 @@ def fit(
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)")
     known = known.where(~held_out("id"))
-    total = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    total = known.agg(*(F.count_if(F.col("y") == y) for y in (0, 1))).first()
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("key"))
     source = source.where(F.col("id").isNotNull() & F.length("text").between(1, SAMPLE_CHARS))
     usable = source.select("id", "key").distinct().join(known.distinct(), "id")  # ids may repeat on both sides
@@ -334,11 +345,16 @@ def fit(
     for y in (0, 1):
         some = usable.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id", "key").limit(sample)
         picked = some if picked is None else picked.unionByName(some)
-    rows = source.join(F.broadcast(picked), ["id", "key"]).dropDuplicates(["id", "key", "y"]).orderBy(F.xxhash64("id"), "text", "y").collect()
+    found = source.join(F.broadcast(picked), ["id", "key"]).dropDuplicates(["id", "key", "y"])
+    # Put in order here: a sort in Spark reads the sample twice and sends its texts to the driver for bounds as well.
+    rows = sorted(found.select(F.xxhash64("id"), "text", "y").collect())
     texts, toxic = [r["text"] for r in rows], np.array([r["y"] for r in rows], np.int64)
     del rows
-    shares = [total.get(y, 0) / max(1, int((toxic == y).sum())) for y in (0, 1)]
-    return train(texts, toxic, (shares[0], shares[1]), negatives=negatives, hard_negatives=hard_negatives, landmark_pool=landmark_pool)
+    shares = [total[y] / max(1, int((toxic == y).sum())) for y in (0, 1)]
+    model = train(texts, toxic, (shares[0], shares[1]), negatives=negatives, hard_negatives=hard_negatives, landmark_pool=landmark_pool)
+    del texts
+    release_memory()
+    return model
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "toxicity", top_col: str = "top_margin", hits_col: str = "toxic_words") -> DataFrame:

@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -102,3 +103,42 @@ def test_sample_is_drawn_among_texts_that_can_be_learnt_from(spark, monkeypatch)
     (texts, toxic, bounds), = seen
     assert len(set(texts)) == len(texts) == 80 and sum(toxic) == 40 and max(map(len, texts)) < 20
     assert bounds == {"negatives": 7, "hard_negatives": 5, "landmark_pool": 3}
+
+
+def test_driver_holds_little_while_it_trains():
+    """Arrays of words by landmarks are held once, and not in double precision."""
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    vocabulary = ["".join(rng.choice(letters, rng.integers(6, 13))) for _ in range(14_000)]
+    bad, plain = vocabulary[:200], vocabulary[200:]
+    toxic = np.arange(1200) % 2
+    texts = [" ".join([*rng.choice(plain, 60), *rng.choice(bad, 4 * y)]) for y in toxic.tolist()]
+    tracemalloc.start()
+    try:
+        model = toxicity.train(texts, toxic, (1.0, 1.0))
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+    assert (model.weights != 0).any()
+    assert peak < 80, peak
+
+
+def test_driver_handles_few_tasks_for_a_sample(spark):
+    """Neither the count of labels nor the order of the sample deals rows over all shuffle partitions."""
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    sc = spark.sparkContext
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        sc.setJobGroup("toxicity-sample", "fit")
+        toxicity.fit(docs, labels, sample=20)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    status = sc.statusTracker()
+    stages = {s for j in status.getJobIdsForGroup("toxicity-sample") for s in status.getJobInfo(j).stageIds}
+    tasks = [i.numCompletedTasks for i in map(status.getStageInfo, stages) if i]
+    assert 0 < sum(n >= 40 for n in tasks) <= 5, sorted(tasks)
