@@ -3,9 +3,12 @@
 import datetime as dt
 import random
 
+from pyspark.sql import functions as F
+
 from lakemart.operators.dedup import keep_first
 from lakemart.sources import pos
 from lakemart.streaming import keyed as K
+from lakemart.streaming import lines as L
 
 DIALECTS = (
     pos.Dialect("one", ("X01",), ",", ("bill_no", "line_no", "product_code", "qty", "unit_price", "line_type", "ts")),
@@ -77,3 +80,32 @@ def test_same_rows_as_a_batch_where_nothing_is_late(spark, tmp_path):
     want = keep_first(pos.read_lines(spark, str(inbox), DIALECTS), pos.LINE_KEYS, pos.LINE_ORDER).where("business_date < '2024-09-01'")
     assert lines_of(spark, inbox, path, "lines", stream.schema) == sorted(map(tuple, want.select(*stream.schema.names).collect()), key=str)
     assert K.read(spark, path, "late", stream.schema).count() == 0
+
+
+def test_open_days_wait_on_disk_and_each_keeps_its_own_lines(spark, rows, tmp_path):
+    """Many days in one task, lines that come in several forms, null keys; then a line of a closed day sent three times."""
+    inbox, path, progress = (str(tmp_path / n) for n in ("inbox", "out", "progress"))
+    start = dt.date(2020, 1, 1)
+    sent = spark.range(9000).select(
+        F.when(F.col("id") % 500 != 0, F.col("id") % 3000).alias("bill"), F.lit("a").alias("line"), F.pmod(F.xxhash64("id"), F.lit(50)).alias("v"),
+        F.expr("timestamp_seconds(id)").alias("at"), F.date_add(F.lit(start), (F.col("id") % 500).cast("int")).alias("day"),
+    )
+    sent.coalesce(1).write.parquet(f"{inbox}/first")
+    schema = spark.read.parquet(f"{inbox}/first").schema
+
+    def run():
+        stream = L.file_stream(spark, inbox, schema)
+        K.run(K.first_lines(stream.unionByName(L.file_stream(spark, inbox, schema)), ["bill", "line"], ["v", "at"], "day", 30, lanes=1), path, progress)
+
+    run()
+    state = {p.suffix for p in (tmp_path / "progress" / "state").rglob("*") if p.is_file()}
+    assert ".sst" in state and ".delta" not in state  # not in the executors' heaps
+    assert not [k for k in K.SETTINGS if spark.conf.get(k, None) is not None]
+    spark.createDataFrame([(1, "z", 0, dt.datetime(2023, 1, 1), dt.date(2023, 1, 1))], schema).write.parquet(f"{inbox}/second")
+    run()
+    assert rows(K.read(spark, path, "lines", schema)) == rows(keep_first(sent, ["bill", "line"], ["v", "at"]))
+    assert rows(K.read(spark, path, "late", schema)) == []
+    late = (7, "y", None, None, start)
+    spark.createDataFrame([late, late, late], schema).coalesce(1).write.parquet(f"{inbox}/third")
+    run()
+    assert rows(K.read(spark, path, "late", schema)) == [late] * 6  # each comes by two streams
